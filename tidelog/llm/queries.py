@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import license_scan, media, secret_scan
+from tidelog.llm import decontaminate, language_id, license_scan, media, secret_scan, simhash
 from tidelog.llm.common import table
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.encode_media(table(spark, sf_dir, "documents"))
     return media.decode_media(stored).drop("clips")
@@ -25,7 +37,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_simhash": op3_simhash,
         "op5_secrets": op5_secrets,
+        "op6_language": op6_language,
+        "op8_decontaminate": op8_decontaminate,
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
     }
