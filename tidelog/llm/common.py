@@ -43,3 +43,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder, so that lost executors cost no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col(f"`{name}`") for name in df.columns]

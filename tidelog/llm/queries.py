@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, language_id, license_scan, media, secret_scan, simhash
+from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, secret_scan, sharding, simhash
 from tidelog.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,8 +46,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
+        "op4_sharding": op4_sharding,
         "op5_secrets": op5_secrets,
         "op6_language": op6_language,
+        "op7_mixing": op7_mixing,
         "op8_decontaminate": op8_decontaminate,
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
@@ -47,4 +57,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_licenses": license_scan.oracle()}
+    return {"op4_sharding": sharding.oracle(), "op10_licenses": license_scan.oracle()}
