@@ -243,11 +243,15 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 def drop_leaks(df: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``df`` without the rows whose text holds a benchmark item."""
     for finder in finders(items, **options):
-        held = df.sparkSession.sparkContext.broadcast(finder)
+        df = df.where(~_leaky(df, finder)(F.col(text)))
+    return df
 
-        @F.pandas_udf("boolean")
-        def leaky(texts: pd.Series, held=held) -> pd.Series:
-            return pd.Series([bool(hits) for hits in held.value.search(texts.tolist())])
 
-        df = df.where(~leaky(F.col(text)))
-    return df
+def _leaky(df: DataFrame, finder: Finder):
+    held = df.sparkSession.sparkContext.broadcast(finder)
+
+    @F.pandas_udf("boolean")
+    def leaky(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(hits) for hits in held.value.search(texts.tolist())])
+
+    return leaky

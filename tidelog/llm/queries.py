@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, secret_scan, sharding, simhash
+from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, secret_scan, sharding, simhash, url_filter, warc
 from tidelog.llm.common import table
 
 
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_report(table(spark, sf_dir, "pages"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +53,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_urls": op1_urls,
+        "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_sharding": op4_sharding,
         "op5_secrets": op5_secrets,
@@ -57,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.oracle(), "op10_licenses": license_scan.oracle()}
+    return {"op2_warc": warc.oracle(), "op4_sharding": sharding.oracle(), "op10_licenses": license_scan.oracle()}
