@@ -1,0 +1 @@
+"""Document change-data capture on Spark: change logs, namespaces, replay, reconciliation, targets."""
