@@ -141,24 +141,24 @@ def _index(name: str, size: int | None) -> int:
 
 
 def _parent(doc: object, names: list[str], create: bool) -> object:
-    """The container that holds the last of ``names``; missing maps on the way are made if ``create``."""
-    for at, name in enumerate(names[:-1]):
+    """The container that holds the last of ``names``.
+
+    With ``create``, maps that are missing on the way are made, also past an array's end; else they are a KeyError.
+    """
+    for name in names[:-1]:
         if isinstance(doc, list):
             k = _index(name, None if create else len(doc))
-            doc.extend([None] * (k + 1 - len(doc)))
-            if doc[k] is None and create and k == len(doc) - 1 and not isinstance(doc[k], (dict, list)):
-                raise UpdateError(f"null on the way to {'.'.join(names)}")
+            if k >= len(doc):
+                doc += [None] * (k - len(doc)) + [{}]
             doc = doc[k]
         elif isinstance(doc, dict):
-            if name not in doc:
-                if not create:
-                    raise KeyError(".".join(names[: at + 1]))
-                doc[name] = {}
-            doc = doc[name]
+            if name not in doc and not create:
+                raise KeyError(name)
+            doc = doc.setdefault(name, {})
         else:
-            raise UpdateError(f"{'.'.join(names[:at])} isn't a container")
+            raise UpdateError(f"{name} lies below a value that isn't a container")
     if not isinstance(doc, (dict, list)):
-        raise UpdateError(f"{'.'.join(names[:-1])} isn't a container")
+        raise UpdateError(f"{names[-1]} lies below a value that isn't a container")
     return doc
 
 

@@ -526,14 +526,35 @@ def replay_nested(spark, sf_dir):
     return state.select("ns", "_id", *scalars(state), tag.alias("tag"), "_ts", "deleted")
 
 
-@query(", s AS (" + flat_sql("data") + ") SELECT ns, _id, value, flag, k, _ts, deleted FROM s WHERE NOT deleted OR _ts > (SELECT max(ts) FROM log WHERE event_id < n // 2 AND op <> 'n') AND (ns, _id) IN (SELECT ns, _id FROM data)")
-def snapshot_plus_log(spark, sf_dir):
-    ts = half_ts(spark, sf_dir)
-    return shown(replay.snapshot_plus_log(half_snapshot(spark, sf_dir), ts, data_log(spark, sf_dir))).withColumn("_ts", F.col("_ts"))
+@query("""SELECT event_id AS _id, CASE WHEN event_id % 5 IN (0, 4) THEN 4 ELSE 2 END AS n_b, CASE WHEN event_id % 5 = 0 THEN value END AS b3,
+  event_id % 5 <> 1 AS has_b0, CASE WHEN event_id % 5 = 2 THEN k END AS y, CASE WHEN event_id % 5 = 4 THEN k END AS c, event_id % 5 = 3 AS rejected FROM data WHERE kind IN ('insert', 'replace')""")
+def apply_delta_cases(spark, sf_dir):
+    """Every written document as one of its own, and then an update on a path of it: past an array's end, on an array
+    position, through missing maps, below a scalar, and below a position past the end."""
+    own, null = data_log(spark, sf_dir).where(replay.is_whole()), F.lit(None)
+    k, value, case = find_field(F.col("o"), "p.k", "bigint"), find_field(F.col("o"), "value", "double"), F.col("event_id") % 5
+    base = F.to_variant_object(F.struct(k.alias("a"), F.array(k, k).alias("b"), F.struct(k.alias("k")).alias("p")))
+    pair = lambda path, v: F.create_map(F.lit(path), v.cast("variant"))
+    sets = F.when(case == 0, pair("b.3", value)).when(case == 2, pair("p.x.y", k)).when(case == 3, pair("a.z", k)).when(case == 4, pair("b.3.c", k))
+    keyed = own.select("ts", "replset", "event_id", "ns", F.col("event_id").alias("_id"), "from_migrate", base.alias("o"), sets.alias("set"), F.when(case == 1, F.array(F.lit("b.0"))).alias("unset"))
+    inserts = keyed.withColumns({"op": F.lit("i"), "set": null.cast("map<string,variant>"), "unset": null.cast("array<string>")})
+    updates = keyed.withColumns({"op": F.lit("u"), "o": null.cast("variant"), "ts": F.col("ts") + 1})
+    rows = replay.fold(inserts.unionByName(updates))
+    state = rows.where("reason is null").select("_id", F.try_parse_json("doc").alias("doc"))
+    b = find_field(F.col("doc"), "b", "array<variant>")
+    rejected = rows.where("reason is not null").select("_id", F.lit(True).alias("rejected"))
+    return state.join(rejected, "_id", "left").select(
+        "_id", F.size(b).alias("n_b"), F.try_variant_get(F.get(b, F.lit(3)), "$", "double").alias("b3"),
+        (~F.is_variant_null(F.get(b, F.lit(0)))).alias("has_b0"), find_field(F.col("doc"), "p.x.y", "bigint").alias("y"),
+        F.try_variant_get(F.get(b, F.lit(3)), "$.c", "bigint").alias("c"), F.coalesce("rejected", F.lit(False)).alias("rejected"),
+    )
 
 
-SQL["snapshot_plus_log"] = f"""WITH {LOG_SQL}{HALF_SQL}, s AS ({flat_sql("data")}), late AS (SELECT DISTINCT ns, _id FROM data, half_ts WHERE ts > t)
-SELECT s.ns, s._id, s.value, s.flag, s.k, greatest(s._ts, CASE WHEN s.deleted THEN s._ts ELSE t END) AS _ts, s.deleted FROM s, half_ts WHERE NOT s.deleted OR s._ts > t"""
+@query(HALF_SQL + ", s AS (" + flat_sql("data") + """)
+SELECT s.ns, s._id, s.value, s.flag, s.k, greatest(s._ts, CASE WHEN s.deleted THEN s._ts ELSE t END) AS _ts, s.deleted FROM s, half_ts WHERE NOT s.deleted OR s._ts > t""")
+def snapshot_plus_log(spark, sf_dir):
+    ts = half_ts(spark, sf_dir)
+    return shown(replay.snapshot_plus_log(half_snapshot(spark, sf_dir), ts, data_log(spark, sf_dir)))
 
 
 @query(ORPHAN_SQL)
