@@ -104,18 +104,18 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_
     buckets = max(1, total // BUCKET_ROWS)
     bits = max(0, math.ceil(math.log2(buckets)))
     hashed = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    placed = df.withColumns({"_hash": hashed, "_tie": F.octet_length(text)})
-    placed = placed.withColumn("_bucket", F.shiftright("_hash", 60 - bits))
-    sizes = placed.groupBy(source, "_bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(source).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut(sizes.select(F.col(source).alias("_source"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset")))
-    inside = Window.partitionBy(source, "_bucket").orderBy("_hash", F.col(key), "_tie")
-    ranked = placed.withColumn("_rank", F.row_number().over(inside) - 1)
-    same = ranked[source].eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_b"))
+    placed = df.withColumns({"__hash": hashed, "__tie": F.octet_length(text)})
+    placed = placed.withColumn("__bucket", F.shiftright("__hash", 60 - bits))
+    sizes = placed.groupBy(source, "__bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(source).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut(sizes.select(F.col(source).alias("__source"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset")))
+    inside = Window.partitionBy(source, "__bucket").orderBy("__hash", F.col(key), "__tie")
+    ranked = placed.withColumn("__rank", F.row_number().over(inside) - 1)
+    same = ranked[source].eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__b"))
     block_rows = max(block_rows, -(-total // MAX_BLOCKS))
     ranked = ranked.join(F.broadcast(offsets) if offsets.count() * 40 <= (32 << 20) else offsets, same)
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_offset"))
-    ranked = ranked.withColumn("mix_block", F.floor(F.col("_rank") / block_rows))
+    ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__offset"))
+    ranked = ranked.withColumn("mix_block", F.floor(F.col("__rank") / block_rows))
     names = sorted(counts, key=lambda s: (s is None, s or ""))
     given = [weights.get(s, 1.0) if weights else default_weight(counts[s], total) for s in names]
     rows, position = [], 0
@@ -124,9 +124,9 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_
         position += min(block_rows, counts[names[i]] - k * block_rows)
     spark = df.sparkSession
     kind = df.schema[source].dataType.simpleString()
-    plan = spark.createDataFrame(rows, f"_s {kind}, _k long, _first long")
-    here = ranked[source].eqNullSafe(F.col("_s")) & (F.col("mix_block") == F.col("_k"))
-    position = F.col("_first") + F.col("_rank") % block_rows
+    plan = spark.createDataFrame(rows, f"__s {kind}, __k long, __first long")
+    here = ranked[source].eqNullSafe(F.col("__s")) & (F.col("mix_block") == F.col("__k"))
+    position = F.col("__first") + F.col("__rank") % block_rows
     mixed = ranked.join(F.broadcast(plan), here).withColumn("mix_position", position)
     return mixed.select(*columns(df), "mix_block", "mix_position")
 

@@ -77,15 +77,15 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", limit_bytes: i
     shards = directory(sized, limit_bytes)
     size, depths = shards.count(), sorted(r.depth for r in shards.select("depth").distinct().collect())
     shards = shards.select(
-        F.col("depth").alias("shard_depth"), F.col("bucket").alias("_bucket"), "shard_rows", "shard_bytes",
+        F.col("depth").alias("shard_depth"), F.col("bucket").alias("__bucket"), "shard_rows", "shard_bytes",
         F.concat_ws("-", F.lpad(F.col("depth").cast("string"), 2, "0"), F.lpad(F.conv(F.col("bucket").cast("string"), 10, 16), 15, "0")).alias("shard"),
         (F.col("shard_bytes") > limit_bytes).alias("oversized"),
     )
     if size * 100 <= BROADCAST_BYTES:
         shards = F.broadcast(shards)
-    named = df.withColumns({"n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"), "_hash": hash_of(key)})
+    named = df.withColumns({"n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"), "__hash": hash_of(key)})
     tried = named.withColumn("shard_depth", F.explode(F.array(*map(F.lit, depths)).cast("array<int>")))
-    return tried.withColumn("_bucket", prefix(F.col("_hash"), F.col("shard_depth"))).join(shards, ["shard_depth", "_bucket"]).drop("_hash", "_bucket")
+    return tried.withColumn("__bucket", prefix(F.col("__hash"), F.col("shard_depth"))).join(shards, ["shard_depth", "__bucket"]).drop("__hash", "__bucket")
 
 
 def shard_report(df: DataFrame) -> DataFrame:

@@ -163,8 +163,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "ur
     pages = pages.drop("host", "path", "rule", "verdict", "block_score")
     context = pages.sparkSession.sparkContext
     rule = judged(host_of(F.col(url)), path_of(F.col(url)), rules)
-    parsed = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url)), "_rule": rule})
-    slim = cut(parsed.groupBy("host", "path", F.col("_rule.verdict").alias("verdict")).agg(F.count("*").alias("n")))
+    parsed = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url)), "__rule": rule})
+    slim = cut(parsed.groupBy("host", "path", F.col("__rule.verdict").alias("verdict")).agg(F.count("*").alias("n")))
     blocked, allowed = (F.when(F.col("verdict") == v, F.col("n")).otherwise(0) for v in ("block", "allow"))
     hosts = slim.groupBy("host").agg(F.sum(blocked).alias("blocked"), F.sum(allowed).alias("allowed"))
     hosts = cut(hosts.join(host_features(hosts.select("host"), cut(word_counts(pages, html))), "host", "left"))
@@ -179,10 +179,10 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "ur
         for part in features:
             yield add_ratios([part], held.value)
 
-    scored = hosts.select("host", score("features").alias("_host_score"))
-    out = parsed.join(scored, "host", "left").withColumn("block_score", F.col("_host_score") + score(path_features(F.col("path"))) + F.lit(prior))
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("block_score") > 0, "block").otherwise("allow"))
-    return out.withColumns({"rule": F.col("_rule.text"), "verdict": verdict}).drop("_rule", "_host_score")
+    scored = hosts.select("host", score("features").alias("__host_score"))
+    out = parsed.join(scored, "host", "left").withColumn("block_score", F.col("__host_score") + score(path_features(F.col("path"))) + F.lit(prior))
+    verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("block_score") > 0, "block").otherwise("allow"))
+    return out.withColumns({"rule": F.col("__rule.text"), "verdict": verdict}).drop("__rule", "__host_score")
 
 
 def url_report(pages: DataFrame) -> DataFrame:
