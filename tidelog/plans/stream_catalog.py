@@ -98,10 +98,10 @@ def custom_sink(spark, sf_dir):
 
 @query()
 def micro_batch_commit(spark, sf_dir):
-    """One version of the target for each committed batch; the rows say how many documents each has."""
+    """What each committed batch left in the buckets it wrote."""
     base = scratch(spark)
     target = ParquetTarget(spark, f"{base}/state")
     assert commit_interval(0) == "0 seconds"
     run(spark, stored_stream(spark, sf_dir, base), [target], base)
-    return spark.read.parquet(f"{base}/state").groupBy("v").agg(F.count("*").alias("documents"), F.max("_ts").alias("newest"))
+    return spark.read.parquet(f"{base}/state/state").groupBy("v").agg(F.count("*").alias("documents"), F.max("_ts").alias("newest"))
 

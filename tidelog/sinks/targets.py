@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.reconcile import last_doc, search_range
@@ -49,7 +48,7 @@ def with_unique_key(state: DataFrame, key: str) -> DataFrame:
     return state.withColumnRenamed("_id", key)
 
 
-def split_valid(rows: DataFrame, valid: F.Column, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_valid(rows: DataFrame, valid: Column, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good, bad) rows; with ``fail_fast``, a bad row raises when it is read."""
     if fail_fast:
         checked = F.when(valid, F.lit(True)).otherwise(F.raise_error(F.lit("a row can't be written")).cast("boolean"))
@@ -60,30 +59,44 @@ def split_valid(rows: DataFrame, valid: F.Column, fail_fast: bool = False) -> tu
 
 @dataclass
 class ParquetTarget:
-    """A state table kept as versions, ``path/v=<batch>``: a batch that runs again writes the same version again."""
+    """A state table in ``buckets`` of the key's hash; a batch rewrites only the buckets it touches.
+
+    Batch n writes ``state/v=n/b=<bucket>`` and then, as its commit, the list of these buckets.  Readers take each
+    bucket's newest committed version; a batch that runs again reads what was there before it, and writes the same again.
+    """
 
     spark: SparkSession
     path: str
     name: str = "parquet"
     replay: Callable[[DataFrame], DataFrame] = replay_flat
+    buckets: int = 64
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.hash(*KEYS), F.lit(self.buckets))
 
-    def _versions(self) -> list[int]:
+    def _versions(self, before: int | None) -> dict[int, int]:
+        """The newest committed version (older than batch ``before``) of each bucket."""
         try:
-            stored = self.spark.read.parquet(self.path).inputFiles()
+            commits = self.spark.read.option("basePath", f"{self.path}/commits").parquet(f"{self.path}/commits/batch=*")
         except AnalysisException:
-            return []
-        return sorted({int(v) for name in stored for v in re.findall(r"/v=(\d+)/", name)})
+            return {}
+        older = commits if before is None else commits.where(F.col("batch") < before)
+        return {r.b: r.v for r in older.groupBy("b").agg(F.max("batch").alias("v")).collect()}
 
-    def state(self, before: int | None = None) -> DataFrame:
-        """The newest version (older than batch ``before``)."""
-        versions = [v for v in self._versions() if before is None or v < before]
-        if not versions:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        return self.spark.read.parquet(f"{self.path}/v={versions[-1]}")
+    def state(self, before: int | None = None, only: list[int] | None = None) -> DataFrame:
+        """The state (as of before batch ``before``; of some buckets ``only``)."""
+        versions = self._versions(before)
+        paths = [f"{self.path}/state/v={v}/b={b}" for b, v in sorted(versions.items()) if only is None or b in only]
+        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], STATE_SCHEMA)
 
     def apply(self, log: DataFrame, batch_id: int) -> None:
-        state = apply_incremental(self.state(before=batch_id), log, self.replay)
-        state.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        touched = [r.b for r in log.select(self._bucket().alias("b")).distinct().collect()]
+        if touched:
+            state = apply_incremental(self.state(batch_id, touched), log, self.replay).withColumn("b", self._bucket())
+            held = state.repartition("b")
+            held.write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/state/v={batch_id}")
+            found = self.spark.read.parquet(f"{self.path}/state/v={batch_id}").select("b").distinct()
+            found.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
 
     def search(self, start: int, end: int) -> DataFrame:
         return search_range(self.state(), start, end)
