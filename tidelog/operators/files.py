@@ -24,11 +24,12 @@ def file_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def _gathered(chunks: DataFrame, files: DataFrame) -> DataFrame:
     """Each file with its chunks in order; a file's size bounds what is gathered."""
     parts = chunks.groupBy("files_id").agg(
-        F.array_sort(F.collect_list(F.struct("n", "data"))).alias("parts"), F.count("*").alias("chunks"), F.max("n").alias("last"), F.count_distinct("n").alias("numbers")
+        F.array_sort(F.collect_list(F.struct("n", "data"))).alias("parts"), F.count("*").alias("chunks"), F.max("n").alias("last")
     )
     whole = files.join(parts, files["_id"] == parts["files_id"], "left")
     content = F.array_join(F.transform("parts", lambda p: p.data), "")
-    return whole.withColumn("content", F.coalesce(content, F.lit(""))).drop("parts", "files_id")
+    numbers = F.size(F.array_distinct(F.transform("parts", lambda p: p.n)))
+    return whole.withColumns({"content": F.coalesce(content, F.lit("")), "numbers": numbers}).drop("parts", "files_id")
 
 
 def _broken() -> F.Column:
