@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that go to a Python worker at a time: whole texts, so few.
+BATCH_ROWS = 500
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -48,3 +51,11 @@ def cut(df: DataFrame) -> DataFrame:
 def columns(df: DataFrame) -> list[Column]:
     """All columns, whatever characters their names have."""
     return [F.col(f"`{name}`") for name in df.columns]
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends at most BATCH_ROWS rows to Python at a time (fewer, if it was set so)."""
+    conf = df.sparkSession.conf
+    if int(conf.get(ROWS_SETTING, "10000")) > BATCH_ROWS:
+        conf.set(ROWS_SETTING, str(BATCH_ROWS))
+    return df

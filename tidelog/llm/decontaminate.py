@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bound_batches
+
 LEAST = 0.8
 RECALL = 0.95
 STEPS = (0, 2, 5, 9, 14)
@@ -235,7 +237,7 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 kinds = (item_type, pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, k) for c, k in zip(columns[1:], kinds))], [key, "item_id", "distance", "first_word", "end_word"])
 
-        hits = df.select(key, text).mapInArrow(leaks, f"`{key}` {kind}, item_id {item_kind}, distance int, first_word int, end_word int")
+        hits = bound_batches(df).select(key, text).mapInArrow(leaks, f"`{key}` {kind}, item_id {item_kind}, distance int, first_word int, end_word int")
         out = hits if out is None else out.unionByName(hits)
     return out
 
@@ -243,7 +245,7 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 def drop_leaks(df: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``df`` without the rows whose text holds a benchmark item."""
     for finder in finders(items, **options):
-        df = df.where(~_leaky(df, finder)(F.col(text)))
+        df = bound_batches(df).where(~_leaky(df, finder)(F.col(text)))
     return df
 
 

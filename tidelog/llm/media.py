@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bound_batches
+
 SIDE = 24
 UNIT = SIDE * SIDE
 CODED = UNIT * 9 // 8
@@ -210,7 +212,7 @@ def encode_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], [key, "n_bytes", "media"])
                     sizes, files, held, begun = [], [], 0, i + 1
 
-    return df.select(key, text).mapInArrow(encode, f"`{key}` {kind}, n_bytes long, media binary")
+    return bound_batches(df).select(key, text).mapInArrow(encode, f"`{key}` {kind}, n_bytes long, media binary")
 
 
 def _features(media: bytes) -> dict:
@@ -240,7 +242,7 @@ def decode_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
             columns = [pa.array([f[name] for f in found], kind) for name, kind in fields.items()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], [key, "n_bytes", *fields])
 
-    return df.select(key, "n_bytes", "media").mapInArrow(
+    return bound_batches(df).select(key, "n_bytes", "media").mapInArrow(
         decode,
         f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips {CLIPS}",
     )

@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import bound_batches
+
 HEX_SEED = 4
 # The expressions and least lengths of the three base kinds.
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -111,7 +113,7 @@ def scan_secrets(df: DataFrame, text: str = "text", into: str = "secret_spans")
         for texts in parts:
             yield pd.Series([[dict(zip(("kind", "start", "end"), s)) for s in find_spans(t)] for t in texts])
 
-    return df.withColumn(into, spans(F.col(text)))
+    return bound_batches(df).withColumn(into, spans(F.col(text)))
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -121,7 +123,7 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFra
     def hidden(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: t if t is None else _redacted(t, mark))
 
-    return df.withColumn(text, hidden(F.col(text)))
+    return bound_batches(df).withColumn(text, hidden(F.col(text)))
 
 
 def _redacted(text: str, mark: str) -> str:

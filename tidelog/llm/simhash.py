@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import cut
+from tidelog.llm.common import bound_batches, cut
 from tidelog.llm.components import connected_components
 
 BITS = 64
@@ -69,7 +69,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             found = np.array([fingerprint(t.as_py()) for t in part.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], [key, "fp"])
 
-    return df.select(key, text).mapInArrow(hashed, f"`{key}` {df.schema[key].dataType.simpleString()}, fp long")
+    return bound_batches(df).select(key, text).mapInArrow(hashed, f"`{key}` {df.schema[key].dataType.simpleString()}, fp long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import scratch
+from tidelog.llm.common import bound_batches, scratch
 
 LEAST_BYTES = 100
 ROLL_BYTES = 32 << 20
@@ -113,7 +113,7 @@ def plan_records(df: DataFrame, key: str = "page_id", payload: str = "html") ->
 
 def write_archives(df: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Writes the records below ``path`` and returns the manifest (path, records, bytes)."""
-    planned = plan_records(df.select(key, url, payload), key, payload)
+    planned = plan_records(bound_batches(df).select(key, url, payload), key, payload)
     rows = planned.select(F.col(key).cast("string").alias("k"), F.col(url), F.col(payload), "_size", "_digest", F.col("_first").cast("string").alias("first"))
     spark = df.sparkSession
 
