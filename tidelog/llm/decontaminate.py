@@ -158,21 +158,31 @@ class Finder:
         return found
 
     def verify(self, meetings: set[tuple[int, int]], words: list[str]) -> list[tuple]:
-        """(item id, distance, first word, end word) of the best stretch of each item that is near enough."""
-        best: dict[int, tuple[int, int, int]] = {}
-        done: dict[int, int] = {}
+        """(item id, distance, first word, end word) of the best stretch of each item that is near enough.
+
+        Windows of an item that overlap are one stretch, so a text is gone through once for each item at most.
+        """
+        stretches: dict[int, list[list[int]]] = defaultdict(list)
         for item, start in sorted(meetings):
+            size, most = len(self.items[item]), self.most(item)
+            lo, hi, own = max(0, start - most), start + size + 2 * most + 1, stretches[item]
+            if own and lo <= own[-1][1]:
+                own[-1][1] = hi
+            else:
+                own.append([lo, hi])
+        out = []
+        for item, own in sorted(stretches.items()):
             pattern = self.items[item]
-            most = int((1 - self.least) * len(pattern) + 1e-9)
-            if start < done.get(item, -1):  # the last stretch looked at holds this window whole
-                continue
-            lo, hi = max(0, start - most), start + len(pattern) + 2 * most + 1
-            done[item] = start + most // 2 + 1
-            distance, end = least_distance(pattern, words[lo:hi])
-            if distance <= most and (item not in best or distance < best[item][0]):
-                back = words[max(0, lo + end - len(pattern) - distance) : lo + end][::-1]
-                best[item] = (distance, lo + end - least_distance(pattern[::-1], back)[1], lo + end)
-        return [(self.ids[item], *hit) for item, hit in sorted(best.items())]
+            found = [(distance, lo, lo + end) for lo, hi in own for distance, end in [least_distance(pattern, words[lo:hi])]]
+            distance, lo, end = min(found)
+            if distance <= self.most(item):
+                back = words[max(lo, end - len(pattern) - distance) : end][::-1]
+                out.append((self.ids[item], distance, end - least_distance(pattern[::-1], back)[1], end))
+        return out
+
+    def most(self, item: int) -> int:
+        """The largest edit distance at which a stretch still holds the item."""
+        return int((1 - self.least) * len(self.items[item]) + 1e-9)
 
     def search(self, texts: list[str | None]) -> list[list[tuple]]:
         """The hits of each text."""
