@@ -193,3 +193,9 @@ def test_a_failing_target_does_not_stop_others(spark):
     counts = Counts()
     outcome = targets.fan_out(spark.range(3), [Fails(), counts], 0)
     assert counts.n == 3 and outcome == [("fails", "OSError: no disk"), ("counts", None)]
+
+
+def test_list_style_rules():
+    rules = routing.rules_of_lists(include=("a.b", "a.c"), exclude=("a.d*",), mapping={"a.b": "x.b"}, gridfs=("a.fs",), include_fields=("f",))
+    assert [(r.source, r.target, r.gridfs) for r in rules.included] == [("a.b", "x.b", False), ("a.c", "a.c", False), ("a.fs", "a.fs", True)]
+    assert rules.fields(rules.included[0]) == (["_id", "f"], [])

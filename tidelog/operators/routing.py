@@ -148,6 +148,15 @@ def parse_rules(config: dict[str, object], include: tuple[str, ...] = (), exclud
     return Rules(tuple(out), include, exclude)
 
 
+def rules_of_lists(
+    include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), mapping: dict[str, str] | None = None, gridfs: tuple[str, ...] = (), **fields: tuple[str, ...]
+) -> Rules:
+    """Rules from lists of namespaces and a mapping of old to new names; a mapping's entry wins over the lists' for its namespace."""
+    names = dict.fromkeys([*(mapping or {}), *include, *gridfs])
+    rules = [Rule(n, (mapping or {}).get(n), n in gridfs) for n in names]
+    return Rules((*rules, *(Rule(n, excluded=True) for n in exclude)), fields.get("include_fields", ()), fields.get("exclude_fields", ()))
+
+
 def namespaces(df: DataFrame) -> DataFrame:
     return df.select("ns").distinct()
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import find_field, key_matches, ns_coll, ns_db, pack_ts, ts_increment, ts_seconds
 from tidelog.operators import fields, files, formatting, predicates, reconcile, replay, routing
-from tidelog.plans.replicate import RULES, projected, replicate, snapshot
+from tidelog.plans.replicate import RULES, replicate, snapshot
 from tidelog.sinks import checkpoints, targets
 from tidelog.sources.change_log import change_log, data_entries, merge_logs, n_events, resume_log, scan_log
 
@@ -778,6 +778,3 @@ def custom_formatter(spark, sf_dir):
 
     return formatting.format_documents(spark.read.parquet(f"{sf_dir}/events.parquet"), own)
 
-
-def projected_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return projected(predicates.applicable(change_log(spark, sf_dir), RULES), RULES)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.reconcile import last_doc, search_range
+from tidelog.operators.reconcile import last_doc, reconcile, rollback_cutoff, search_range
 from tidelog.operators.replay import KEYS, STATE_SCHEMA, apply_incremental, replay_flat
 
 
@@ -92,11 +92,20 @@ class ParquetTarget:
     def apply(self, log: DataFrame, batch_id: int) -> None:
         touched = [r.b for r in log.select(self._bucket().alias("b")).distinct().collect()]
         if touched:
-            state = apply_incremental(self.state(batch_id, touched), log, self.replay).withColumn("b", self._bucket())
-            held = state.repartition("b")
-            held.write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/state/v={batch_id}")
-            found = self.spark.read.parquet(f"{self.path}/state/v={batch_id}").select("b").distinct()
-            found.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
+            self._commit(apply_incremental(self.state(batch_id, touched), log, self.replay), batch_id)
+
+    def _commit(self, state: DataFrame, batch_id: int) -> None:
+        state.withColumn("b", self._bucket()).repartition("b").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/state/v={batch_id}")
+        found = self.spark.read.schema(f"{STATE_SCHEMA}, b INT").parquet(f"{self.path}/state/v={batch_id}").select("b").distinct()
+        found.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
+
+    def roll_back(self, log: DataFrame, source: DataFrame, batch_id: int) -> None:
+        """Makes the target agree with a source (its log and its documents) that has lost writes, as batch ``batch_id``."""
+        before = self.state(batch_id)
+        changed = reconcile(before, log, source)["state"].where(F.col("_ts") >= F.lit(rollback_cutoff(log, before).first().cutoff))
+        touched = [r.b for r in changed.select(self._bucket().alias("b")).distinct().collect()]
+        if touched:
+            self._commit(reconcile(self.state(batch_id), log, source)["state"].where(self._bucket().isin(touched)), batch_id)
 
     def search(self, start: int, end: int) -> DataFrame:
         return search_range(self.state(), start, end)

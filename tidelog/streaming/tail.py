@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.predicates import applicable
+from tidelog.operators.reconcile import resume_decision
 from tidelog.operators.routing import Rules
 from tidelog.sinks.checkpoints import advance
 from tidelog.sinks.targets import Target, fan_out
@@ -53,6 +54,18 @@ def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     return spark.read.option("basePath", progress).parquet(f"{progress}/batch=*").groupBy("replset").agg(F.max("ts").alias("ts"))
 
 
+def recover(log: DataFrame, checkpoints: DataFrame, source: DataFrame, targets: list, batch_id: int) -> DataFrame:
+    """Before a tail is resumed: the decision for each log, after rolling targets back where one of them says so.
+
+    ``source`` has the documents (ns, _id, doc) as they are now.  Targets need ``roll_back``.
+    """
+    decisions = resume_decision(log, checkpoints)
+    if not decisions.where("decision = 'rollback'").isEmpty():
+        for target in targets:
+            target.roll_back(log, source, batch_id)
+    return decisions
+
+
 def commit_interval(seconds: int | None) -> str | None:
     """A trigger's interval from a commit interval: null never, 0 every batch at once, n every n seconds."""
     if seconds is None:
