@@ -1,6 +1,7 @@
 """Results of Spark and DuckDB side by side, order left out."""
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -14,6 +15,7 @@ def database(sf_dir):
 
 
 def plain(value):
+    value = value.item() if isinstance(value, np.generic) else value
     if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return "null"
     if isinstance(value, (int, float)) and not isinstance(value, bool):

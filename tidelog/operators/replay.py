@@ -49,17 +49,16 @@ def is_barrier() -> Column:
 
 
 def field_changes(log: DataFrame) -> DataFrame:
-    """(ns, _id, field, value, ts, gone): a row for each field an entry gives or takes; field is null for a barrier."""
-    own = F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("variant").alias("value"), (kind() == "delete").alias("gone"))
-    given = lambda m: F.transform(F.map_entries(m), lambda e: F.struct(e.key.alias("field"), e.value.alias("value"), F.lit(False).alias("gone")))
-    taken = F.transform("unset", lambda f: F.struct(f.alias("field"), F.lit(None).cast("variant").alias("value"), F.lit(True).alias("gone")))
+    """(ns, _id, field, value, ts, gone): a row for each whole write or delete (field null, value its document), and one
+    for each field an update gives or takes."""
+    row = lambda field, value, gone: F.struct(field.alias("field"), value.alias("value"), gone.alias("gone"))
+    null = F.lit(None)
     none = F.array().cast("array<struct<field:string,value:variant,gone:boolean>>")
-    changes = F.concat(
-        F.when(is_barrier(), F.array(own)).otherwise(none),
-        F.coalesce(F.when(is_whole(), given(F.try_variant_get("o", "$", MAP))), none),
-        F.coalesce(F.when(kind() == "delta", given(F.col("set"))), none),
-        F.coalesce(F.when(kind() == "delta", taken), none),
-    )
+    whole = F.array(row(null.cast("string"), F.col("o"), kind() == "delete"))
+    given = F.transform(F.map_entries("set"), lambda e: row(e.key, e.value, F.lit(False)))
+    taken = F.transform("unset", lambda f: row(f, null.cast("variant"), F.lit(True)))
+    delta = F.concat(F.coalesce(given, none), F.coalesce(taken, none))
+    changes = F.when(is_barrier(), whole).when(kind() == "delta", delta)
     return log.where(F.col("op").isin("i", "u", "d")).select("ns", "_id", "ts", F.explode(changes).alias("c")).select("ns", "_id", "ts", "c.*")
 
 
@@ -67,16 +66,21 @@ def replay_flat(log: DataFrame) -> DataFrame:
     """State after a log whose updates name top-level fields only."""
     order = F.struct("ts", "gone")
     last = field_changes(log).groupBy("ns", "_id", "field").agg(F.max_by("value", order).alias("value"), F.max(order).alias("at"))
-    barrier = F.max(F.when(F.col("field").isNull(), F.col("at")))
-    fields = F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "value", "at")))
-    doc = last.groupBy(*KEYS).agg(barrier.alias("b"), fields.alias("fields")).where("b is not null")
-    live = F.filter("fields", lambda f: f.at.ts >= F.col("b.ts"))
-    held = F.map_from_entries(F.transform(F.filter(live, lambda f: ~f.at.gone), lambda f: F.struct(f.field.alias("key"), f.value.alias("value"))))
-    newest = F.greatest(F.col("b.ts"), F.array_max(F.transform(live, lambda f: f.at.ts)))
+    own = F.col("field").isNull()
+    doc = last.groupBy(*KEYS).agg(
+        F.max(F.when(own, F.col("at"))).alias("b"),
+        F.first(F.when(own, F.col("value")), ignorenulls=True).alias("base"),
+        F.collect_list(F.when(~own, F.struct("field", "value", "at"))).alias("fields"),
+    )
+    live = doc.where("b is not null").withColumn("fields", F.filter("fields", lambda f: f.at.ts >= F.col("b.ts")))
+    names = F.transform("fields", lambda f: f.field)
+    kept = F.map_filter(F.try_variant_get("base", "$", MAP), lambda k, _: ~F.array_contains(names, k))
+    given = F.map_from_entries(F.transform(F.filter("fields", lambda f: ~f.at.gone), lambda f: F.struct(f.field.alias("key"), f.value.alias("value"))))
+    newest = F.greatest(F.col("b.ts"), F.array_max(F.transform("fields", lambda f: f.at.ts)))
     gone = F.col("b.gone")
-    return doc.select(
+    return live.select(
         "ns", "_id",
-        F.when(~gone, F.to_variant_object(held)).alias("doc"),
+        F.when(~gone, F.to_variant_object(F.map_concat(F.coalesce(kept, F.create_map().cast(MAP)), given))).alias("doc"),
         F.when(gone, F.col("b.ts")).otherwise(newest).alias("_ts"),
         gone.alias("deleted"),
     )
