@@ -79,21 +79,23 @@ def test_violations(rules, reason):
 
 
 INCLUDE = [
-    ({"a": {"b": {}}, "n": 1}, ["n", "a.b.c"], {"n": 1}),
-    ({"a": {"b": {"c": 2, "e": 3}, "e": 5}, "b": 2}, ["a.b.c", "a.e"], {"a": {"b": {"c": 2}, "e": 5}}),
-    ({"t": 1}, ["none"], {}),
-    ({"a": {"b": {"a": {"b": 1}}}, "c": 1}, ["a.b"], {"a": {"b": {"a": {"b": 1}}}}),
-    ({"name": 1, "name_of": 2}, ["name"], {"name": 1}),
-    ({"a": [{"b": 1}]}, ["a.b"], {}),
-    ({"a": None, "b": 1}, ["a"], {"a": None}),
+    ({"name": "pen", "size": {"w": {}}}, ["name", "size.w.mm"], {"name": "pen"}),
+    ({"size": {"w": {"mm": 2, "in": 3}, "h": 5}, "name": "pen"}, ["size.w.mm", "size.h"], {"size": {"w": {"mm": 2}, "h": 5}}),
+    ({"name": "pen"}, ["price"], {}),
+    ({"size": {"w": {"size": {"w": 1}}}, "w": 1}, ["size.w"], {"size": {"w": {"size": {"w": 1}}}}),
+    ({"name": 1, "names": 2}, ["name"], {"name": 1}),
+    ({"lots": [{"n": 1}]}, ["lots.n"], {}),
+    ({"price": None, "name": 1}, ["price"], {"price": None}),
+    ({"size": {"w": 1, "h": 2}}, ["size", "size.w"], {"size": {"w": 1, "h": 2}}),
 ]
 EXCLUDE = [
-    ({"a": {"b": {"c": {"d": 0, "e": 1}}}}, ["a.b.c.d"], {"a": {"b": {"c": {"e": 1}}}}),
-    ({"a": {"b": {"c": 1}}}, ["a.b.c"], {"a": {"b": {}}}),
-    ({"a": 1}, ["a"], {}),
-    ({"t": 1}, ["t.none"], {"t": 1}),
-    ({"a": {"b": 1}, "b": {"a": 1}}, ["a.b", "b.a"], {"a": {}, "b": {}}),
-    ({"a": None, "n": 1}, ["n"], {"a": None}),
+    ({"size": {"w": {"mm": 2, "in": 3}}}, ["size.w.mm"], {"size": {"w": {"in": 3}}}),
+    ({"size": {"w": 1}}, ["size.w"], {"size": {}}),
+    ({"name": 1}, ["name"], {}),
+    ({"name": 1}, ["name.first"], {"name": 1}),
+    ({"size": {"w": 1}, "name": {"w": 1}}, ["size.w", "none.w"], {"size": {}, "name": {"w": 1}}),
+    ({"price": None, "name": 1}, ["name"], {"price": None}),
+    ({"lots": [{"n": 1}]}, ["lots.n"], {"lots": [{"n": 1}]}),
 ]
 
 
@@ -113,15 +115,15 @@ def test_exclude(spark, doc, names, result):
 
 
 UPDATES = [
-    (fields.include_update, {"a.b": 1, "a.c": 3, "b": 2, "c": {"b": 3}}, ["a", "c"], {"a.b": 1, "a.c": 3, "c": {"b": 3}}),
-    (fields.include_update, {"a.b": {"c": 3, "d": 1}, "a.e": 1, "a.f": 2}, ["a.b.c", "a.e"], {"a.b": {"c": 3}, "a.e": 1}),
-    (fields.include_update, {"a.b.1": 1, "a.b.2": 2, "b": 3}, ["a.b"], {"a.b.1": 1, "a.b.2": 2}),
-    (fields.include_update, {"a.b": {"c": 3}, "a.e": 1}, ["a.b.e"], None),
-    (fields.exclude_update, {"a.b": 1, "a.c": 3, "b": 2, "c": {"b": 3}}, ["a", "c"], {"b": 2}),
-    (fields.exclude_update, {"a.b": {"c": 3, "d": 1}, "a.e": 1, "a.f": 2}, ["a.b.c", "a.e"], {"a.b": {"d": 1}, "a.f": 2}),
-    (fields.exclude_update, {"a.b": {"c": 3}, "a.e": 1}, ["a.b.c", "a.e"], {"a.b": {}}),
-    (fields.exclude_update, {"a.b.c": 42, "d.e.f": 1, "g": 4}, ["a.b", "d"], {"g": 4}),
-    (fields.exclude_update, {"a.b": {"c": 3}, "a.e": 1}, ["a.b", "a.e"], None),
+    (fields.include_update, {"size.w": 1, "size.h": 3, "name": 2, "lots": {"n": 3}}, ["size", "lots"], {"size.w": 1, "size.h": 3, "lots": {"n": 3}}),
+    (fields.include_update, {"size": {"w": 3, "h": 1}, "sizes": 1}, ["size.w"], {"size": {"w": 3}}),
+    (fields.include_update, {"tags.0": "x", "tags.3": "y", "name": 3}, ["tags"], {"tags.0": "x", "tags.3": "y"}),
+    (fields.include_update, {"size.w": {"mm": 3}, "size.h": 1}, ["size.w.in"], None),
+    (fields.exclude_update, {"size.w": 1, "size.h": 3, "name": 2, "lots": {"n": 3}}, ["size", "lots"], {"name": 2}),
+    (fields.exclude_update, {"size": {"w": 3, "h": 1}, "sizes": 1}, ["size.w"], {"size": {"h": 1}, "sizes": 1}),
+    (fields.exclude_update, {"size": {"w": 3}, "name": 1}, ["size.w", "name"], {"size": {}}),
+    (fields.exclude_update, {"size.w.mm": 42, "lots.0.n": 1, "name": 4}, ["size.w", "lots"], {"name": 4}),
+    (fields.exclude_update, {"size.w": 1, "name": 1}, ["size", "name"], None),
 ]
 
 

@@ -10,37 +10,38 @@ from tidelog.operators.replay import UpdateError, apply_delta
 from tidelog.sources.change_log import LOG_SCHEMA, change_log, data_entries
 
 APPLIES = [
-    ({"a": 1, "b": 2}, {}, ["a"], {"b": 2}),
-    ({"a": {"b": 2, "c": 3}}, {}, ["a.b"], {"a": {"c": 3}}),
-    ({"b": [0, 1, 2, 3]}, {}, ["b.1"], {"b": [0, None, 2, 3]}),
-    ({"a": 1}, {"b": [{"c": 1}]}, [], {"a": 1, "b": [{"c": 1}]}),
-    ({"a": 1}, {"b.c.d": 2}, [], {"a": 1, "b": {"c": {"d": 2}}}),
-    ({"a": 1, "c": 3}, {"b": 2, "d": 4}, ["a", "c"], {"b": 2, "d": 4}),
-    ({"b": [{"c": 1}]}, {"b.4": {"c": 2}}, [], {"b": [{"c": 1}, None, None, None, {"c": 2}]}),
-    ({"b": [{"c": 1}]}, {"b.1": {"c": 2}}, [], {"b": [{"c": 1}, {"c": 2}]}),
-    ({"b": [{"c": 1}]}, {"b.4.c": 2}, [], {"b": [{"c": 1}, None, None, None, {"c": 2}]}),
-    ({"b": [{"c": 1}]}, {"b.1.c": 2}, [], {"b": [{"c": 1}, {"c": 2}]}),
-    ({"b": [{"c": 1}]}, {"b.0.c": 2}, [], {"b": [{"c": 2}]}),
-    ({"b": [{}, {"d": 2}]}, {"b.1.c": 3}, [], {"b": [{}, {"c": 3, "d": 2}]}),
-    ({"b": [0, 1, 2]}, {"b.2": {"n": 2}}, [], {"b": [0, 1, {"n": 2}]}),
-    ({"b": [{"c": 1}]}, {"b": {"0": {"e": 100}}}, [], {"b": {"0": {"e": 100}}}),
+    ({"name": "pen", "price": 2}, {}, ["price"], {"name": "pen"}),
+    ({"size": {"w": 1, "h": 2}}, {}, ["size.h"], {"size": {"w": 1}}),
+    ({"size": {"w": 1}}, {}, ["size.w"], {"size": {}}),
+    ({"tags": ["x", "y", "z"]}, {}, ["tags.0"], {"tags": [None, "y", "z"]}),
+    ({"name": "pen"}, {"stock.north.shelf": 7}, [], {"name": "pen", "stock": {"north": {"shelf": 7}}}),
+    ({"name": "pen", "old": 1}, {"price": 3}, ["old"], {"name": "pen", "price": 3}),
+    ({"name": "pen"}, {"price": 3}, ["price"], {"name": "pen"}),
+    ({"tags": ["x"]}, {"tags.3": "w"}, [], {"tags": ["x", None, None, "w"]}),
+    ({"tags": []}, {"tags.0": "w"}, [], {"tags": ["w"]}),
+    ({"lots": [{"n": 1}]}, {"lots.2.n": 5}, [], {"lots": [{"n": 1}, None, {"n": 5}]}),
+    ({"lots": [{"n": 1}, 4]}, {"lots.0.n": 9}, [], {"lots": [{"n": 9}, 4]}),
+    ({"lots": [[1, 2], 4]}, {"lots.0.1": 9}, [], {"lots": [[1, 9], 4]}),
+    ({"lots": [1, 2]}, {"lots": {"0": "a"}}, [], {"lots": {"0": "a"}}),
+    ({"by": {"0": "a"}}, {"by.1": "b"}, ["by.0"], {"by": {"1": "b"}}),
 ]
 NOTHING_TO_UNSET = [
-    ({"a": 1}, ["x"]),
-    ({"b": {"c": {"d": 1}}}, ["b.x.y"]),
-    ({"b": [0, 1]}, ["b.x"]),
-    ({"b": [0, 1]}, ["b.x.y"]),
-    ({"b": [0, 1]}, ["b.4"]),
-    ({"b": [0, {"c": 1}]}, ["b.1.x"]),
+    ({"name": "pen"}, ["price"]),
+    ({"size": {"w": 1}}, ["size.depth.mm"]),
+    ({"name": "pen"}, ["name.first"]),
+    ({"tags": ["x"]}, ["tags.last"]),
+    ({"tags": ["x"]}, ["tags.last.letter"]),
+    ({"tags": ["x"]}, ["tags.1"]),
+    ({"lots": [7, {"n": 1}]}, ["lots.1.m"]),
 ]
 FAILS = [
-    ({"a": 1}, {"a.0": 2}),
-    ({"a": 1}, {"a.0.1": 2}),
-    ({"a": 1}, {"a.b": 2}),
-    ({"a": 1}, {"a.b.c.b": 2}),
-    ({"a": [{"c": 1}]}, {"a.c": 2}),
-    ({"a": [None, None]}, {"a.0.c": 2}),
-    ({"a": [1]}, {"a.-1": 2}),
+    ({"name": "pen"}, {"name.0": "q"}),
+    ({"name": "pen"}, {"name.first.letter": "q"}),
+    ({"price": 3}, {"price.cents": 1}),
+    ({"lots": [{"n": 1}]}, {"lots.n": 2}),
+    ({"lots": [None]}, {"lots.0.n": 2}),
+    ({"lots": [1]}, {"lots.-1": 2}),
+    ({"lots": [1]}, {"lots.99999999": 2}),
 ]
 
 
