@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, language_id, mixing, sharding, simhash
+from tidelog.llm import decontaminate, language_id, mixing, near_copies, sharding, simhash
 from tidelog.llm.common import columns, scratch, table
 
 
@@ -19,8 +19,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of least doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of least doc_id stays."""
+    return simhash.keep_one(docs, groups=near_copies.near_copies)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ component of such rows alone has a null id.  Repeated rows are copies of each ot
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -269,12 +269,12 @@ def simhash_report(df: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", groups: Callable[..., DataFrame] = simhash_groups) -> DataFrame:
     """``df`` with one row of each component: that with the least key (of rows repeated under it, one).
 
-    Rows with a null key can't be named by a decision and stay.
+    ``groups`` gives key and component_id of every row.  Rows with a null key can't be named by a decision and stay.
     """
-    grouped = cut(simhash_groups(df, key, text).where(F.col(key).isNotNull()))
+    grouped = cut(groups(df, key, text).where(F.col(key).isNotNull()))
     gone = grouped.where(F.col(key) != F.col("component_id")).select(key).distinct()
     kept = without(df, gone, key)
     again = grouped.groupBy(key).count().where("count > 1").select(key)
