@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet
 and read again as the next stage's docs.  A stage works on all rows its predecessor kept, and all
-but the last return the columns of docs.
+but the last return the columns of docs.  Spark reads a folder's files in an order of its own, so the
+last stage takes the place in the mix from the files' names and rows.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard; within a shard they stay in the order of the mix."""
-    return sharding.shard(docs)
+    """All documents with their shard and mix_position, sorted by both: within a shard they stay in the order of the mix."""
+    return sharding.shard(mixing.stored_position(docs)).orderBy("shard", "mix_position")
 
 
 STAGES = [

@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +139,26 @@ def in_order(mixed: DataFrame, rows: int) -> DataFrame:
     return mixed.repartitionById(parts, F.floor(F.col("mix_position") / POSITION_ROWS).cast("int")).sortWithinPartitions("mix_position")
 
 
+def stored_position(docs: DataFrame) -> DataFrame:
+    """``docs``, read from files that were written ``in_order``, with each row's mix_position: by part number, then by row.
+
+    Rows that come from no Parquet file have no order; their position is null.  One count for each file reaches the driver.
+    """
+    own = [name for name in docs.columns if name != "mix_position"]
+    try:
+        placed = docs.select(*(F.col(f"`{name}`") for name in own), F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return docs.withColumn("mix_position", F.lit(None).cast("long"))
+    sizes = {r[0]: r[1] for r in placed.groupBy("__file").agg(F.max("__row") + 1).collect()}
+    firsts, position = [], 0
+    for name in sorted(sizes, key=lambda name: [(not piece.isdigit(), int(piece) if piece.isdigit() else 0, piece) for piece in re.split(r"(\d+)", name)]):
+        firsts.append((name, position))
+        position += sizes[name]
+    plan = docs.sparkSession.createDataFrame(firsts, "__file string, __first long")
+    found = placed.join(F.broadcast(plan), "__file").withColumn("mix_position", F.col("__first") + F.col("__row"))
+    return found.select(*(F.col(f"`{name}`") for name in own), "mix_position")
+
+
 def mix_report(df: DataFrame) -> DataFrame:
     """doc_id, source, mix_block and mix_position."""
     return mix(df.select("doc_id", "source", "text")).drop("text")
