@@ -1,26 +1,25 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
-
-Symbols are words (runs of word characters, lower case).  The CGK embedding of a sequence is a
-random walk over it: step j emits the current word and moves on by a random bit that depends on
-j and on the word, so that two walks over sequences of small edit distance emit equal words at
-most steps, whatever was inserted or deleted.  A repetition draws the walk's bits anew, starts
-at its own place within an item-sized window, and samples ``SAMPLES`` steps of the walk; a window
-meets an item if all samples are equal.  A sampled walk covers about ``SPAN`` words, so a
-repetition finds a window with a share e of its words edited with probability (1 - e) ** SPAN at
-least; the number of repetitions follows from ``RECALL`` at the largest e.  Exact copies are found
-by each repetition.  Samples are compared one after the other, on the windows that are left.
+"""Benchmark decontamination: exact pieces of items as anchors, exact edit verification.
+
+Symbols are words (runs of word characters, lower case).  A text holds an item of n words if some
+stretch of it is within k = (1 - LEAST) * n edits of the item.  If the item is cut into k + 1 pieces,
+k edits leave one piece whole, so every such stretch has one of the pieces, word for word, at most k
+words from its place: no hit is lost, wherever the edits are and whatever the item's length.
+
+Each piece (its first ``LONGEST`` words, if it is longer) is an anchor.  The running hashes of all
+windows of a text of an anchor's length are looked up in a bit table, and what is left in the sorted
+hashes of the anchors.  A meeting stays only if the words around it that are the item's are enough
+of them, which loses nothing either.
 
 A meeting is verified exactly: the item's least edit distance (in words) to any stretch of the
 text around the window must be at most (1 - LEAST) of the item's words.
 
-Items of fewer than ``FEWEST`` words, empty and null ones among them, match nothing; null and
-empty texts contain nothing.  Rows with null or repeated keys each give their own hits.  Items
-are held in blocks of at most ``BLOCK`` items per pass, so what is broadcast is bounded.
+Empty and null items match nothing; null and empty texts contain nothing.  Rows with null or
+repeated keys each give their own hits.  Items are held in blocks of at most ``BLOCK`` items per
+pass, so what is broadcast is bounded.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,25 +34,40 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import bound_batches
 
 LEAST = 0.8
-RECALL = 0.95
-STEPS = (0, 2, 5, 9, 14)
-SAMPLES = len(STEPS)
-SPAN = 8
 FEWEST = 5
+LONGEST = 8
 BLOCK = 50_000
 SEED = 20_250_101
 WORD = re.compile(r"\w+")
 FLUSH = 1 << 20
-PAD = STEPS[-1] + 2
+CELLS = 1 << 19
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if isinstance(text, str) else []
 
 
-def repetitions(least: float = LEAST, recall: float = RECALL) -> int:
-    """How many repetitions reach ``recall``; at most 64."""
-    return min(64, math.ceil(math.log(1 - recall) / math.log(1 - least**SPAN)))
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Hashes whose high bits depend on all bits."""
+    out = values * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(32))
+
+
+def bit_table(hashes: np.ndarray) -> np.ndarray:
+    """A table of 2 ** 12 to 2 ** 26 flags with those of ``hashes`` set, a sixteenth of it at most if its size allows."""
+    table = np.zeros(1 << min(26, max(12, (16 * len(hashes)).bit_length())), bool)
+    table[slots(hashes, table)] = True
+    return table
+
+
+def slots(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
+
+
+def pieces(size: int, most: int) -> list[tuple[int, int]]:
+    """(first word, words) of the anchors: most + 1 parts of an item, equally long but for one word."""
+    ends = [size * k // (most + 1) for k in range(most + 2)]
+    return [(a, min(b - a, LONGEST)) for a, b in zip(ends, ends[1:])]
 
 
 def least_distance(pattern: list, text: list) -> tuple[int, int]:
@@ -84,78 +98,87 @@ class Finder:
     ids: list
     items: list[list[str]]
     least: float = LEAST
-    recall: float = RECALL
 
     def __post_init__(self):
-        self.vocabulary = {w: k for k, w in enumerate(dict.fromkeys(w for item in self.items for w in item), 1)}
-        self.coded = [np.array([self.vocabulary[w] for w in item], np.int64) for item in self.items]
         draw = np.random.default_rng(SEED)
-        common = np.bincount(np.concatenate([*self.coded, [0]]), minlength=len(self.vocabulary) + 1)
-        self.rounds, self.begins = [], np.zeros(len(self.vocabulary) + 1, np.uint64)
-        for r in range(repetitions(self.least, self.recall)):
-            moves = draw.integers(0, 2, (STEPS[-1], len(self.vocabulary) + 1), dtype=np.int64)
-            salt = draw.integers(1, 1 << 62, SAMPLES, dtype=np.int64) | 1
-            place = (r * 0.6180339887) % 1.0
-            groups = defaultdict(list)
-            for k, item in enumerate(self.coded):
-                middle = int(place * max(0, len(item) - SPAN))
-                near = item[max(0, middle - SPAN // 2) : max(0, min(len(item) - SPAN, middle + SPAN // 2)) + 1]
-                offset = max(0, middle - SPAN // 2) + int(np.argmin(common[near]))
-                self.begins[item[offset]] |= np.uint64(1 << r)
-                rest = np.concatenate([item[offset:], np.zeros(PAD, np.int64)])
-                depth = sum(s < len(item) - offset for s in STEPS)
-                groups[depth].append((k, offset, self._walk(rest, moves, salt, depth)))
-            self.rounds.append((moves, salt, {d: self._tables(g) for d, g in groups.items()}))
+        self.vocabulary = {w: k for k, w in enumerate(dict.fromkeys(w for item in self.items for w in item), 1)}
+        self.values = draw.integers(1, 1 << 63, len(self.vocabulary) + 1, dtype=np.uint64)
+        self.sizes = np.array([len(item) for item in self.items], np.int64)
+        self.mosts = np.array([self.most(k) for k in range(len(self.items))], np.int64)
+        anchors, words = defaultdict(list), [np.zeros(0, np.uint64)]
+        for k, item in enumerate(self.items):
+            coded = np.array([self.vocabulary[w] for w in item], np.int64)
+            words.append(self._own_word(coded, np.int64(k)))
+            for at, size in pieces(len(item), self.most(k)) if item else ():
+                anchors[size].append((int(self._hashes(coded[at : at + size], size)[0]), k, at))
+        self.bag = bit_table(np.concatenate(words))
+        self.anchors = {}
+        for size, own in sorted(anchors.items()):
+            signs = np.array([sign for sign, _, _ in own], np.uint64)
+            order = np.argsort(signs, kind="stable")
+            keys, first, count = np.unique(signs[order], return_index=True, return_counts=True)
+            places = np.array([(k, at) for _, k, at in own], np.int64)[order]
+            self.anchors[size] = (bit_table(mixed(keys)), keys, first, count, places)
+
+    def _hashes(self, symbols: np.ndarray, size: int) -> np.ndarray:
+        """A hash of each window of ``size`` symbols."""
+        return self._longer({}, self.values[symbols], size)
 
     @staticmethod
-    def _walk(symbols: np.ndarray, moves: np.ndarray, salt: np.ndarray, depth: int) -> list[int]:
-        """The running signature after each of ``depth`` samples."""
-        at, sign, out = 0, np.int64(0), []
-        with np.errstate(over="ignore"):
-            for j in range(STEPS[depth - 1] + 1):
-                if j in STEPS:
-                    sign = sign * np.int64(1_000_003) + symbols[at] * salt[len(out)]
-                    out.append(int(sign))
-                if j < STEPS[-1]:
-                    at += moves[j, symbols[at]]
+    def _longer(known: dict[int, np.ndarray], values: np.ndarray, size: int) -> np.ndarray:
+        """The windows' hashes, from the longest shorter ones that are ``known``."""
+        have = max((s for s in known if s <= size), default=1)
+        out = known.get(have, values)
+        for s in range(have, size):
+            out = out[: len(values) - s] * np.uint64(0xD6E8FEB86659FD93)
+            out ^= out >> np.uint64(29)
+            out += values[s:]
         return out
 
-    def _tables(self, group: list) -> tuple:
-        """First symbols, sorted signatures of each depth, and who has each full signature."""
-        first = np.zeros(len(self.vocabulary) + 1, bool)
-        for k, offset, _ in group:
-            first[self.coded[k][offset]] = True
-        signs = [np.unique(np.array([s[d] for _, _, s in group], np.int64)) for d in range(len(group[0][2]))]
-        owners = defaultdict(list)
-        for k, offset, s in group:
-            owners[s[-1]].append((k, offset))
-        return first, signs, dict(owners)
-
-    def meetings(self, symbols: np.ndarray) -> set[tuple[int, int]]:
-        """(item, window start) of all windows that meet an item; starts can be a little off the text's ends."""
-        found = set()
-        begins = self.begins[symbols[:-PAD]]
-        some = np.flatnonzero(begins)
-        begins = begins[some]
-        for r, (moves, salt, tables) in enumerate(self.rounds):
-            here = some[(begins >> np.uint64(r)) & np.uint64(1) == 1]
-            for first, signs, owners in tables.values():
-                start = here[first[symbols[here]]]
-                at, k = start.copy(), 0
-                sign = np.zeros(len(start), np.int64)
-                for j in range(STEPS[len(signs) - 1] + 1):
-                    if j in STEPS:
-                        sign = sign * np.int64(1_000_003) + symbols[at] * salt[k]
-                        place = np.minimum(np.searchsorted(signs[k], sign), len(signs[k]) - 1)
-                        left = np.flatnonzero(signs[k][place] == sign)
-                        start, at, sign, k = start[left], at[left], sign[left], k + 1
-                        if not len(start):
-                            break
-                    if j < STEPS[-1]:
-                        at = at + moves[j, symbols[at]]
-                for p, s in zip(start.tolist(), sign.tolist()):
-                    found.update((item, p - offset) for item, offset in owners.get(s, ()))
-        return found
+    @staticmethod
+    def _own_word(symbols: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """A hash of each (item, symbol)."""
+        return mixed((items.astype(np.uint64) << np.uint64(32)) + symbols.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+
+    def meetings(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(anchor's place, item, window start) of all windows that meet an item; 0 stands for every word of no item."""
+        values, known = self.values[symbols], {}
+        for size, (table, keys, first, count, places) in self.anchors.items():
+            if len(symbols) < size:
+                continue
+            signs = self._longer(known, values, size)
+            known = {size: signs}
+            at = np.flatnonzero(table[slots(mixed(signs), table)])
+            key = np.minimum(np.searchsorted(keys, signs[at]), len(keys) - 1)
+            there = keys[key] == signs[at]
+            at, key = at[there], key[there]
+            ends = np.cumsum(count[key])
+            begin = 0
+            while begin < len(at):  # at most CELLS meetings at a time, but those of one window together
+                done = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, done + CELLS, "right")))
+                n = count[key[begin:end]]
+                row = np.repeat(first[key[begin:end]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                place, (item, offset) = np.repeat(at[begin:end], n), places[row].T
+                keep = self._enough(symbols, item, place - offset)
+                yield place[keep], item[keep], (place - offset)[keep]
+                begin = end
+
+    def _enough(self, symbols: np.ndarray, item: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether the words around each window that are its item's are as many as a hit needs."""
+        keep = np.zeros(len(item), bool)
+        sizes = self.sizes[item]
+        for size in np.unique(sizes):
+            own = np.flatnonzero(sizes == size)
+            most = int(self.mosts[item[own[0]]])
+            step = max(1, CELLS // (size + 2 * most))
+            for k in range(0, len(own), step):
+                part = own[k : k + step]
+                at = start[part, None] + np.arange(-most, size + most)
+                word = np.where((at >= 0) & (at < len(symbols)), symbols[np.clip(at, 0, len(symbols) - 1)], 0)
+                good = self.bag[slots(self._own_word(word, item[part, None]), self.bag)] & (word > 0)
+                keep[part] = good.sum(axis=1) >= size - most
+        return keep
 
     def verify(self, meetings: set[tuple[int, int]], words: list[str]) -> list[tuple]:
         """(item id, distance, first word, end word) of the best stretch of each item that is near enough.
@@ -191,7 +214,7 @@ class Finder:
         size = 0
         for text in texts:
             held.append(words_of(text))
-            size += len(held[-1]) + PAD
+            size += len(held[-1]) + 1
             if size > FLUSH:
                 out += self._search(held)
                 held, size = [], 0
@@ -200,23 +223,18 @@ class Finder:
     def _search(self, held: list[list[str]]) -> list[list[tuple]]:
         if not held:
             return []
-        get, pad, flat, begins = self.vocabulary.get, [0] * PAD, [], []
+        get, flat, begins = self.vocabulary.get, [], []
         for words in held:
             begins.append(len(flat))
             flat += [get(w, 0) for w in words]
-            flat += pad
+            flat.append(0)  # no anchor reaches into the next text
         by_text = defaultdict(set)
-        if self.items:
-            begins_at = np.array(begins)
-            met = list(self.meetings(np.array(flat, np.int64)))
-            # a window may begin before its text: the place of the sample decides, which is at most an item later
-            for (item, start), k in zip(met, np.searchsorted(begins_at, [s for _, s in met], "right") - 1):
-                k = max(int(k), 0)
-                if start >= begins[k] + len(held[k]) and k + 1 < len(held):
-                    k += 1
-                by_text[k].add((item, start - begins[k]))
-                if start + len(self.items[item]) >= begins[k] + len(held[k]) and k + 1 < len(held):
-                    by_text[k + 1].add((item, start - begins[k + 1]))
+        starts = np.array(begins, np.int64)
+        for place, item, start in self.meetings(np.array(flat, np.int64)):
+            k = np.searchsorted(starts, place, "right") - 1
+            found = np.unique(np.stack([k, item, start - starts[k]], axis=1), axis=0) if len(k) else np.zeros((0, 3), np.int64)
+            for text, own, at in found.tolist():
+                by_text[text].add((own, at))
         return [self.verify(by_text[k], words) if k in by_text else [] for k, words in enumerate(held)]
 
 
