@@ -32,3 +32,26 @@ def test_common_starts_don_t_hide_items():
     finder = decontaminate.Finder(list(range(len(items))), items)
     found = finder.search(["which of the following a7 x c7", "which of the following is", "x b9 c9", None, ""])
     assert [[h[:2] for h in own] for own in found] == [[(7, 1)], [], [], [], []]
+
+
+def test_short_items_are_met_exactly(spark):
+    items = spark.createDataFrame([(1, "one two"), (2, "Quartz"), (3, "a b c d"), (4, "..."), (5, None)], "item_id long, text string")
+    texts = ["x One, two y", "one x two", "of quartz.", "quartzes", "a b c d", "a b x d", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(tuple(r) for r in decontaminate.find_leaks(df, items).collect())
+    assert found == [(0, 1, 0, 1, 3), (2, 2, 0, 1, 2), (4, 3, 0, 0, 4)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(df, items).collect()) == [1, 3, 5, 6, 7]
+
+
+@pytest.mark.parametrize("item, edited, other", [
+    ("中国的首都是哪一座城市请选择正确答案", "据说中国的首都是哪一坐城市请选择正确答案吗", "今天天气很好我们去公园散步吧然后回家吃饭"),
+    ("日本でいちばん高い山はどれですか", "さて日本でいちばん高い川はどれですかね", "きのうは友だちと映画を見に行きました"),
+    ("เมืองหลวงของประเทศไทยคือเมืองใด", "ถามว่าเมืองหลวงของประเทศไทยคือเมืองไดครับ", "วันนี้อากาศดีมากเราไปเดินเล่นกัน"),
+])
+def test_scripts_without_spaces(item, edited, other):
+    finder = decontaminate.Finder([1], [decontaminate.words_of(item)])
+    assert [[h[0] for h in own] for own in finder.search([item, edited, other, f"abc{item}123"])] == [[1], [1], [], [1]]
+
+
+def test_words_of_mixed_scripts():
+    assert decontaminate.words_of("GPT4模型 über 10年, naïve_x") == ["gpt4", "模", "型", "über", "10", "年", "naïve_x"]

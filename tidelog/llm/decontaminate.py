@@ -1,6 +1,7 @@
 """Benchmark decontamination: exact pieces of items as anchors, exact edit verification.
 
-Symbols are words (runs of word characters, lower case).  A text holds an item of n words if some
+Symbols are words (runs of word characters, lower case); in scripts written without spaces (Han,
+kana, Thai, Lao, Khmer, Myanmar, Tibetan) each letter or mark is a symbol of its own.  A text holds an item of n words if some
 stretch of it is within k = (1 - LEAST) * n edits of the item.  If the item is cut into k + 1 pieces,
 k edits leave one piece whole, so every such stretch has one of the pieces, word for word, at most k
 words from its place: no hit is lost, wherever the edits are and whatever the item's length.
@@ -13,7 +14,7 @@ of them, which loses nothing either.
 A meeting is verified exactly: the item's least edit distance (in words) to any stretch of the
 text around the window must be at most (1 - LEAST) of the item's words.
 
-Empty and null items match nothing; null and empty texts contain nothing.  Rows with null or
+Items of fewer than ``FEWEST`` words allow no edit, so they are met word for word.  Empty and null items match nothing; null and empty texts contain nothing.  Rows with null or
 repeated keys each give their own hits.  Items are held in blocks of at most ``BLOCK`` items per
 pass, so what is broadcast is bounded.
 """
@@ -21,6 +22,7 @@ pass, so what is broadcast is bounded.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,15 +36,39 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import bound_batches
 
 LEAST = 0.8
+#: Items of fewer words have no word to spare at LEAST.
 FEWEST = 5
 LONGEST = 8
 BLOCK = 50_000
 SEED = 20_250_101
-WORD = re.compile(r"\w+")
+#: Blocks of scripts without spaces between words.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x3100, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
+)
 FLUSH = 1 << 20
 CELLS = 1 << 19
 
 
+def _letters() -> str:
+    """The letters and marks of UNSPACED, as ranges of a character class."""
+    out = []
+    for a, b in UNSPACED:
+        if a >= 0x20000:
+            out.append(f"{chr(a)}-{chr(b)}")
+            continue
+        out += [re.escape(chr(c)) for c in range(a, b + 1) if unicodedata.category(chr(c))[0] in "LM" or c == 0x3007]
+    return "".join(out)
+
+
+def _word() -> re.Pattern:
+    own = _letters()
+    return re.compile(rf"[{own}]|[^\W{own}]+")
+
+
+WORD = _word()
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if isinstance(text, str) else []
 
@@ -244,7 +270,7 @@ def finders(items: DataFrame, key: str = "item_id", text: str = "text", **option
     dealt = items.select(key, text, F.pmod(F.xxhash64(key, text), F.lit(blocks)).alias("block"))
     for b in range(blocks):
         rows = [(k, words_of(t)) for k, t, _ in sorted(dealt.where(F.col("block") == b).collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))]
-        rows = [(k, w) for k, w in rows if len(w) >= FEWEST]
+        rows = [(k, w) for k, w in rows if w]
         yield Finder([k for k, _ in rows], [w for _, w in rows], **options)
 
 
