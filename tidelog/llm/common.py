@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that go to a Python worker at a time: whole texts, so few.
-BATCH_ROWS = 500
-ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whole texts are worked on so many bytes at a time (Spark itself sends no batch of more than 64 MB).
+PIECE_BYTES = 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -53,9 +56,11 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{name}`") for name in df.columns]
 
 
-def bound_batches(df: DataFrame) -> DataFrame:
-    """``df``, in a session that sends at most BATCH_ROWS rows to Python at a time (fewer, if it was set so)."""
-    conf = df.sparkSession.conf
-    if int(conf.get(ROWS_SETTING, "10000")) > BATCH_ROWS:
-        conf.set(ROWS_SETTING, str(BATCH_ROWS))
-    return df
+def pieces(parts: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about PIECE_BYTES of one column; one value alone may be longer."""
+    for part in parts:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(part.column(column)), 0).to_numpy(zero_copy_only=False))
+        ends = np.unique(np.append(np.searchsorted(sizes, np.arange(PIECE_BYTES, sizes[-1] if len(sizes) else 0, PIECE_BYTES)) + 1, part.num_rows))
+        for begin, end in zip([0, *ends.tolist()], ends.tolist()):
+            if end > begin:
+                yield part.slice(begin, end - begin)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bound_batches
+from tidelog.llm.common import pieces
 
 SIDE = 24
 UNIT = SIDE * SIDE
@@ -200,7 +200,7 @@ def encode_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     kind = df.schema[key].dataType.simpleString()
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts, 1):
             sizes, files, held, begun = [], [], 0, 0
             for i, t in enumerate(part.column(1)):
                 data = (t.as_py() or "").encode("utf-8")
@@ -212,7 +212,7 @@ def encode_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                     yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], [key, "n_bytes", "media"])
                     sizes, files, held, begun = [], [], 0, i + 1
 
-    return bound_batches(df).select(key, text).mapInArrow(encode, f"`{key}` {kind}, n_bytes long, media binary")
+    return df.select(key, text).mapInArrow(encode, f"`{key}` {kind}, n_bytes long, media binary")
 
 
 def _features(media: bytes) -> dict:
@@ -237,12 +237,12 @@ def decode_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
     fields = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "clips": pa.list_(clip)}
 
     def decode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts, 2):
             found = [_features(m.as_py()) for m in part.column(2)]
             columns = [pa.array([f[name] for f in found], kind) for name, kind in fields.items()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], [key, "n_bytes", *fields])
 
-    return bound_batches(df).select(key, "n_bytes", "media").mapInArrow(
+    return df.select(key, "n_bytes", "media").mapInArrow(
         decode,
         f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips {CLIPS}",
     )
