@@ -1,18 +1,25 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands for candidates, exact sets to verify.
+"""Near copies by the Jaccard similarity of word shingles: SimHash links and MinHash bands for candidates, exact sets to verify.
 
 Words are those of ``simhash``; a text's shingle set has its distinct runs of ``SHINGLE`` words (all
 its words, if fewer), as XXH64 values.  Two texts are linked if the Jaccard similarity of their sets
 is at least ``SIMILAR`` (4/5); groups are the components of links.  Texts of equal sets, among them
-those without a word, are copies.
-
-Candidates share a band: the least values of ``ROWS`` random permutations of the set.  Of pairs
-with similarity s a share of 1 - (1 - s ** ROWS) ** BANDS shares one: 0.9998 at 0.8.
-
-Sets that are equal count once.  First each member of a band is verified against the band's least member
-only, which links most copies; then pairs of a band that are not yet in one component, and whose
-sizes allow the similarity, are verified one by one, so no pair of a band is left out.  Sets are
-made again, from the texts, only for texts that share a band; verification compares the lower 32
-bits of their values (by chance, two texts of 20,000 words agree in a tenth of a value).
+those without a word (null and empty ones), are copies.  Of columns only the key and the text are read; rows with a null key
+get a component, but don't count as least keys; an empty table gives no row.
+
+Fingerprints of two sets of similarity 0.8 differ in about ten of 64 bits, too many for a search by fingerprints alone.  So
+candidates come from three sources, and each is verified on the exact sets:
+
+1. ``simhash.links`` over the fingerprints of the shingles: members of a component against its least set.
+2. Bands: the least values of ``ROWS`` random permutations of the set.  Of pairs with similarity s a share of
+   1 - (1 - s ** ROWS) ** BANDS shares a band: 0.9998 at 0.8.  Members of a band against the band's most central set, the one
+   whose bands have the most members.  Most copies of one text are linked to it here, so no list of partners is gathered.
+3. The rest, without pairing a band's members: sets of bands that aren't one component yet are joined on their rarest shingles.
+   Two sets of similarity 0.8 share one among the first size - 0.8 * size + 1 of each, in one order of all shingles; and where their
+   first common one stands, enough must be left in both.  A copy that is too far from its original has so many
+   shingles of its own that nothing is left to meet, so this grows with links, not with the square of a group.
+
+Sets that are equal count once.  Sets are made again, from the texts, only for texts that share a band or a SimHash component;
+verification compares the lower 32 bits of their values (by chance, two texts of 20,000 words agree in a tenth of a value).
 """
 
 from __future__ import annotations
@@ -24,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bound_batches, cut, scratch
+from tidelog.llm.common import cut, pieces, scratch
 from tidelog.llm.components import connected_components
-from tidelog.llm.simhash import BROADCAST_BYTES
+from tidelog.llm.simhash import BROADCAST_BYTES, fingerprint_of, links, mark, shingle_hashes
 
 SHINGLE = 5
 #: The least similarity, as a fraction.
@@ -45,17 +52,7 @@ _BAND = _DRAW.integers(0, 1 << 63, BANDS, dtype=np.uint64)
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The sorted values of a text's distinct shingles; empty without a word."""
-    import xxhash
-
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined, xxh = b" ".join(words), xxhash.xxh64_intdigest
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    last = min(SHINGLE, len(words)) - 1
-    n = len(words) - last
-    return np.unique(np.array([xxh(joined[i:j], SEED) for i, j in zip((ends - lengths)[:n].tolist(), ends[last:].tolist())], dtype=np.uint64))
+    return np.unique(shingle_hashes(text, SHINGLE))
 
 
 def bands_of(own: np.ndarray) -> np.ndarray:
@@ -83,27 +80,29 @@ def _identity(own: list[np.ndarray]) -> pa.Array:
 
 
 def banded(df: DataFrame, key: str, text: str) -> DataFrame:
-    """__key, sig (the identity of the shingle set), its size and its bands, of every row."""
+    """__key, __mark, fp (the SimHash of the shingles), sig (the identity of their set), its size and its bands, of every row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingle_set(t.as_py()) for t in batch.column(1)]
+        for batch in pieces(batches, 1):
+            every = [shingle_hashes(t.as_py(), SHINGLE) for t in batch.column(1)]
+            fps = pa.array(np.array([fingerprint_of(h) for h in every], dtype=np.uint64).view(np.int64))
+            own = [np.unique(h) for h in every]
             sizes, bands = pa.array([len(s) for s in own], pa.int32()), _listed([bands_of(s).view(np.int64) for s in own], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _identity(own), sizes, bands], ["__key", "sig", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), fps, _identity(own), sizes, bands], ["__key", "__mark", "fp", "sig", "size", "bands"])
 
     kind = df.schema[key].dataType.simpleString()
-    return bound_batches(df).select(key, text).mapInArrow(hashed, f"__key {kind}, sig long, size int, bands array<long>")
+    return df.select(key, text, mark(text)).mapInArrow(hashed, f"__key {kind}, __mark long, fp long, sig long, size int, bands array<long>")
 
 
 def shingle_sets(texts: DataFrame, text: str) -> DataFrame:
     """sig and shingles, 32 bits of each, of every row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             own = [shingle_set(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([_identity(own), _listed([np.unique(s.astype(np.uint32)).view(np.int32) for s in own], np.int32)], ["sig", "shingles"])
 
-    return bound_batches(texts).select(text).mapInArrow(hashed, "sig long, shingles array<int>")
+    return texts.select(text).mapInArrow(hashed, "sig long, shingles array<int>")
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -122,33 +121,69 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return small(pairs).join(one, "a").join(two, "b").where(near).select("a", "b").distinct()
 
 
+def fingerprint_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): each set of a component of SimHash links, and the component's least set."""
+    sets = cut(rows.where("size > 0").groupBy("sig").agg(F.min("fp").alias("fp")))
+    distinct = cut(sets.select("fp").distinct())
+    near = connected_components(links(distinct))
+    placed = sets.join(near, F.col("fp") == F.col("node"), "left").select("sig", F.coalesce("root", "fp").alias("root"))
+    least = placed.groupBy("root").agg(F.min("sig").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return cut(placed.join(least, "root").where("sig <> b").select(F.col("sig").alias("a"), "b"))
+
+
+def centers(crowd: DataFrame) -> DataFrame:
+    """(a, b): each set of a band, and the band's most central one; ``crowd`` has band, sig and n, the members of the band."""
+    score = crowd.groupBy("sig").agg(F.sum("n").alias("score"))
+    ranked = crowd.select("band", "sig").join(score, "sig")
+    best = ranked.groupBy("band").agg(F.max_by("sig", F.struct("score", "sig")).alias("b"))
+    return crowd.join(best, "band").where("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
+
+
+def remaining_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b), a > b: sets of different roots that can be similar by the places of their first common shingle; ``open_`` has sig and root."""
+    up, down = SIMILAR
+    each = cut(open_.join(sets, "sig").select("sig", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("token")))
+    common = each.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 1")
+    held = each.join(common, "token").groupBy("sig").agg(
+        F.first("root").alias("root"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("n", "token", (F.col("lo") != F.col("hi")).alias("mixed")))).alias("tokens")
+    )
+    alone = F.col("size") - F.size("tokens")
+    longest = F.col("size") - F.ceil(F.col("size") * up / down) + 1
+    first = held.withColumn("alone", alone).where(longest > alone).select(
+        "sig", "root", "size", "alone", F.posexplode(F.slice("tokens", F.lit(1), (longest - alone).cast("int"))).alias("at", "t")
+    )
+    first = first.where("t.mixed").select("sig", "root", "size", (F.col("size") - F.col("alone") - F.col("at")).alias("left"), F.col("t.token").alias("token"))
+    other = first.select("token", F.col("sig").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
+    enough = F.least("left", "left_b") * (up + down) >= (F.col("size") + F.col("size_b")) * up
+    fits = (F.col("size") * down >= F.col("size_b") * up) & (F.col("size_b") * down >= F.col("size") * up)
+    pairs = first.join(other, "token").where((F.col("root") != F.col("root_b")) & (F.col("sig") > F.col("b")) & fits & enough)
+    return pairs.select(F.col("sig").alias("a"), "b").distinct()
+
+
 def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and component_id: the least key of all rows reachable over links."""
-    spark, (up, down), path = df.sparkSession, SIMILAR, scratch(df.sparkSession, "shingle-bands")
+    """key, __mark and component_id: the least key of all rows reachable over links."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, "shingle-bands")
     banded(df, key, text).write.parquet(path)
     rows = spark.read.parquet(path)
     members = rows.groupBy("sig").agg(F.min("__key").alias("least"))
-    spread = cut(rows.where("size > 0").select("sig", "size", F.explode("bands").alias("band")).distinct())
-    shared = spread.groupBy("band").agg(F.min("sig").alias("center"), F.count("*").alias("n")).where("n > 1").select("band", "center")
+    spread = cut(rows.where("size > 0").select("sig", F.explode("bands").alias("band")).distinct())
+    shared = spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     crowd = cut(spread.join(shared, "band"))
-    some = small(crowd.select("sig").distinct())
+    near = fingerprint_pairs(rows)
+    some = small(crowd.select("sig").unionByName(near.select(F.explode(F.array("a", "b")).alias("sig"))).distinct())
     keys = small(members.join(some, "sig", "left_semi").select(F.col("least").alias(key)).distinct())
     texts = df.select(key, text).join(keys, key, "left_semi").unionByName(df.select(key, text).where(F.col(key).isNull()))
     sets_path = scratch(spark, "shingle-sets")
-    shingle_sets(texts, text).write.parquet(sets_path)
+    shingle_sets(texts, text).dropDuplicates(["sig"]).write.parquet(sets_path)
     sets = spark.read.parquet(sets_path)
-    first = cut(verified(crowd.where("sig <> center").select(F.col("sig").alias("a"), F.col("center").alias("b")).distinct(), sets))
+    first = cut(verified(near.unionByName(centers(crowd)).distinct(), sets))
     roots = connected_components(first)
-    placed = cut(crowd.join(roots, F.col("sig") == F.col("node"), "left").select("band", "sig", "size", "center", F.coalesce("root", "sig").alias("root")))
+    placed = cut(crowd.join(roots, F.col("sig") == F.col("node"), "left").select("band", "sig", F.coalesce("root", "sig").alias("root")))
     mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    # the band's least member has been verified against all others
-    open_ = placed.join(mixed, "band", "left_semi").where("sig <> center")
-    other = open_.select("band", F.col("sig").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    fits = (F.col("size") * down >= F.col("size_b") * up) & (F.col("size_b") * down >= F.col("size") * up)
-    pairs = open_.join(other, "band").where((F.col("root") != F.col("root_b")) & (F.col("sig") > F.col("b")) & fits)
-    second = verified(pairs.select(F.col("sig").alias("a"), "b").distinct(), sets)
+    open_ = placed.join(mixed, "band", "left_semi").select("sig", "root").distinct()
+    second = verified(remaining_pairs(open_, sets), sets)
     roots = connected_components(first.unionByName(second))
     rooted = members.select("sig", "least").join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
     rooted = cut(rooted)
     named = rooted.select("sig", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sig", "component_id")
-    return rows.select("__key", "sig").join(named, "sig").select(F.col("__key").alias(key), "component_id")
+    return rows.select("__key", "__mark", "sig").join(named, "sig").select(F.col("__key").alias(key), "__mark", "component_id")

@@ -17,7 +17,8 @@ Components of linked fingerprints come from ``connected_components``.  Nothing o
 corpus reaches the driver: it gets a 65 x 65 matrix and at most 64 / 16 * 2**16 cells.
 
 Rows with a null key get a fingerprint and a component; they don't count as least keys, and a
-component of such rows alone has a null id.  Repeated rows are copies of each other.
+component of such rows alone has a null id.  Repeated rows are copies of each other.  An empty table gives no row;
+of other columns none is read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bound_batches, cut
+from tidelog.llm.common import columns, cut, pieces
 from tidelog.llm.components import connected_components
 
 BITS = 64
@@ -41,35 +42,50 @@ CELL_BITS = 16
 BROADCAST_BYTES = 64 << 20
 
 
-def fingerprint(text: str | None) -> int:
-    """The SimHash of one text, unsigned."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The XXH64 values of a text's shingles, in order and with repeats; none without a word."""
     import xxhash
 
     words = (text or "").encode("utf-8").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, xxh = b" ".join(words), xxhash.xxh64_intdigest
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    last = min(SHINGLE, len(words)) - 1
-    counts, n = np.zeros(BITS, np.int64), len(words) - last
+    last = min(shingle, len(words)) - 1
+    n = len(words) - last
+    spans = zip((ends - lengths)[:n].tolist(), ends[last:].tolist())
+    return np.fromiter((xxh(joined[i:j], SEED) for i, j in spans), np.uint64, n)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of shingles, unsigned; zero without one."""
+    counts, n = np.zeros(BITS, np.int64), len(hashes)
     for at in range(0, n, 1 << 16):
-        a, b = starts[at : min(n, at + (1 << 16))].tolist(), ends[at + last : min(n, at + (1 << 16)) + last].tolist()
-        hashes = np.array([xxh(joined[i:j], SEED) for i, j in zip(a, b)], dtype=np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        part = hashes[at : at + (1 << 16)]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None) -> int:
+    """The SimHash of one text, unsigned."""
+    return fingerprint_of(shingle_hashes(text))
+
+
+def mark(text: str) -> F.Column:
+    """A hash by which rows of one key are told apart by their texts."""
+    return F.xxhash64(text).alias("__mark")
+
+
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and fingerprint (as a signed long) of every row."""
+    """key, __mark (a hash of the text) and fingerprint (as a signed long) of every row."""
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in pieces(parts, 1):
             found = np.array([fingerprint(t.as_py()) for t in part.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], [key, "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found)], [key, "__mark", "fp"])
 
-    return bound_batches(df).select(key, text).mapInArrow(hashed, f"`{key}` {df.schema[key].dataType.simpleString()}, fp long")
+    return df.select(key, text, mark(text)).mapInArrow(hashed, f"`{key}` {df.schema[key].dataType.simpleString()}, __mark long, fp long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -252,14 +268,14 @@ def links(fps: DataFrame, within: int = WITHIN, parts: int | None = None) -> Dat
 
 
 def simhash_groups(df: DataFrame, key: str = "doc_id", text: str = "text", within: int = WITHIN) -> DataFrame:
-    """key, fp and component_id: the least key of all rows reachable over links of at most ``within`` bits."""
+    """key, __mark, fp and component_id: the least key of all rows reachable over links of at most ``within`` bits."""
     hashed = cut(fingerprints(df, key, text))
     distinct = cut(hashed.groupBy("fp").agg(F.min(key).alias("least")))
     roots = connected_components(links(distinct, within))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return hashed.join(named, "fp").select(key, "fp", "component_id")
+    return hashed.join(named, "fp").select(key, "__mark", "fp", "component_id")
 
 
 def simhash_report(df: DataFrame) -> DataFrame:
@@ -270,22 +286,30 @@ def simhash_report(df: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", groups: Callable[..., DataFrame] = simhash_groups) -> DataFrame:
-    """``df`` with one row of each component: that with the least key (of rows repeated under it, one).
+    """``df`` with one row of each component: that with the least key, of several texts under that key the one of the least hash.
 
-    ``groups`` gives key and component_id of every row.  Rows with a null key can't be named by a decision and stay.
+    ``groups`` gives key, __mark and component_id of every row, so that a decision names a key and a text: rows that share a key
+    but not a component are judged apart.  Of rows with equal keys and texts one stays, the least of them as JSON.  Rows with a null key
+    can't be named by a decision and stay.
     """
-    grouped = cut(groups(df, key, text).where(F.col(key).isNotNull()))
-    gone = grouped.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    kept = without(df, gone, key)
-    again = grouped.groupBy(key).count().where("count > 1").select(key)
+    named = [key, "__mark"]
+    grouped = cut(groups(df, key, text).where(F.col(key).isNotNull()).select(*named, "component_id"))
+    own = grouped.where(F.col(key) == F.col("component_id"))
+    several = own.groupBy(key).agg(F.min("__mark").alias("__least"), F.max("__mark").alias("__most")).where("__least <> __most")
+    others = own.join(several, key).where("__mark <> __least").select(*named)
+    gone = grouped.where(F.col(key) != F.col("component_id")).select(*named).unionByName(others).distinct()
+    kept = without(df.withColumn("__mark", mark(text)), gone, named)
+    again = cut(grouped.groupBy(*named).count().where("count > 1").select(*named))
     if again.isEmpty():
-        return kept
-    twice = kept.join(again, key, "left_semi").dropDuplicates([key])
-    return kept.join(again, key, "left_anti").unionByName(twice)
+        return kept.drop("__mark")
+    columns_ = columns(df)
+    whole = F.struct(*columns_)
+    once = kept.join(again, named, "left_semi").groupBy(*named).agg(F.min_by(whole, F.to_json(whole)).alias("__row"))
+    return without(kept, again, named).select(*columns_).unionByName(once.select("__row.*"))
 
 
-def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+def without(df: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
     """Anti-join: ``gone`` is broadcast if its counted size is within BROADCAST_BYTES, else shuffled."""
     gone = cut(gone)
-    small = gone.count() * 16 <= BROADCAST_BYTES
+    small = gone.count() * 24 <= BROADCAST_BYTES
     return df.join(F.broadcast(gone) if small else gone, key, "left_anti")
