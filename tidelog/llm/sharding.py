@@ -5,15 +5,15 @@ bucket of depth 0 that holds all rows; a bucket whose rows exceed the byte limit
 next hash bit, others stay.  So a row's shard is the shallowest prefix of its hash whose rows
 together fit the limit.
 
-The bytes of every prefix come from one aggregation of (prefix of ``STEP`` more bits than the
-deepest level that must split), rolled up to shorter prefixes; only rows of buckets that are still
-too large go into the next round of ``STEP`` bits.  The directory, about two entries for each
-shard, is written to the shared folder; it is broadcast if its counted size is within
-``BROADCAST_BYTES``, else joined by a shuffle of (depth, prefix).
+The bytes of every prefix come from one aggregation of rows by the prefix of ``STEP`` more bits than an even split needs,
+rolled up ``LEVELS`` levels at a time to shorter prefixes; only rows of buckets that are still
+too large go into the next round of ``STEP`` bits.  To find a row's shard, the directory is expanded to
+prefixes of one length (about 2 ** STEP for each shard), so each row makes one lookup: by broadcast if the table's counted size is within
+``BROADCAST_BYTES``, else by a shuffle on the prefix.  Rows of shards that are deeper, if there are any, make a second one.
 
 A single row larger than the limit, or rows of one key that are, can't be told apart by bits: their
 shard stays whole at depth 60 and has ``oversized`` set.  Null keys hash as empty text; null texts
-have no bytes.  Empty tables give no shard.  A shard's name is its depth and its prefix.
+have no bytes.  Repeated rows share a shard.  Empty tables give no shard.  A shard's name is its depth and its prefix.
 """
 
 from __future__ import annotations
@@ -23,11 +23,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import cut
+from tidelog.llm.common import columns, cut
 
 LIMIT_BYTES = 64 << 20
+#: The limit of the registered query: small, so that the smallest tables are split too.
+QUERY_LIMIT_BYTES = 256 << 10
 HASH_BITS = 60
-STEP = 8
+STEP = 3
+LEVELS = 4
 BROADCAST_BYTES = 64 << 20
 
 
@@ -42,19 +45,37 @@ def prefix(hashed: Column, depth: Column | int) -> Column:
     return F.call_function("shiftright", hashed, (F.lit(HASH_BITS) - depth).cast("int"))
 
 
-def directory(sized: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
-    """(depth, bucket, shard_rows, shard_bytes) of all shards of ``sized`` (hash, n_bytes)."""
+def even_depth(total_bytes: int | None, limit_bytes: int) -> int:
+    """The depth of an even split, and STEP more bits."""
+    return min(HASH_BITS, max(0, math.ceil(math.log2(max(1, (total_bytes or 0) / limit_bytes)))) + STEP)
+
+
+def rolled_up(fine: DataFrame, low: int, high: int) -> DataFrame:
+    """(depth, bucket, shard_rows, shard_bytes) of all prefixes of ``low`` to ``high`` bits, from those of ``high`` (bucket, shard_rows, shard_bytes)."""
+    levels, part = [fine.select(F.lit(high).alias("depth"), "bucket", "shard_rows", "shard_bytes")], fine
+    while high > low:
+        depths = list(range(max(low, high - LEVELS), high))
+        each = part.withColumn("depth", F.explode(F.array(*map(F.lit, depths))))
+        up = F.call_function("shiftright", F.col("bucket"), (F.lit(high) - F.col("depth")).cast("int"))
+        sums = each.groupBy("depth", up.alias("bucket")).agg(F.sum("shard_rows").alias("shard_rows"), F.sum("shard_bytes").alias("shard_bytes"))
+        sums, high = cut(sums), depths[0]
+        levels.append(sums)
+        part = sums.where(F.col("depth") == high).drop("depth")
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
+
+
+def directory(sized: DataFrame, limit_bytes: int = LIMIT_BYTES) -> tuple[DataFrame, int]:
+    """(depth, bucket, shard_rows, shard_bytes) of all shards of ``sized`` (hash, n_bytes), and the depth of an even split."""
     sized = cut(sized)
     total = sized.agg(F.sum("n_bytes"), F.count("*")).first()
-    if not total[1]:
-        return sized.select(*(F.lit(0).cast(t).alias(c) for c, t in (("depth", "int"), ("bucket", "long"), ("shard_rows", "long"), ("shard_bytes", "long")))).limit(0)
-    done, low, left = None, 0, sized
-    high = min(HASH_BITS, max(0, math.ceil(math.log2(max(1, (total[0] or 0) / limit_bytes)))) + STEP)
+    done, low, left, high = None, 0, sized, even_depth(total[0], limit_bytes)
+    depth = high
     while True:
-        fine = left.groupBy(prefix(F.col("hash"), high).alias("fine")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("r"))
-        levels = fine.select(F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"), "fine", "b", "r")
-        bucket = F.call_function("shiftright", F.col("fine"), (F.lit(high) - F.col("depth")).cast("int"))
-        sums = cut(levels.groupBy("depth", bucket.alias("bucket")).agg(F.sum("r").alias("shard_rows"), F.sum("b").alias("shard_bytes")))
+        fine = cut(left.groupBy(prefix(F.col("hash"), high).alias("bucket")).agg(F.count("*").alias("shard_rows"), F.sum("n_bytes").alias("shard_bytes")))
+        sums = rolled_up(fine, low, high)
         large = sums.where(F.col("shard_bytes") > limit_bytes).select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("parent"))
         fits = sums.where((F.col("shard_bytes") <= limit_bytes) | (F.col("depth") == HASH_BITS))
         below = fits.where(F.col("depth") > low).withColumn("parent", F.call_function("shiftright", "bucket", F.lit(1)))
@@ -67,33 +88,46 @@ def directory(sized: DataFrame, limit_bytes: int = LIMIT_BYTES) -> DataFrame:
             break
         left = left.join(open_, prefix(F.col("hash"), high) == F.col("open"), "left_semi")
         low, high = high + 1, min(HASH_BITS, high + STEP)
-    return cut(done)
+    return cut(done.select("depth", "bucket", "shard_rows", "shard_bytes")), depth
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if its counted size is within BROADCAST_BYTES."""
+    return F.broadcast(df) if df.count() * 100 <= BROADCAST_BYTES else df
 
 
 def shard(df: DataFrame, key: str = "doc_id", text: str = "text", limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """``df`` with n_bytes, shard, shard_depth, shard_rows, shard_bytes and oversized, in place of columns so named."""
     df = df.drop("n_bytes", "shard", "shard_depth", "shard_rows", "shard_bytes", "oversized")
     sized = df.select(hash_of(key).alias("hash"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
-    shards = directory(sized, limit_bytes)
-    size, depths = shards.count(), sorted(r.depth for r in shards.select("depth").distinct().collect())
+    shards, depth = directory(sized, limit_bytes)
+    found = ["shard_depth", "shard_rows", "shard_bytes", "shard", "oversized"]
     shards = shards.select(
         F.col("depth").alias("shard_depth"), F.col("bucket").alias("__bucket"), "shard_rows", "shard_bytes",
         F.concat_ws("-", F.lpad(F.col("depth").cast("string"), 2, "0"), F.lpad(F.conv(F.col("bucket").cast("string"), 10, 16), 15, "0")).alias("shard"),
         (F.col("shard_bytes") > limit_bytes).alias("oversized"),
     )
-    if size * 100 <= BROADCAST_BYTES:
-        shards = F.broadcast(shards)
+    shallow, deep = shards.where(F.col("shard_depth") <= depth), shards.where(F.col("shard_depth") > depth)
+    first = F.call_function("shiftleft", F.col("__bucket"), (F.lit(depth) - F.col("shard_depth")).cast("int"))
+    last = F.call_function("shiftleft", F.col("__bucket") + 1, (F.lit(depth) - F.col("shard_depth")).cast("int")) - 1
+    table = shallow.select(F.explode(F.sequence(first, last)).alias("__prefix"), F.struct(*found).alias("__shard"))
     named = df.withColumns({"n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"), "__hash": hash_of(key)})
-    tried = named.withColumn("shard_depth", F.explode(F.array(*map(F.lit, depths)).cast("array<int>")))
-    return tried.withColumn("__bucket", prefix(F.col("__hash"), F.col("shard_depth"))).join(shards, ["shard_depth", "__bucket"]).drop("__hash", "__bucket")
+    placed = named.withColumn("__prefix", prefix(F.col("__hash"), depth)).join(small(table), "__prefix", "left")
+    if depths := sorted(r.shard_depth for r in deep.select("shard_depth").distinct().collect()):
+        tried = F.when(F.col("__shard").isNull(), F.array(*map(F.lit, depths))).otherwise(F.array(F.lit(-1)))
+        second = deep.select(F.col("shard_depth").alias("__depth"), "__bucket", F.struct(*found).alias("__deep"))
+        placed = placed.withColumn("__depth", F.explode(tried)).withColumn("__bucket", F.when(F.col("__depth") >= 0, prefix(F.col("__hash"), F.col("__depth"))))
+        placed = placed.join(small(second), ["__depth", "__bucket"], "left").where("__shard is not null or __deep is not null")
+        placed = placed.withColumn("__shard", F.coalesce("__shard", "__deep")).drop("__depth", "__bucket", "__deep")
+    return placed.select(*columns(df), "n_bytes", "__shard.*")
 
 
 def shard_report(df: DataFrame) -> DataFrame:
-    """doc_id and its shard."""
-    return shard(df.select("doc_id", "text")).drop("text")
+    """doc_id and its shard of QUERY_LIMIT_BYTES."""
+    return shard(df.select("doc_id", "text"), limit_bytes=QUERY_LIMIT_BYTES).drop("text")
 
 
-def oracle(limit_bytes: int = LIMIT_BYTES, source: str = "documents") -> str:
+def oracle(limit_bytes: int = QUERY_LIMIT_BYTES, source: str = "documents") -> str:
     """The same shards for DuckDB."""
     return f"""
 WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
