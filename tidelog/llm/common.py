@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Whole texts are worked on so many bytes at a time (Spark itself sends no batch of more than 64 MB).
+#: Whole texts are worked on so many bytes at a time (Spark itself sends batches of up to 64 MB).
 PIECE_BYTES = 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -56,6 +56,11 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col(f"`{name}`") for name in df.columns]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Has Spark send at most PIECE_BYTES to Python at a time.  For jobs that own their session, as the registered queries do; operators leave it alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PIECE_BYTES))
+
+
 def pieces(parts: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about PIECE_BYTES of one column; one value alone may be longer."""
     for part in parts:

@@ -13,10 +13,10 @@ candidates come from three sources, and each is verified on the exact sets:
 2. Bands: the least values of ``ROWS`` random permutations of the set.  Of pairs with similarity s a share of
    1 - (1 - s ** ROWS) ** BANDS shares a band: 0.9998 at 0.8.  Members of a band against the band's most central set, the one
    whose bands have the most members.  Most copies of one text are linked to it here, so no list of partners is gathered.
-3. The rest, without pairing a band's members: sets of bands that aren't one component yet are joined on their rarest shingles.
-   Two sets of similarity 0.8 share one among the first size - 0.8 * size + 1 of each, in one order of all shingles; and where their
-   first common one stands, enough must be left in both.  A copy that is too far from its original has so many
-   shingles of its own that nothing is left to meet, so this grows with links, not with the square of a group.
+3. The rest, without pairing a band's members: sets of bands that aren't one component yet are joined on their first shingles, in the
+   order of their band's center: those that it lacks come first.  Two sets of similarity 0.8 have a common shingle so early that enough is left in
+   both for what they must share.  A copy that is too far from its center begins with more shingles of its own than that, so it meets
+   nothing but what shares these; and members of the center's component are not joined with each other.
 
 Sets that are equal count once.  Sets are made again, from the texts, only for texts that share a band or a SimHash component;
 verification compares the lower 32 bits of their values (by chance, two texts of 20,000 words agree in a tenth of a value).
@@ -132,32 +132,33 @@ def fingerprint_pairs(rows: DataFrame) -> DataFrame:
 
 
 def centers(crowd: DataFrame) -> DataFrame:
-    """(a, b): each set of a band, and the band's most central one; ``crowd`` has band, sig and n, the members of the band."""
+    """(band, center): each band's most central set; ``crowd`` has band, sig and n, the members of the band."""
     score = crowd.groupBy("sig").agg(F.sum("n").alias("score"))
     ranked = crowd.select("band", "sig").join(score, "sig")
-    best = ranked.groupBy("band").agg(F.max_by("sig", F.struct("score", "sig")).alias("b"))
-    return crowd.join(best, "band").where("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
+    return ranked.groupBy("band").agg(F.max_by("sig", F.struct("score", "sig")).alias("center"))
 
 
-def remaining_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b), a > b: sets of different roots that can be similar by the places of their first common shingle; ``open_`` has sig and root."""
+def remaining_pairs(open_: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): sets of different roots that can be similar by the place of their first common shingle; ``open_`` has center and sig."""
     up, down = SIMILAR
-    each = cut(open_.join(sets, "sig").select("sig", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("token")))
-    common = each.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("n > 1")
-    held = each.join(common, "token").groupBy("sig").agg(
-        F.first("root").alias("root"), F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("n", "token", (F.col("lo") != F.col("hi")).alias("mixed")))).alias("tokens")
+    rooted = open_.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    middle = sets.join(small(open_.select(F.col("center").alias("sig")).distinct()), "sig", "left_semi").select(F.col("sig").alias("center"), F.col("shingles").alias("own"))
+    middle = middle.join(roots.withColumnRenamed("node", "center").withColumnRenamed("root", "home"), "center", "left").withColumn("home", F.coalesce("home", "center"))
+    lacking, held = F.array_sort(F.array_except("shingles", "own")), F.array_sort(F.array_intersect("shingles", "own"))
+    each = rooted.join(sets, "sig").join(middle, "center").select("center", "sig", "root", "home", F.size("shingles").alias("size"), F.concat(lacking, held).alias("tokens"))
+    each = cut(each)
+    least = each.groupBy("center").agg(F.min("size").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("size") * up / down))
+    longest = F.col("size") - F.ceil((F.col("size") + partner) * up / (up + down)) + 1
+    first = each.join(least, "center").select(
+        "center", "sig", "root", "home", "size", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(longest, F.lit(0)).cast("int"))).alias("at", "token")
     )
-    alone = F.col("size") - F.size("tokens")
-    longest = F.col("size") - F.ceil(F.col("size") * up / down) + 1
-    first = held.withColumn("alone", alone).where(longest > alone).select(
-        "sig", "root", "size", "alone", F.posexplode(F.slice("tokens", F.lit(1), (longest - alone).cast("int"))).alias("at", "t")
-    )
-    first = first.where("t.mixed").select("sig", "root", "size", (F.col("size") - F.col("alone") - F.col("at")).alias("left"), F.col("t.token").alias("token"))
-    other = first.select("token", F.col("sig").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
+    first = cut(first.withColumn("left", F.col("size") - F.col("at")).drop("at"))
+    outside = first.where("root <> home").select("center", "token", *(F.col(c).alias(f"{c}_b") for c in ("sig", "root", "size", "left")))
     enough = F.least("left", "left_b") * (up + down) >= (F.col("size") + F.col("size_b")) * up
     fits = (F.col("size") * down >= F.col("size_b") * up) & (F.col("size_b") * down >= F.col("size") * up)
-    pairs = first.join(other, "token").where((F.col("root") != F.col("root_b")) & (F.col("sig") > F.col("b")) & fits & enough)
-    return pairs.select(F.col("sig").alias("a"), "b").distinct()
+    pairs = first.drop("home").join(outside, ["center", "token"]).where((F.col("root") != F.col("root_b")) & fits & enough)
+    return pairs.select(F.greatest("sig", "sig_b").alias("a"), F.least("sig", "sig_b").alias("b")).distinct()
 
 
 def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,12 +177,14 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     sets_path = scratch(spark, "shingle-sets")
     shingle_sets(texts, text).dropDuplicates(["sig"]).write.parquet(sets_path)
     sets = spark.read.parquet(sets_path)
-    first = cut(verified(near.unionByName(centers(crowd)).distinct(), sets))
+    center = cut(centers(crowd))
+    around = crowd.join(center, "band").where("sig <> center").select(F.col("sig").alias("a"), F.col("center").alias("b"))
+    first = cut(verified(near.unionByName(around).distinct(), sets))
     roots = connected_components(first)
     placed = cut(crowd.join(roots, F.col("sig") == F.col("node"), "left").select("band", "sig", F.coalesce("root", "sig").alias("root")))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    open_ = placed.join(mixed, "band", "left_semi").select("sig", "root").distinct()
-    second = verified(remaining_pairs(open_, sets), sets)
+    mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band").join(center, "band")
+    open_ = cut(placed.join(mixed, "band").select("center", "sig").distinct())
+    second = verified(remaining_pairs(open_, roots, sets), sets)
     roots = connected_components(first.unionByName(second))
     rooted = members.select("sig", "least").join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
     rooted = cut(rooted)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, secret_scan, sharding, simhash, url_filter, warc
-from tidelog.llm.common import table
+from tidelog.llm.common import bound_batches, table
 
 
 def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_urls": op1_urls,
         "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
@@ -64,6 +65,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
     }
+    return {name: bounded(make) for name, make in found.items()}
+
+
+def bounded(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, in a session that sends texts to Python a few megabytes at a time."""
+
+    @functools.wraps(make)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return make(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
