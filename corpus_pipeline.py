@@ -11,21 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import decontaminate, language_id, mixing, near_copies, sharding, simhash
-from tidelog.llm.common import columns, scratch, table
+from tidelog.llm.common import bound_batches, columns, scratch, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification rejects go."""
+    bound_batches(spark)
     return language_id.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document of least doc_id stays."""
+    bound_batches(spark)
     return simhash.keep_one(docs, groups=near_copies.near_copies)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, edited or not, go."""
+    bound_batches(spark)
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
