@@ -4,7 +4,8 @@ Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-ca
 ``?``, ``#`` or the end.  Both are empty for a null url and for one without ``://``.  A rule has a
 host and a path prefix, fits its host and all subdomains, and the longest rule that fits decides.
 
-Where none does, the method decides.  Host labels of letters are split into words by Viterbi over
+Where none does, the method decides.  Host labels are cut into runs of letters and runs of digits (one token for all); other characters
+only separate.  Runs of letters are split into words by Viterbi over
 a unigram model: the counts of all words of all pages' visible text.  A stretch of length L that is
 no word costs as much as a word of probability 10 / (N 10**L).  The candidate stretches of each
 distinct label are joined to the word counts, so the vocabulary is never gathered.  A multinomial
@@ -12,9 +13,9 @@ naive Bayes model over hashed tokens (host words; path parts, with numbers alike
 the pages that rules judge.  Its size is fixed: ``FEATURES`` log-ratios.  A page is blocked if its log
 odds are above zero; with no rule-judged page of either kind there is no evidence, and all are allowed.
 
-Labels longer than ``MAX_LABEL`` (the limit of DNS) or with other characters than letters and hyphens are
-split at these only; words are at most ``MAX_WORD`` long.  Counts are gathered per distinct host first, so
-a host of very many pages is one row.  Repeated urls are judged alike.
+Runs of letters longer than ``MAX_LABEL`` (the limit of DNS) stay whole; words are at most ``MAX_WORD`` long.  Counts are gathered per distinct host first, so
+a host of very many pages is one row.  Repeated urls are judged alike; an empty table gives no row; null html has no words.  At most
+``MAX_RULES`` rules are taken, more are refused.  Columns of the names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -75,8 +76,9 @@ def judged(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(word, n): words of the visible text of all pages."""
-    bare = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
+    """(word, n): words of the visible text of all pages; a script or a tag that isn't closed hides the rest of its page."""
+    whole = F.coalesce(F.col(html), F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace(whole, r"(?is)<(script|style)\b.*?(?:</\1>|\z)", " "), r"<[^>]*(?:>|\z)", " ")
     words = pages.select(F.explode(F.split(F.lower(bare), r"[^\p{L}]+")).alias("word"))
     return words.where(F.length("word").between(LEAST_WORD, MAX_WORD)).groupBy("word").agg(F.count("*").alias("n"))
 
@@ -126,7 +128,8 @@ def path_features(path: Column) -> Column:
 
 def host_features(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """(host, features): hashed words of each distinct host's labels."""
-    labels = hosts.select("host", F.posexplode(F.split("host", r"[.-]")).alias("at", "label")).where("label <> ''")
+    runs = F.regexp_extract_all("host", F.lit(r"\p{L}+|\p{N}+"), 0)
+    labels = hosts.select("host", F.explode(F.transform(runs, lambda r: F.regexp_replace(r, r"^\p{N}+$", "0"))).alias("label"))
     plain = F.col("label").rlike(r"^\p{L}+$") & (F.length("label") <= MAX_LABEL)
     split = segment_labels(labels.where(plain).select("label").distinct(), counts)
     worded = labels.join(split, "label", "left").select("host", F.explode(F.coalesce("words", F.array("label"))).alias("word"))
