@@ -2,15 +2,17 @@
 
 ``encode_media`` stores bytes as 24 x 24 grey frames, each a lossless JPEG (SOF3, predictor 1;
 the first row of a frame is predicted from 128 and from the left, the first sample of other
-rows from above).  The frame's Huffman table gives a difference of magnitude category s a code
-of 9 - s bits, so that code and extra bits are always 9 bits together; a decoder that reads
-the table from the file needs no bit-by-bit loop.  ``decode_media`` parses the RIFF chunks,
-finds the frames through the ``idx1`` index, decodes them and detects shots.
+rows from above), coded with the usual DC luminance Huffman table.  ``decode_media`` parses the RIFF chunks, finds the frames through the
+``idx1`` index, reads each frame's own header (size and Huffman table, whatever it is), decodes the frames and detects shots.
+
+Codes differ in length, so a frame is decoded symbol after symbol; but all frames of an Arrow batch
+that have equal headers are decoded together, a symbol of each at a time, by lookup of the next 16 bits.
 
 A shot begins where the histogram difference of neighbouring frames exceeds the mean plus
 ``SHARPNESS`` standard deviations of its neighbourhood, and ``FLOOR`` at least.
 
-Null and empty texts are stored as one frame of padding.  Both operators are projections over
+Null and empty texts are stored as one frame of padding; repeated rows give repeated rows, equal texts equal values; an empty table gives
+none.  Only the key and the text are read, so other columns' names don't matter.  Both operators are projections over
 Arrow batches: no shuffle; long texts are coded in blocks of ``BLOCK`` frames.
 """
 
@@ -31,7 +33,8 @@ from tidelog.llm.common import pieces
 
 SIDE = 24
 UNIT = SIDE * SIDE
-CODED = UNIT * 9 // 8
+# The usual DC luminance Huffman table, how many codes have 1 to 16 bits; its values are 0 to 11 in order.
+CODE_COUNTS = (0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)
 FPS = 25
 BLOCK = 4096
 BINS = 16
@@ -42,7 +45,7 @@ CLIPS = "array<struct<clip:int,first_frame:int,n_frames:int,start_s:double,end_s
 
 def _header() -> bytes:
     """All of a frame before its coded samples."""
-    table = bytes([0, *([1] * 9), *([0] * 7), *range(8, -1, -1)])
+    table = bytes([0, *CODE_COUNTS, *range(sum(CODE_COUNTS))])
     return b"".join(
         (
             b"\xff\xd8",
@@ -56,14 +59,28 @@ def _header() -> bytes:
 HEADER = _header()
 
 
-def _coded(difference: int) -> int:
-    """The 9 bits of a difference: 8 - s ones, a zero, s extra bits."""
-    s = abs(difference).bit_length()
-    extra = difference if difference >= 0 else difference + (1 << s) - 1
-    return (((1 << (8 - s)) - 1) << (s + 1)) | extra
+def huffman_codes(counts: tuple[int, ...]) -> list[tuple[int, int]]:
+    """(code, bits) of each value in order, from the numbers of codes of 1 to 16 bits."""
+    out, code = [], 0
+    for bits, n in enumerate(counts, 1):
+        for _ in range(n):
+            out.append((code, bits))
+            code += 1
+        code <<= 1
+    return out
+
+
+def _difference_codes() -> tuple[np.ndarray, np.ndarray]:
+    """Code and length of each difference from -255 to 255: its category's code, then as many extra bits."""
+    codes, out = huffman_codes(CODE_COUNTS), []
+    for d in range(-255, 256):
+        s = abs(d).bit_length()
+        code, bits = codes[s]
+        out.append(((code << s) | (d if d >= 0 else d + (1 << s) - 1), bits + s))
+    return np.array([c for c, _ in out], np.int64), np.array([n for _, n in out], np.int64)
 
 
-CODES = np.array([_coded(d) for d in range(-255, 256)], dtype=np.uint16)
+CODES, LENGTHS = _difference_codes()
 
 
 def pad_payload(data: bytes) -> bytes:
@@ -78,16 +95,21 @@ def _encode_block(samples: np.ndarray) -> list[bytes]:
     d[:, :, 1:] = x[:, :, 1:] - x[:, :, :-1]
     d[:, 1:, 0] = x[:, 1:, 0] - x[:, :-1, 0]
     d[:, 0, 0] = x[:, 0, 0] - 128
-    s = CODES[d + 255].reshape(len(x), -1, 8)
-    out = np.empty((len(x), UNIT // 8, 9), np.uint8)
-    out[:, :, 0] = s[:, :, 0] >> 1
-    for k in range(1, 8):
-        out[:, :, k] = ((s[:, :, k - 1] << (8 - k)) & 255) | (s[:, :, k] >> (k + 1))
-    out[:, :, 8] = s[:, :, 7] & 255
-    raw = out.tobytes()
-    return [
-        b"".join((HEADER, raw[i : i + CODED].replace(b"\xff", b"\xff\x00"), b"\xff\xd9")) for i in range(0, len(raw), CODED)
-    ]
+    d = d.reshape(len(x), -1).astype(np.int64) + 255
+    bits = LENGTHS[d]
+    ends = np.cumsum(bits, axis=1)
+    sizes = (ends[:, -1] + 7) // 8
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    at = (ends - bits + first[:-1, None] * 8).ravel()
+    word = CODES[d].ravel() << (24 - bits.ravel() - (at & 7))
+    raw = np.zeros(first[-1] + 3)
+    for k in range(3):
+        raw += np.bincount((at >> 3) + k, weights=(word >> (16 - 8 * k)) & 255, minlength=len(raw))
+    raw = raw.astype(np.uint8)
+    spare = sizes * 8 - ends[:, -1]
+    raw[first[1:] - 1] |= ((1 << spare) - 1).astype(np.uint8)
+    coded = raw.tobytes()
+    return [b"".join((HEADER, coded[i:j].replace(b"\xff", b"\xff\x00"), b"\xff\xd9")) for i, j in zip(first.tolist(), first[1:].tolist())]
 
 
 def _chunk(name: bytes, body: bytes) -> bytes:
@@ -124,56 +146,92 @@ def riff_chunks(data: bytes, start: int, end: int) -> Iterator[tuple[bytes, int,
 
 
 @functools.lru_cache(maxsize=64)
-def _decoder(header: bytes) -> tuple[int, int, np.ndarray]:
-    """Height, width and the difference of each 9-bit symbol, from a frame's markers."""
-    at, shape, lengths, values = 2, None, None, None
+def _decoder(header: bytes) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Height and width, and for each next 16 bits the code's length (0 if there is none) and category, from a frame's markers."""
+    at, shape, codes = 2, None, {}
     while at < len(header):
         marker, size = struct.unpack_from(">HH", header, at)
         body = header[at + 4 : at + 2 + size]
         if marker == 0xFFC4:
-            lengths, values = body[1:17], body[17:]
+            while body:
+                n = sum(body[1:17])
+                codes[body[0]] = list(zip(body[17 : 17 + n], huffman_codes(tuple(body[1:17]))))
+                body = body[17 + n :]
         elif marker == 0xFFC3:
+            if body[0] != 8 or body[5] != 1:
+                raise ValueError("a frame isn't of one component of 8 bits")
             shape = struct.unpack(">HH", body[1:5])
+        elif marker == 0xFFDA:
+            chosen, predictor = body[2] >> 4, body[3]
+            if predictor != 1 or chosen not in codes:
+                raise ValueError("a frame's predictor isn't 1, or its Huffman table is missing")
         at += 2 + size
-    if shape is None or lengths is None:
+    if shape is None or not codes:
         raise ValueError("a frame lacks SOF3 or its Huffman table")
-    table, code, k = np.zeros(512, np.int16), 0, 0
-    for bits in range(1, 17):
-        for _ in range(lengths[bits - 1]):
-            s = values[k]
-            if bits + s != 9:
-                raise ValueError("symbols of this frame differ in length")
-            for extra in range(1 << s):
-                table[(code << s) | extra] = extra if not s or extra >> (s - 1) else extra - (1 << s) + 1
-            code, k = code + 1, k + 1
-        code <<= 1
-    return (*shape, table)
+    length, category = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+    for value, (code, bits) in codes[chosen]:
+        own = slice(code << (16 - bits), (code + 1) << (16 - bits))
+        length[own], category[own] = bits, value
+    return (*shape, length, category)
+
+
+def split_frame(frame: bytes) -> tuple[bytes, bytes]:
+    """(header up to the scan, coded bits without stuffing) of a frame."""
+    scan = frame.index(b"\xff\xda")
+    begin = scan + 2 + struct.unpack_from(">H", frame, scan + 2)[0]
+    return frame[:begin], frame[begin : frame.rindex(b"\xff\xd9")].replace(b"\xff\x00", b"\xff")
+
+
+def decode_frames(frames: list[bytes]) -> list[np.ndarray]:
+    """The samples of each frame, (height, width)."""
+    out: list = [None] * len(frames)
+    by_header: dict[bytes, list[tuple[int, bytes]]] = {}
+    for k, frame in enumerate(frames):
+        header, bits = split_frame(frame)
+        by_header.setdefault(header, []).append((k, bits))
+    for header, own in by_header.items():
+        for i in range(0, len(own), BLOCK):
+            part = own[i : i + BLOCK]
+            for (k, _), samples in zip(part, _decode_block(header, [bits for _, bits in part])):
+                out[k] = samples
+    return out
 
 
-def decode_avi(data: bytes) -> np.ndarray:
-    """All samples of an AVI file, (frames, height, width)."""
+def _decode_block(header: bytes, coded: list[bytes]) -> np.ndarray:
+    """Frames of one header, a symbol of each at a time."""
+    height, width, length, category = _decoder(header)
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    ends = np.cumsum(sizes)
+    raw = np.frombuffer(b"".join(coded) + b"\xff" * 8, np.uint8).astype(np.int64)
+    words = (raw[:-4] << 32) | (raw[1:-3] << 24) | (raw[2:-2] << 16) | (raw[3:-1] << 8) | raw[4:]
+    at, stop = (ends - sizes) * 8, ends * 8
+    d = np.empty((height * width, len(coded)), np.int64)
+    for k in range(height * width):
+        next_ = (words[at >> 3] >> (24 - (at & 7))) & 0xFFFF
+        bits, s = length[next_], category[next_]
+        at = at + bits
+        extra = (words[at >> 3] >> (40 - s - (at & 7))) & ((1 << s) - 1)
+        d[k] = np.where((s > 0) & (extra < (1 << s >> 1)), extra - (1 << s) + 1, extra)
+        at = np.minimum(at + s, stop)
+        if not bits.all():
+            raise ValueError("a frame has bits that are no code")
+    d = d.T.reshape(-1, height, width)
+    d[:, :, 0] = 128 + np.cumsum(d[:, :, 0], axis=1)
+    return (np.cumsum(d, axis=2) & 255).astype(np.uint8)
+
+
+def frames_of(data: bytes) -> list[bytes]:
+    """The frames of an AVI file, by its index."""
     (_, start, end), *_ = riff_chunks(data, 0, len(data))
     parts = {name: (a, b) for name, a, b in riff_chunks(data, start, end)}
     movi = parts[b"movi"][0] - 4
     index = np.frombuffer(data, "<u4", offset=parts[b"idx1"][0], count=(parts[b"idx1"][1] - parts[b"idx1"][0]) // 4).reshape(-1, 4)
-    first = movi + int(index[0, 2]) + 8
-    scan = data.index(b"\xff\xda", first)
-    header = data[first : scan + 2 + struct.unpack_from(">H", data, scan + 2)[0]]
-    height, width, table = _decoder(header)
-    size, skip = height * width * 9 // 8, len(header)
-    out = np.empty((len(index), height, width), np.uint8)
-    for i in range(0, len(index), BLOCK):
-        raw = b"".join(
-            data[(a := movi + off + 8) + skip : a + n - 2].replace(b"\xff\x00", b"\xff") for _, _, off, n in index[i : i + BLOCK].tolist()
-        )
-        b = np.frombuffer(raw, np.uint8).reshape(-1, size // 9, 9).astype(np.uint16)
-        s = np.empty((len(b), size // 9, 8), np.uint16)
-        for k in range(8):
-            s[:, :, k] = (((b[:, :, k] << 8) | b[:, :, k + 1]) >> (7 - k)) & 511
-        d = table[s].reshape(-1, height, width).astype(np.int32)
-        d[:, :, 0] = 128 + np.cumsum(d[:, :, 0], axis=1)
-        out[i : i + BLOCK] = np.cumsum(d, axis=2) & 255
-    return out
+    return [data[movi + off + 8 : movi + off + 8 + n] for _, _, off, n in index.tolist()]
+
+
+def decode_avi(data: bytes) -> np.ndarray:
+    """All samples of an AVI file, (frames, height, width)."""
+    return np.stack(decode_frames(frames_of(data)))
 
 
 def find_shots(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +273,7 @@ def encode_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return df.select(key, text).mapInArrow(encode, f"`{key}` {kind}, n_bytes long, media binary")
 
 
-def _features(media: bytes) -> dict:
-    frames = decode_avi(media)
+def _features(media: bytes, frames: np.ndarray) -> dict:
     payload = frames.tobytes()
     shots, hist = find_shots(frames)
     clips = [
@@ -238,7 +295,10 @@ def decode_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def decode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(parts, 2):
-            found = [_features(m.as_py()) for m in part.column(2)]
+            files = part.column(2).to_pylist()
+            listed = [frames_of(m) for m in files]
+            ends, samples = np.cumsum([len(f) for f in listed]).tolist(), decode_frames([f for own in listed for f in own])
+            found = [_features(m, np.stack(samples[a:b])) for m, a, b in zip(files, [0, *ends], ends)]
             columns = [pa.array([f[name] for f in found], kind) for name, kind in fields.items()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], [key, "n_bytes", *fields])
 
