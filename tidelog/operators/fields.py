@@ -110,12 +110,43 @@ def strip_version(sets: Column) -> Column:
     return F.map_filter(sets, lambda k, _: k != "$v")
 
 
+def ruled_doc(doc: Column, rule: Column, rules) -> Column:
+    """``doc`` reduced to the fields of the rule whose number ``rule`` is."""
+    out = doc
+    for k, own in enumerate(rules.included):
+        include, exclude = rules.fields(own)
+        if include or exclude:
+            kept = include_fields(doc, include) if include else doc
+            out = F.when(rule == k, exclude_fields(kept, exclude) if exclude else kept).otherwise(out)
+    return out
+
+
+FieldSets = list[tuple[Column, list[str], list[str]]]
+
+
 def project_log(log: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None) -> DataFrame:
     """A log with its documents and updates reduced to fields; updates that become empty are dropped."""
+    return project_each(log, [(F.lit(True), include or [], exclude or [])])
+
+
+def project_each(log: DataFrame, sets: FieldSets) -> DataFrame:
+    """A log whose entries are reduced to the fields of the first of ``sets`` (condition, included, excluded) that they meet: one
+    projection, so the log is read once however many sets there are.  Updates that become empty are dropped."""
+    own = {"o": F.col("o"), "set": F.when(F.col("op") != "c", strip_version(F.col("set"))), "unset": F.col("unset")}
+    out = dict(own)
+    for condition, include, exclude in reversed(sets):
+        reduced = dict(own)
+        if include:
+            reduced = {"o": include_fields(reduced["o"], include), "set": include_update(reduced["set"], include), "unset": include_unset(reduced["unset"], include)}
+        if exclude:
+            reduced = {"o": exclude_fields(reduced["o"], exclude), "set": exclude_update(reduced["set"], exclude), "unset": exclude_unset(reduced["unset"], exclude)}
+        out = {name: F.when(condition, reduced[name]).otherwise(out[name]) for name in out}
     delta = F.col("set").isNotNull() | F.col("unset").isNotNull()
-    log = log.withColumns({"_delta": delta, "set": strip_version(F.col("set"))})
-    if include:
-        log = log.withColumns({"o": include_fields(F.col("o"), include), "set": include_update(F.col("set"), include), "unset": include_unset(F.col("unset"), include)})
-    if exclude:
-        log = log.withColumns({"o": exclude_fields(F.col("o"), exclude), "set": exclude_update(F.col("set"), exclude), "unset": exclude_unset(F.col("unset"), exclude)})
-    return log.where(~F.col("_delta") | F.col("set").isNotNull() | F.col("unset").isNotNull()).drop("_delta")
+    kept = log.withColumn("_delta", delta).withColumns(out)
+    return kept.where(~F.col("_delta") | F.col("set").isNotNull() | F.col("unset").isNotNull()).drop("_delta")
+
+
+def project_columns(df: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None, key: str = "_id") -> DataFrame:
+    """A table of known columns with only some, or without some; the key stays.  The scan reads no others."""
+    kept = [c for c in df.columns if c == key or ((not include or c in include) and c not in (exclude or ()))]
+    return df.select(*(F.col(f"`{c}`") for c in kept))

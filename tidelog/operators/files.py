@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1024
+FILE_SCHEMA = "ns STRING, _id BIGINT, gridfs_id BIGINT, filename STRING, length BIGINT, md5 STRING, content STRING, _ts BIGINT, deleted BOOLEAN"
 
 
 def chunk_texts(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = CHUNK) -> DataFrame:
-    """(files_id, n, data): each text in pieces of ``size`` characters, numbered from 0; an empty text has one empty piece."""
-    pieces = F.greatest(F.ceil(F.length(text) / size), F.lit(1)).cast("int")
-    return df.select(
-        F.col(key).alias("files_id"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("n"), F.col(text).alias("_t")
-    ).select("files_id", "n", F.substring("_t", F.col("n") * size + 1, size).alias("data"))
+    """(files_id, n, data): each text in pieces of ``size`` characters, numbered from 0; an empty text has one empty piece.  One pass over a text."""
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), 0)
+    whole = F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(pieces)
+    return df.select(F.col(key).alias("files_id"), F.posexplode(whole).alias("n", "data"))
 
 
 def file_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,3 +51,30 @@ def metadata(files: DataFrame) -> DataFrame:
     """(_id, md5, filename only where there is one) as a map that leaves absent fields out."""
     own = F.create_map(F.lit("md5"), F.col("md5"), F.lit("filename"), F.col("filename"))
     return files.select("_id", F.map_filter(own, lambda _, v: v.isNotNull()).alias("metadata"))
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """The newest row of each (ns, _id)."""
+    rest = [c for c in rows.columns if c not in ("ns", "_id")]
+    return rows.groupBy("ns", "_id").agg(F.max_by(F.struct(*rest), "_ts").alias("r")).select("ns", "_id", "r.*").select(*rows.columns)
+
+
+def apply_files(log: DataFrame, files: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Rows of FILE_SCHEMA from a log's file entries: the last insert or delete of each file decides; inserted ones get the content their chunks
+    make (only these are assembled), those of incomplete chunks are left out."""
+    last = log.where(F.col("op").isin("i", "d")).groupBy("ns", "_id").agg(F.max("ts").alias("_ts"), F.max_by("op", "ts").alias("op"))
+    put = last.where("op = 'i'").drop("op")
+    ids = put.select("_id").distinct()
+    whole = assemble(chunks.join(ids, chunks["files_id"] == ids["_id"], "left_semi"), files.join(ids, "_id", "left_semi"))
+    stored = put.join(whole, "_id").select("ns", "_id", F.col("_id").alias("gridfs_id"), "filename", "length", "md5", "content", "_ts", F.lit(False).alias("deleted"))
+    null = F.lit(None)
+    gone = last.where("op = 'd'").select(
+        "ns", "_id", null.cast("long").alias("gridfs_id"), *(null.cast("string").alias(c) for c in ("filename",)), null.cast("long").alias("length"),
+        *(null.cast("string").alias(c) for c in ("md5", "content")), "_ts", F.lit(True).alias("deleted"),
+    )
+    return stored.unionByName(gone)
+
+
+def remove_keys(meta: DataFrame, keys: DataFrame) -> DataFrame:
+    """(_id, removed) of the ``keys`` that a target has: the file, where its meta row holds a file id, else the document."""
+    return meta.join(keys.select("_id").distinct(), "_id", "left_semi").select("_id", F.when(F.col("gridfs_id").isNull(), "document").otherwise("file").alias("removed"))

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import ts_increment, ts_seconds
+from tidelog.operators.fields import ruled_doc
 from tidelog.operators.replay import KEYS
+from tidelog.operators.routing import Rules
 
 
 def log_bounds(log: DataFrame) -> DataFrame:
@@ -58,37 +60,62 @@ def last_doc(state: DataFrame) -> DataFrame:
     return state.orderBy(F.desc("_ts"), "ns", "_id").limit(1)
 
 
-def rollback_cutoff(log: DataFrame, *targets: DataFrame) -> DataFrame:
-    """(newest, cutoff): the targets' newest _ts, and the newest log entry not after it; both null for empty targets."""
+def rollback_cutoff(log: DataFrame, *targets: DataFrame, replsets: list[str] | None = None) -> DataFrame:
+    """(newest, cutoff): the targets' newest _ts, and the newest log entry not after it; both null for empty targets.
+
+    With ``replsets``, the logs that lost writes: each has its own newest entry, and the least of these is the cutoff.
+    """
     last = targets[0].agg(F.max("_ts").alias("newest"))
     for t in targets[1:]:
         last = last.unionByName(t.agg(F.max("_ts").alias("newest")))
     last = last.agg(F.max("newest").alias("newest"))
-    own = log.where("op <> 'n'").join(F.broadcast(last), F.col("ts") <= F.col("newest"))
-    return own.agg(F.max("newest").alias("newest"), F.max("ts").alias("cutoff"))
+    own = log.where("op <> 'n'")
+    own = (own if replsets is None else own.where(F.col("replset").isin(replsets))).join(F.broadcast(last), F.col("ts") <= F.col("newest"))
+    if replsets is None:
+        return own.agg(F.max("newest").alias("newest"), F.max("ts").alias("cutoff"))
+    each = own.groupBy("replset").agg(F.max("newest").alias("newest"), F.max("ts").alias("cutoff"))
+    return each.agg(F.max("newest").alias("newest"), F.min("cutoff").alias("cutoff"))
 
 
-def rollback_suspects(state: DataFrame, log: DataFrame) -> DataFrame:
+def rollback_suspects(state: DataFrame, log: DataFrame, replsets: list[str] | None = None) -> DataFrame:
     """Target rows from the cutoff to the newest _ts, tombstones included."""
-    bounds = rollback_cutoff(log, state).first()
+    bounds = rollback_cutoff(log, state, replsets=replsets).first()
     return search_range(state, bounds.cutoff, bounds.newest) if bounds.cutoff is not None else state.where("false")
 
 
-def reconcile(state: DataFrame, log: DataFrame, source: DataFrame) -> dict[str, DataFrame]:
+def source_rows(keys: DataFrame, source: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """(ns, _id, doc): the source's documents of target keys (ns, _id), found under their source names, reduced to their rule's fields."""
+    if rules is None:
+        return source.join(keys.select(*KEYS), KEYS, "left_semi").select("ns", "_id", "doc")
+    ns = F.col("ns")
+    named = keys.select("ns", "_id", F.coalesce(rules.unmap(ns), ns).alias("_from"))
+    found = named.join(source.select(ns.alias("_from"), "_id", "doc"), ["_from", "_id"])
+    return found.select("ns", "_id", ruled_doc(F.col("doc"), rules.route(F.col("_from")).rule, rules).alias("doc"))
+
+
+def reconcile(state: DataFrame, log: DataFrame, source: DataFrame, rules: Rules | None = None, replsets: list[str] | None = None) -> dict[str, DataFrame]:
     """deletes, upserts and the state after them, for a ``source`` snapshot (ns, _id, doc) that has lost writes.
 
-    Suspects that the source has no more are deleted; the others get its version, stamped with the cutoff.
+    Suspects that the source has no more are deleted; the others get its version, stamped with the cutoff.  ``rules`` are those the
+    target was made with: suspects are looked up under their source names.  ``replsets`` are the logs that lost writes (null: all as one).
     """
-    bounds = rollback_cutoff(log, state).first()
+    bounds = rollback_cutoff(log, state, replsets=replsets).first()
     if bounds.cutoff is None:
         return {"deletes": state.where("false"), "upserts": state.where("false"), "state": state}
     suspects = search_range(state, bounds.cutoff, bounds.newest)
     cutoff = F.lit(bounds.cutoff)
-    deletes = suspects.join(source, KEYS, "left_anti")
-    upserts = source.join(suspects.select(*KEYS), KEYS, "left_semi").select("ns", "_id", "doc", cutoff.alias("_ts"), F.lit(False).alias("deleted"))
+    upserts = source_rows(suspects, source, rules).select("ns", "_id", "doc", cutoff.alias("_ts"), F.lit(False).alias("deleted"))
+    deletes = suspects.join(upserts.select(*KEYS), KEYS, "left_anti")
     untouched = state.where((F.col("_ts") < cutoff) | (F.col("_ts") > bounds.newest))
-    gone = deletes.select("ns", "_id", F.lit(None).cast("variant").alias("doc"), cutoff.alias("_ts"), F.lit(True).alias("deleted"))
-    return {"deletes": deletes, "upserts": upserts, "state": untouched.unionByName(upserts).unionByName(gone)}
+    out = {"deletes": deletes, "upserts": upserts}
+    return out | {"state": untouched.unionByName(upserted_and_gone(out, bounds.cutoff))}
+
+
+def upserted_and_gone(found: dict[str, DataFrame], cutoff: int | None = None) -> DataFrame:
+    """The rows that a rollback writes: the source's versions, and tombstones (at the cutoff, or at their own time)."""
+    ts = F.col("_ts") if cutoff is None else F.lit(cutoff)
+    gone = found["deletes"].select("ns", "_id", F.lit(None).cast("variant").alias("doc"), ts.alias("_ts"), F.lit(True).alias("deleted"))
+    return found["upserts"].select("ns", "_id", "doc", "_ts", "deleted").unionByName(gone)
 
 
 def op_counters(log: DataFrame) -> DataFrame:

@@ -115,10 +115,14 @@ def state_as_log(state: DataFrame) -> DataFrame:
 
 
 def apply_incremental(state: DataFrame, log: DataFrame, replay=replay_flat) -> DataFrame:
-    """The state after more of the log.  Entries the state has seen are dropped, so applying twice changes nothing."""
+    """The state after more of the log.  Entries the state has seen are dropped, so applying twice changes nothing.
+
+    Commands in the log (``c`` entries) void or move what the state and the log have from before them.
+    """
     seen = state.select(*KEYS, F.col("_ts").alias("_seen"))
-    news = log.join(seen, KEYS, "left").where("_seen is null or ts > _seen").drop("_seen")
-    return replay(state_as_log(state).unionByName(news.select(*state_as_log(state).columns)))
+    news = log.join(seen, KEYS, "left").where("op = 'c' or _seen is null or ts > _seen").drop("_seen")
+    before = state_as_log(state)
+    return replay(apply_commands(before.unionByName(news.select(*before.columns)), commands_in(log)))
 
 
 def snapshot_state(snap: DataFrame, ts: int) -> DataFrame:
@@ -256,41 +260,90 @@ def rejects(log: DataFrame) -> DataFrame:
 
 # commands
 
+COMMAND = "struct<what:string,name:string,new:string>"
+#: Commands are rare; their names and times are planned on the driver.
+MAX_COMMANDS = 20_000
+Command = tuple[int, str, str, str | None]
+
+
+def command_of() -> Column:
+    """struct(what, name, new) of a ``c`` entry, from its document and the database of its namespace: drop and rename name collections,
+    dropDatabase a database; null for creations and others, which change no document."""
+    o, db = F.col("o"), ns_db(F.col("ns"))
+    named = lambda what, name, new=F.lit(None).cast("string"): F.struct(F.lit(what).alias("what"), name.alias("name"), new.alias("new"))
+    text = lambda path: F.try_variant_get(o, path, "string")
+    found = (
+        F.when(F.try_variant_get(o, "$.dropDatabase", "variant").isNotNull(), named("dropDatabase", db))
+        .when(text("$.renameCollection").isNotNull(), named("rename", text("$.renameCollection"), text("$.to")))
+        .when(text("$.drop").isNotNull(), named("drop", F.concat(db, F.lit("."), text("$.drop"))))
+    )
+    return F.when(F.col("op") == "c", found)
+
+
+def commands_in(log: DataFrame) -> list[Command]:
+    """(ts, what, name, new) of a log's commands, by time."""
+    rows = log.where(F.col("op") == "c").withColumn("c", command_of()).where("c is not null").select("ts", "c.*").distinct().limit(MAX_COMMANDS + 1).collect()
+    if len(rows) > MAX_COMMANDS:
+        raise ValueError(f"more than {MAX_COMMANDS} commands; apply the log in slices")
+    return sorted(map(tuple, rows), key=lambda c: (c[0], c[1:3]))
+
 
-def epochs(names: list[str], commands: list[tuple[int, str, str, str | None]]) -> list[tuple[str, int, int, str | None]]:
+def epochs(names: list[str], commands: list[Command]) -> list[tuple[str, int, int, str | None]]:
     """(ns, from, to, final name): what becomes of entries of ``ns`` made in [from, to); null if a later command voids them.
 
     Commands are (ts, drop | rename | dropDatabase, name, new name).
     """
-    commands = sorted(commands)
     bounds = [-(1 << 63), *sorted({c[0] for c in commands}), LAST_TS]
     out = []
     for ns in names:
-        for start, end in zip(bounds, bounds[1:]):
-            final: str | None = ns
-            for ts, what, name, new in commands:
-                if ts <= start or final is None:
-                    continue
-                if (what == "drop" and final == name) or (what == "dropDatabase" and final.partition(".")[0] == name):
-                    final = None
-                elif what == "rename" and final == name:
-                    final = new
-            out.append((ns, start, end, final))
+        for start, end, final in _finals(commands, [ns])[ns]:
+            cuts = [start, *(b for b in bounds if start < b < end), end]
+            out += [(ns, a, b, final) for a, b in zip(cuts, cuts[1:])]
     return out
 
 
-def apply_commands(log: DataFrame, commands: list[tuple[int, str, str, str | None]]) -> DataFrame:
-    """The log as if collections had always had their final names, without entries of what was dropped.
+def _finals(commands: list[Command], names: list[str]) -> dict[str, list[tuple[int, int, str | None]]]:
+    """For each name, (from, to, final name) in order.  Goes back in time: what becomes of an entry made before a command is what
+    becomes of one made after it, but for the names the command touches."""
+    touched = {*names, *(name for _, what, name, _ in commands if what != "dropDatabase"), *(new for *_, new in commands if new)}
+    final: dict[str, str | None] = {name: name for name in touched}
+    until = dict.fromkeys(touched, LAST_TS)
+    out: dict[str, list[tuple[int, int, str | None]]] = {name: [] for name in touched}
+    by_db: dict[str, list[str]] = {}
+    for name in touched:
+        by_db.setdefault(name.partition(".")[0], []).append(name)
+    for ts, what, name, new in sorted(commands, key=lambda c: (c[0], c[1:3]), reverse=True):
+        for own in by_db.get(name, ()) if what == "dropDatabase" else (name,):
+            before = final[new] if what == "rename" else None
+            if before != final[own]:
+                if ts < until[own]:
+                    out[own].append((ts, until[own], final[own]))
+                    until[own] = ts
+                final[own] = before
+    for name in touched:
+        out[name].append((-(1 << 63), until[name], final[name]))
+        out[name].reverse()
+    return out
 
-    Only namespaces that a command can touch get epochs, so the table that is joined is small; the rest pass.
-    """
-    touched = {name for _, what, name, _ in commands if what != "dropDatabase"} | {new for *_, new in commands if new}
-    dbs = [name for _, what, name, _ in commands if what == "dropDatabase"]
-    names = {r.ns for r in log.where(ns_db(F.col("ns")).isin(*dbs)).select("ns").distinct().collect()} if dbs else set()
-    rows = epochs(sorted(touched | names), commands)
-    table = log.sparkSession.createDataFrame(rows, "_ns string, _from long, _to long, _final string")
-    during = (F.col("ns") == F.col("_ns")) & (F.col("ts") >= F.col("_from")) & (F.col("ts") < F.col("_to"))
-    joined = log.join(table, during, "left").where("_ns is null or _final is not null")
-    return joined.withColumn("ns", F.coalesce("_final", "ns")).drop("_ns", "_from", "_to", "_final")
 
+def apply_commands(log: DataFrame, commands: list[Command] | None = None) -> DataFrame:
+    """The log as if collections had always had their final names, without entries of what was dropped, and without its ``c`` entries.
 
+    ``commands`` are the log's own where none are given.  Namespaces that a drop or a rename names get epochs; for all others the time their
+    database was last dropped decides.  Both tables have a row for each command or so and are broadcast.
+    """
+    commands = commands_in(log) if commands is None else commands
+    log = log.where(F.col("op") != "c")
+    if not commands:
+        return log
+    spark, dropped = log.sparkSession, {}
+    for ts, what, name, _ in sorted(commands, key=lambda c: c[0]):
+        if what == "dropDatabase":
+            dropped[name] = ts
+    rows = [(ns, *epoch) for ns, own in _finals(commands, []).items() for epoch in own]
+    table = spark.createDataFrame(rows, "_ns string, _from long, _to long, _final string")
+    during = (F.col("ns") == F.col("_ns")) & (F.col("ts") >= F.col("_from")) & (F.col("ts") < F.col("_to"))
+    joined = log.join(F.broadcast(table), during, "left").where("_ns is null or _final is not null")
+    gone = spark.createDataFrame(list(dropped.items()), "_db string, _dropped long")
+    joined = joined.join(F.broadcast(gone), ns_db(F.col("ns")) == F.col("_db"), "left").where("_ns is not null or _dropped is null or ts >= _dropped")
+    return joined.withColumn("ns", F.coalesce("_final", "ns")).drop("_ns", "_from", "_to", "_final", "_db", "_dropped")

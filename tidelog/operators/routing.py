@@ -40,7 +40,7 @@ class Rule:
 
 def ns_regex(pattern: str) -> str:
     """An anchored expression with a group for each ``*``."""
-    db, dot, coll = pattern.partition(".")
+    db, dot, coll = pattern.partition(".")  # a pattern without a dot is one of a database
     part = lambda text, any_: any_.join(map(re.escape, text.split("*")))
     return r"\A" + part(db, "([^.]*)") + re.escape(dot) + part(coll, "(.*)") + r"\z"
 
@@ -90,6 +90,16 @@ class Rules:
             found = F.when(matches(dest, rule.target), renamed(dest, rule.target, rule.source)).otherwise(found)
         return found
 
+    def target_dbs(self, db: Column) -> Column:
+        """All target databases of a source database: its collections may go to several."""
+        if not self.included:
+            return F.array(db)
+        found = []
+        for rule in self.included:
+            source, target = rule.source.partition(".")[0], rule.target.partition(".")[0]
+            found.append(F.when(matches(db, source), renamed(db, source, target) if "*" in source else F.lit(target)))
+        return F.array_distinct(F.filter(F.array(*found), lambda name: name.isNotNull()))
+
     def fields(self, rule: Rule) -> tuple[list[str], list[str]]:
         """(included, excluded) fields: the rule's with the global ones; ``_id`` always stays."""
         include = sorted({*self.include, *rule.include})

@@ -6,6 +6,7 @@ independently of the operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,10 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import find_field, key_matches, ns_coll, ns_db, pack_ts, ts_increment, ts_seconds
 from tidelog.operators import fields, files, formatting, predicates, reconcile, replay, routing
-from tidelog.plans.replicate import RULES, replicate, snapshot
+from tidelog.operators.routing import Rule, Rules
+from tidelog.plans.replicate import RULES, replicate, snapshot, with_files
+from tidelog.plans.replicate import resume_scan as scan_collection
+from tidelog.plans.replicate import routed_documents
 from tidelog.sinks import checkpoints, targets
 from tidelog.sources.change_log import change_log, data_entries, merge_logs, n_events, resume_log, scan_log
 
@@ -144,10 +148,11 @@ def discover_namespaces(spark, sf_dir):
     return routing.discover(routing.namespaces(change_log(spark, sf_dir)), RULES)
 
 
-@query(HALF_SQL + " SELECT _id, ns, value FROM half WHERE ns = 'shop3.orders' AND _id > 10 ORDER BY _id")
+@query(HALF_SQL + " SELECT _id, ns, value, NULL::VARCHAR AS flag FROM half WHERE ns = 'shop3.orders' AND _id > 10 ORDER BY _id")
 def resume_scan(spark, sf_dir):
-    snap = half_snapshot(spark, sf_dir).where((F.col("ns") == "shop3.orders") & (F.col("_id") > 10))
-    return snap.select("_id", "ns", find_field(F.col("doc"), "value", "double").alias("value")).orderBy("_id")
+    """A scan that broke off after _id 10; the collection's rule leaves the flag out."""
+    snap = scan_collection(half_snapshot(spark, sf_dir), "shop3.orders", 10, RULES)
+    return snap.select("_id", "ns", *scalars(snap)[:2])
 
 
 @query(HALF_SQL + " SELECT ns, count(*) AS n FROM half GROUP BY ns")
@@ -231,9 +236,24 @@ def broken_files(spark, sf_dir):
     return files.broken_files(*damaged(spark, sf_dir))
 
 
-@query(FILES_SQL + " SELECT doc_id AS _id, length(text)::BIGINT AS length, doc_id AS gridfs_id FROM f WHERE NOT (doc_id % 10 = 0 AND pieces > 1)", log=False)
+FILE_ENTRIES_SQL = """, e AS (SELECT doc_id AS _id, doc_id AS _ts, doc_id % 4 = 0 AS deleted, text FROM f WHERE doc_id % 4 = 0 OR NOT (doc_id % 10 = 0 AND pieces > 1))"""
+
+
+def file_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An insert of every document as a file, and a later delete of every fourth."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    inserts = docs.select(F.lit("shop4.fs").alias("ns"), F.col("doc_id").alias("_id"), F.lit("i").alias("op"), (F.col("doc_id") - 1).alias("ts"))
+    rest = inserts.withColumn("ts", F.when(F.col("_id") % 4 == 0, F.col("ts")).otherwise(F.col("_id")))
+    return rest.unionByName(inserts.where("_id % 4 = 0").withColumns({"op": F.lit("d"), "ts": F.col("_id")}))
+
+
+@query(FILES_SQL + FILE_ENTRIES_SQL + """ SELECT 'shop4.fs' AS ns, _id, CASE WHEN NOT deleted THEN _id END AS gridfs_id, CASE WHEN NOT deleted THEN length(text)::BIGINT END AS length,
+  CASE WHEN NOT deleted THEN md5(text) END AS content_md5, _ts, deleted FROM e""", log=False)
 def file_upsert(spark, sf_dir):
-    return files.assemble(*damaged(spark, sf_dir)).select("_id", "length", F.col("_id").alias("gridfs_id"))
+    """Stored files with their content; those with a lost chunk are left out."""
+    chunks, table = damaged(spark, sf_dir)
+    rows = files.apply_files(file_entries(spark, sf_dir), table, chunks)
+    return rows.select("ns", "_id", "gridfs_id", "length", F.md5("content").alias("content_md5"), "_ts", "deleted")
 
 
 @query(FILES_SQL + " SELECT doc_id AS _id, CASE WHEN doc_id % 3 = 0 THEN 'document' ELSE 'file' END AS removed FROM f WHERE doc_id % 4 = 0", log=False)
@@ -241,7 +261,7 @@ def file_remove(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     meta = files.file_table(docs).select("_id", F.when(F.col("_id") % 3 != 0, F.col("_id")).alias("gridfs_id"))
     gone = docs.where("doc_id % 4 = 0").select(F.col("doc_id").alias("_id"))
-    return meta.join(gone, "_id", "left_semi").select("_id", F.when(F.col("gridfs_id").isNull(), "document").otherwise("file").alias("removed"))
+    return files.remove_keys(meta, gone)
 
 
 COMMAND_SQL = """, c AS (SELECT max(ts) FILTER (WHERE event_id = n // 4) AS c1, max(ts) FILTER (WHERE event_id = n // 2) AS c2, max(ts) FILTER (WHERE event_id = n * 3 // 4) AS c3 FROM log),
@@ -249,16 +269,23 @@ moved AS (SELECT data.* REPLACE (CASE WHEN ns = 'shop1.users' AND ts < c2 THEN '
   WHERE NOT (ns = 'shop0.carts' AND ts < c1) AND NOT (ns LIKE 'shop3.%' AND ts < c3))"""
 
 
+def command_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop after a quarter of the log, a rename after half of it, and a dropped database after three quarters, as entries."""
+    n, log = n_events(spark, sf_dir), change_log(spark, sf_dir)
+    at, null = F.col("event_id"), F.lit(None)
+    made = lambda **pairs: F.to_variant_object(F.struct(*(F.lit(v).alias(k) for k, v in pairs.items())))
+    doc = F.when(at == n // 4, made(drop="carts")).when(at == n // 2, made(renameCollection="shop1.users", to="shop1.people")).otherwise(made(dropDatabase=1))
+    db = F.when(at == n // 4, "shop0.$cmd").when(at == n // 2, "shop1.$cmd").otherwise("shop3.$cmd")
+    return log.where(at.isin(n // 4, n // 2, n * 3 // 4)).select(
+        "ts", "replset", "event_id", F.lit("c").alias("op"), db.alias("ns"), null.cast("long").alias("_id"), F.lit(False).alias("from_migrate"),
+        doc.alias("o"), null.cast("map<string,variant>").alias("set"), null.cast("array<string>").alias("unset"),
+    )
+
+
 @query(COMMAND_SQL + ", s AS (" + flat_sql("moved") + ") SELECT * FROM s")
 def apply_commands(spark, sf_dir):
-    n, log = n_events(spark, sf_dir), data_log(spark, sf_dir)
-    marks = {r.event_id: r.ts for r in change_log(spark, sf_dir).where(F.col("event_id").isin(n // 4, n // 2, n * 3 // 4)).select("event_id", "ts").collect()}
-    commands = [
-        (marks[n // 4], "drop", "shop0.carts", None),
-        (marks[n // 2], "rename", "shop1.users", "shop1.people"),
-        (marks[n * 3 // 4], "dropDatabase", "shop3", None),
-    ]
-    return shown(replay.replay_flat(replay.apply_commands(log, commands)))
+    log = data_log(spark, sf_dir).unionByName(command_entries(spark, sf_dir))
+    return shown(replay.replay_flat(replay.apply_commands(log)))
 
 
 @query(", s AS (" + flat_sql("data") + ") SELECT ns, count(*) AS n, max(_ts) AS newest, count(*) FILTER (WHERE deleted) AS tombstones FROM s GROUP BY ns")
@@ -407,9 +434,13 @@ def update_keys(log: DataFrame) -> DataFrame:
     return log.select("ts", F.array_join(F.array_sort(F.map_keys("set")), ",").alias("set_keys"), F.array_join(F.array_sort("unset"), ",").alias("unset_keys"))
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey % 2 = 0", log=False)
+@query(SNAP_SQL + " SELECT 'documents' AS source, ns, _id, value, CASE WHEN ns NOT LIKE 'shop3.%' AND ns <> 'shop1.users' THEN flag END AS flag FROM rt WHERE dest IS NOT NULL UNION ALL SELECT 'columns', c_name, c_custkey, c_acctbal, NULL FROM customer")
 def snapshot_projection(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_nationkey % 2 = 0").select("c_custkey", "c_nationkey")
+    """Documents reduced by their rules, and a table of known columns of which the scan reads three."""
+    docs = routed_documents(half_snapshot(spark, sf_dir), RULES)
+    table = fields.project_columns(spark.read.parquet(f"{sf_dir}/customer.parquet"), include=["c_name", "c_acctbal"], key="c_custkey")
+    rows = table.select(F.lit("columns").alias("source"), F.col("c_name").alias("ns"), F.col("c_custkey").cast("long").alias("_id"), F.col("c_acctbal").cast("double").alias("value"), F.lit(None).cast("string").alias("flag"))
+    return docs.select(F.lit("documents").alias("source"), "ns", "_id", *scalars(docs)[:2]).unionByName(rows)
 
 
 @query(f", x AS (SELECT DISTINCT ns, ns AS nsx FROM log), r AS (SELECT ns, {ROUTE_SQL} AS dest FROM x) SELECT ns, CASE WHEN ns = 'shop1.users' THEN '_id,value' ELSE '' END AS include_fields, CASE WHEN ns LIKE 'shop3.%' THEN 'flag' ELSE '' END AS exclude_fields FROM r WHERE dest IS NOT NULL")
@@ -576,12 +607,27 @@ b AS (SELECT max(_ts) AS newest, (SELECT max(ts) FROM log WHERE event_id < n - n
 sus AS (SELECT tgt.* FROM tgt, b WHERE _ts BETWEEN cutoff AND newest)"""
 
 
-def lost_writes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(target state, log without its last hundredth, documents of that log)."""
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the one all executors share, or below the warehouse where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read again, as a target's or a source's table is."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lost_writes(spark: SparkSession, sf_dir: str, replset: str | None = None, rules: Rules | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(target state, log without its last hundredth, documents of that log); only ``replset`` has lost its entries where one is given."""
     n, log = n_events(spark, sf_dir), change_log(spark, sf_dir)
-    kept = log.where(F.col("event_id") < n - n // 100)
+    lost = F.col("event_id") >= n - n // 100
+    kept = log.where(~(lost if replset is None else lost & (F.col("replset") == replset)))
     source = replay.visible(replay.replay_flat(data_entries(kept))).select("ns", "_id", "doc")
-    return replay.replay_flat(data_entries(log)), kept, source
+    state = replay.replay_flat(data_entries(log)) if rules is None else replicate(data_entries(log), rules, mode="tail")
+    return stored(state, "target"), kept, stored(source, "source")
 
 
 @query(""", cps(replset, ts) AS (SELECT replset, ts FROM (SELECT replset, max(ts) AS ts FROM log WHERE op <> 'n' AND ((replset = 'rs0' AND event_id <= n // 2) OR (replset = 'rs1' AND event_id <= n * 9 // 10)) GROUP BY ALL)
@@ -628,6 +674,36 @@ def rollback_state(spark, sf_dir):
     return shown(reconcile.reconcile(*lost_writes(spark, sf_dir))["state"])
 
 
+def lost_sql(kept: str, logged: str, target: str, source: str) -> str:
+    """State after a rollback: ``kept`` says which entries are left, ``logged`` which of them the cutoff is taken from, ``target`` and
+    ``source`` are the target's entries and those the source's documents are made of, both under the target's names."""
+    return f""", kl AS (SELECT * FROM log WHERE {kept}), tgt AS ({flat_sql(target)}), src AS (SELECT * FROM ({flat_sql(source)}) WHERE NOT deleted),
+b AS (SELECT max(_ts) AS newest, (SELECT max(ts) FROM kl WHERE op <> 'n' AND {logged} AND ts <= (SELECT max(_ts) FROM tgt)) AS cutoff FROM tgt),
+sus AS (SELECT tgt.* FROM tgt, b WHERE _ts BETWEEN cutoff AND newest)
+SELECT ns, _id, value, flag, k, _ts, deleted FROM tgt ANTI JOIN sus USING (ns, _id) UNION ALL BY NAME
+SELECT ns, _id, value, flag, k, cutoff AS _ts, deleted FROM src, b WHERE (src.ns, src._id) IN (SELECT (ns, _id) FROM sus) UNION ALL BY NAME
+SELECT ns, _id, NULL AS value, NULL AS flag, NULL AS k, cutoff AS _ts, true AS deleted FROM sus ANTI JOIN src USING (ns, _id), b"""
+
+
+@query(", ke AS (SELECT * FROM data WHERE NOT (event_id >= n - n // 100 AND replset = 'rs0'))" + lost_sql("NOT (event_id >= n - n // 100 AND replset = 'rs0')", "replset = 'rs0'", "data", "ke"))
+def rollback_one_log(spark, sf_dir):
+    """rs0 has lost its last writes, rs1 goes on; the cutoff is rs0's own."""
+    return shown(reconcile.reconcile(*lost_writes(spark, sf_dir, "rs0"), replsets=["rs0"])["state"])
+
+
+RENAMES = Rules((Rule("shop0.*", "target0.*"), Rule("shop1.*", "people.*"), Rule("shop3.*", exclude=("flag",))))
+RENAMED_SQL = """, rn AS (SELECT * REPLACE (CASE WHEN ns LIKE 'shop0.%' THEN 'target0.' || substr(ns, 7) WHEN ns LIKE 'shop1.%' THEN 'people.' || substr(ns, 7) ELSE ns END AS ns), ns AS from_ns
+  FROM data WHERE ns LIKE 'shop0.%' OR ns LIKE 'shop1.%' OR ns LIKE 'shop3.%'),
+rt AS (SELECT * REPLACE (CASE WHEN from_ns NOT LIKE 'shop3.%' OR flag IN ('purchase', 'click') THEN flag END AS flag) FROM rn WHERE NOT from_migrate AND NOT (from_ns LIKE 'shop3.%' AND kind = 'delta' AND flag = 'click')),
+re AS (SELECT * FROM rn WHERE event_id < n - n // 100)"""
+
+
+@query(RENAMED_SQL + ", st AS (" + lost_sql("event_id < n - n // 100", "true", "rt", "re").removeprefix(", ").replace("kl AS", "WITH kl AS", 1) + ") SELECT * REPLACE (CASE WHEN ns NOT LIKE 'shop3.%' THEN flag END AS flag) FROM st")
+def rollback_renamed(spark, sf_dir):
+    """A target whose names differ from the source's, and whose rule leaves a field out."""
+    return shown(reconcile.reconcile(*lost_writes(spark, sf_dir, rules=RENAMES), rules=RENAMES)["state"])
+
+
 # aggregates
 
 
@@ -756,15 +832,15 @@ def chunk_documents(spark, sf_dir):
 
 # whole plans
 
-REPLICA_SQL = ", " + SKIP_SQL + """, ap AS (SELECT * REPLACE (dest AS ns), ns AS src FROM sk WHERE reason IS NULL AND NOT ns LIKE '%.files' AND NOT (ns = 'shop1.users' AND kind = 'delta' AND flag = 'click') AND NOT (ns LIKE 'shop3.%' AND kind = 'delta' AND flag = 'click')), st AS (""" + flat_sql("ap") + """)
-SELECT ns, _id, value, CASE WHEN ns <> 'people.main' AND ns NOT LIKE 'shop3.%' THEN flag END AS flag, CASE WHEN ns <> 'people.main' THEN k END AS k, _ts, deleted FROM st"""
+REPLICA_SQL = ", " + SKIP_SQL + """, ap AS (SELECT * REPLACE (dest AS ns), ns AS src FROM sk WHERE reason IS NULL AND NOT (ns = 'shop1.users' AND kind = 'delta' AND flag = 'click') AND NOT (ns LIKE 'shop3.%' AND kind = 'delta' AND flag = 'click')), st AS (""" + flat_sql("ap") + """)
+SELECT ns, _id, value, CASE WHEN ns <> 'people.main' AND ns NOT LIKE 'shop3.%' THEN flag END AS flag, CASE WHEN ns <> 'people.main' THEN k END AS k, _ts, deleted"""
 
 
-@query(REPLICA_SQL)
+@query(REPLICA_SQL + ", CASE WHEN ns = 'shop4.fs' AND NOT deleted THEN _id END AS gridfs_id FROM st")
 def current_documents(spark, sf_dir):
-    """The flagship: every target collection as it is now."""
-    log = change_log(spark, sf_dir).where(~predicates.is_file())
-    return shown(replicate(log, RULES, mode="tail"))
+    """The flagship: every target collection as it is now, and which of its rows are files."""
+    state = with_files(replicate(change_log(spark, sf_dir), RULES, mode="tail"), RULES)
+    return state.select("ns", "_id", *scalars(state), "_ts", "deleted", "gridfs_id")
 
 
 @query("SELECT event_id, upper(event_type) AS event_type, value FROM events", log=False)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.fields import exclude_fields, include_fields, project_log
-from tidelog.operators.predicates import applicable
-from tidelog.operators.replay import replay_flat, snapshot_state, state_as_log
-from tidelog.operators.routing import Rule, Rules
+from tidelog.operators.fields import ruled_doc
+from tidelog.operators.predicates import prepare
+from tidelog.operators.replay import apply_commands, commands_in, replay_flat, snapshot_state, state_as_log
+from tidelog.operators.routing import Rule, Rules, matches
 
 #: Rules over the derived log; they exercise every kind.
 RULES = Rules(
@@ -23,51 +23,46 @@ RULES = Rules(
 )
 
 
-def projected(log: DataFrame, rules: Rules) -> DataFrame:
-    """A routed log with each rule's fields; rules without any share one branch, so the log is read once for each other rule."""
-    kinds: dict[tuple, list[str]] = {}
-    for rule in rules.included:
-        include, exclude = rules.fields(rule)
-        kinds.setdefault((tuple(include), tuple(exclude)), []).append(rule.source)
-    if set(kinds) <= {((), ())}:
-        return log
-    from tidelog.operators.routing import matches
-
-    name, out = F.col("source_ns"), None
-    claimed = F.lit(None).cast("string")
-    for rule in reversed(rules.included):
-        claimed = F.when(matches(F.regexp_replace(name, r"\.files\z", ""), rule.source), rule.source).otherwise(claimed)
-    for (include, exclude), sources in kinds.items():
-        own = project_log(log.where(claimed.isin(*sources)), list(include), list(exclude))
-        out = own if out is None else out.unionByName(own)
-    return out.unionByName(log.where(claimed.isNull()))
-
-
 def snapshot(snap: DataFrame, rules: Rules, ts: int | None) -> DataFrame:
     """Every included collection's documents with their target names, stamped ``ts``; without a log (null ts), none."""
     if ts is None:
         return snapshot_state(snap.where("false"), 0)
     routed = snap.withColumn("r", rules.route(F.col("ns"))).where("r is not null")
-    doc = F.col("doc")
-    for k, rule in enumerate(rules.included):
-        include, exclude = rules.fields(rule)
-        if include:
-            doc = F.when(F.col("r.rule") == k, include_fields(F.col("doc"), include)).otherwise(doc)
-        if exclude:
-            doc = F.when(F.col("r.rule") == k, exclude_fields(F.col("doc"), exclude)).otherwise(doc)
-    return snapshot_state(routed.select(F.col("r.dest").alias("ns"), "_id", doc.alias("doc")), ts)
+    return snapshot_state(routed.select(F.col("r.dest").alias("ns"), "_id", ruled_doc(F.col("doc"), F.col("r.rule"), rules).alias("doc")), ts)
 
 
-def replicate(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail") -> DataFrame:
-    """The targets' state; ``mode`` is dump+tail, tail or dump."""
-    parts = []
+def replicate(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail", replay=replay_flat) -> DataFrame:
+    """The targets' state (files by their metadata); ``mode`` is dump+tail, tail or dump.  The log is read once; its commands, a second narrow time."""
+    parts, commands = [], []
     if mode != "tail" and snap is not None:
         parts.append(state_as_log(snapshot(snap, rules, ts)))
     if mode != "dump":
-        own = projected(applicable(log if ts is None or mode == "tail" else log.where(F.col("ts") > ts), rules), rules)
-        columns = "ts", "replset", "event_id", "op", "ns", "_id", "from_migrate", "o", "set", "unset"
-        parts.append(own.select(*columns))
+        own = prepare(log if ts is None or mode == "tail" else log.where(F.col("ts") > ts), rules)
+        commands = commands_in(own.where("op = 'c'"))
+        parts.append(own.select("ts", "replset", "event_id", "op", "ns", "_id", "from_migrate", "o", "set", "unset"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return replay_flat(out)
+    return replay(apply_commands(out, commands))
+
+
+def with_files(state: DataFrame, rules: Rules) -> DataFrame:
+    """A state with gridfs_id: the file's id in collections of files, else null."""
+    is_file = F.lit(False)
+    for rule in rules.included:
+        if rule.gridfs:
+            is_file = is_file | matches(F.col("ns"), rule.target)
+    return state.withColumn("gridfs_id", F.when(is_file & ~F.col("deleted"), F.col("_id")))
+
+
+def resume_scan(snap: DataFrame, ns: str, last_id: int | None = None, rules: Rules | None = None) -> DataFrame:
+    """A collection's documents in order of _id, after ``last_id`` where a scan broke off, reduced to its rule's fields."""
+    own = snap.where(F.col("ns") == ns)
+    own = own if last_id is None else own.where(F.col("_id") > last_id)
+    return (own if rules is None else routed_documents(own, rules)).orderBy("_id")
+
+
+def routed_documents(snap: DataFrame, rules: Rules) -> DataFrame:
+    """(ns, _id, doc) of the replicated documents, under their source names, reduced to their rules' fields."""
+    routed = snap.withColumn("r", rules.route(F.col("ns"))).where("r is not null")
+    return routed.select("ns", "_id", ruled_doc(F.col("doc"), F.col("r.rule"), rules).alias("doc"))

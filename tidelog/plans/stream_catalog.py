@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.replay import latest_per_key
-from tidelog.plans.catalog import flat_sql, query, shown
-from tidelog.sinks.targets import JsonTarget, ParquetTarget
-from tidelog.sources.change_log import change_log, data_entries
-from tidelog.streaming.tail import commit_interval, latest_entries, log_stream, read_progress, tail
+from tidelog.operators import files
+from tidelog.operators.replay import latest_per_key, visible
+from tidelog.operators.routing import Rule, Rules
+from tidelog.plans.catalog import COMMAND_SQL, REPLICA_SQL, command_entries, flat_sql, query, shown
+from tidelog.plans.catalog import scratch as folder
+from tidelog.plans.replicate import RULES
+from tidelog.sinks.targets import FileTarget, JsonTarget, ParquetTarget
+from tidelog.sources.change_log import change_log, data_entries, n_events
+from tidelog.streaming.tail import latest_entries, log_stream, read_progress, tail
 
 FLAT = ", s AS (" + flat_sql("data") + ") SELECT * FROM s"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the one all executors share, or below the warehouse where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return folder(spark, "stream")
 
 
-def stored_stream(spark: SparkSession, sf_dir: str, base: str, parts: int = 3) -> DataFrame:
-    """The log in ``parts`` files by time, as a stream of one file a batch."""
-    log = change_log(spark, sf_dir)
-    log.repartitionByRange(parts, "ts").sortWithinPartitions("ts").write.parquet(f"{base}/log")
+def stored_stream(spark: SparkSession, sf_dir: str, base: str, parts: int = 3, more: DataFrame | None = None) -> DataFrame:
+    """The log (and ``more`` entries) in ``parts`` files by event_id, as a stream of one file a batch."""
+    log, n = change_log(spark, sf_dir), n_events(spark, sf_dir)
+    log = log if more is None else log.unionByName(more)
+    for k in range(parts):
+        part = log.where((F.col("event_id") >= n * k // parts) & (F.col("event_id") < n * (k + 1) // parts))
+        part.coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(f"{base}/log")
     return log_stream(spark, f"{base}/log", files_per_batch=1)
 
 
@@ -96,12 +99,56 @@ def custom_sink(spark, sf_dir):
     return spark.read.parquet(f"{base}/counts").groupBy("ns", "op").agg(F.sum("n").alias("n"), F.max("newest").alias("newest"))
 
 
-@query()
+COMMITS = ", ".join(f"d{k} AS (SELECT * FROM data WHERE event_id < n * {k + 1} // 3), s{k} AS ({flat_sql(f'd{k}')})" for k in range(3))
+
+
+@query(f", {COMMITS} " + " UNION ALL ".join(f"SELECT {k} AS batch, count(*) AS documents, max(_ts) AS newest FROM s{k}" for k in range(3)))
 def micro_batch_commit(spark, sf_dir):
-    """What each committed batch left in the buckets it wrote."""
+    """What the target held after each batch was committed."""
+    base = scratch(spark)
+
+    class Watched(ParquetTarget):
+        def apply(self, log, batch_id):
+            super().apply(log, batch_id)
+            held = self.state().agg(F.count("*").alias("documents"), F.max("_ts").alias("newest"))
+            held.write.mode("overwrite").parquet(f"{base}/held/batch={batch_id}")
+
+    run(spark, stored_stream(spark, sf_dir, base), [Watched(spark, f"{base}/state")], base)
+    return spark.read.option("basePath", f"{base}/held").parquet(f"{base}/held/batch=*").select("batch", "documents", "newest")
+
+
+def routed_run(spark: SparkSession, stream: DataFrame, targets: list, base: str, rules: Rules) -> None:
+    tail(stream, targets, f"{base}/checkpoint", rules).awaitTermination()
+
+
+@query(REPLICA_SQL.replace("WHERE reason IS NULL AND", "WHERE reason IS NULL AND NOT ns LIKE '%.files' AND") + " FROM st")
+def stream_rules(spark, sf_dir):
+    """A stream through rules of every kind; what they exclude never gets to the target."""
     base = scratch(spark)
     target = ParquetTarget(spark, f"{base}/state")
-    assert commit_interval(0) == "0 seconds"
-    run(spark, stored_stream(spark, sf_dir, base), [target], base)
-    return spark.read.parquet(f"{base}/state/state").groupBy("v").agg(F.count("*").alias("documents"), F.max("_ts").alias("newest"))
+    routed_run(spark, stored_stream(spark, sf_dir, base), [target], base, RULES)
+    return shown(target.state())
+
 
+MOVES = Rules((Rule("shop0.*", "target0.*"), Rule("shop1.*"), Rule("shop3.*", "moved.*")))
+MOVES_SQL = """, ap AS (SELECT * REPLACE (CASE WHEN ns LIKE 'shop0.%' THEN 'target0.' || substr(ns, 7) WHEN ns LIKE 'shop3.%' THEN 'moved.' || substr(ns, 7) ELSE ns END AS ns)
+  FROM moved WHERE NOT from_migrate AND (ns LIKE 'shop0.%' OR ns LIKE 'shop1.%' OR ns LIKE 'shop3.%'))"""
+
+
+@query(COMMAND_SQL + MOVES_SQL + ", s AS (" + flat_sql("ap") + ") SELECT ns, _id, value, flag, k, _ts FROM s WHERE NOT deleted")
+def stream_commands(spark, sf_dir):
+    """A drop, a rename and a dropped database in the stream, through rules that rename."""
+    base = scratch(spark)
+    target = ParquetTarget(spark, f"{base}/state")
+    routed_run(spark, stored_stream(spark, sf_dir, base, more=command_entries(spark, sf_dir)), [target], base, MOVES)
+    return shown(visible(target.state()))
+
+
+@query(""", f AS (SELECT _id, max(ts) AS _ts, arg_max(op, ts) AS op FROM log WHERE ns = 'shop4.fs.files' AND NOT from_migrate AND op IN ('i', 'd') GROUP BY _id)
+SELECT 'shop4.fs' AS ns, _id, _id AS gridfs_id, 'doc-' || _id || '.txt' AS filename, length(text)::BIGINT AS length, md5(text) AS content_md5, _ts FROM f JOIN documents ON doc_id = _id WHERE op = 'i'""")
+def stream_files(spark, sf_dir):
+    """File entries of the stream, with content from the chunks; documents of the same stream go to their own target."""
+    base, docs = scratch(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
+    target = FileTarget(spark, f"{base}/files", files.file_table(docs), files.chunk_texts(docs))
+    routed_run(spark, stored_stream(spark, sf_dir, base), [ParquetTarget(spark, f"{base}/state"), target], base, RULES)
+    return target.contents().select("ns", "_id", "gridfs_id", "filename", "length", F.md5("content").alias("content_md5"), "_ts")

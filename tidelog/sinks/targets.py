@@ -1,4 +1,4 @@
-"""Targets: the protocol, a Parquet table, a JSON-lines mirror, and fan-out to several."""
+"""Targets: the protocol, Parquet tables of documents and of files, a JSON-lines mirror, and fan-out to several."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.reconcile import last_doc, reconcile, rollback_cutoff, search_range
-from tidelog.operators.replay import KEYS, STATE_SCHEMA, apply_incremental, replay_flat
+from tidelog.operators.files import FILE_SCHEMA, apply_files, newest
+from tidelog.operators.reconcile import last_doc, reconcile, search_range, upserted_and_gone
+from tidelog.operators.replay import KEYS, STATE_SCHEMA, apply_incremental, commands_in, replay_flat
+from tidelog.operators.routing import Rules
 
 
 class Target(Protocol):
@@ -57,12 +59,53 @@ def split_valid(rows: DataFrame, valid: Column, fail_fast: bool = False) -> tupl
     return rows.where(ok), rows.where(~ok)
 
 
+def documents_of(log: DataFrame) -> DataFrame:
+    """The entries that aren't about files."""
+    return log.where("not is_file") if "is_file" in log.columns else log
+
+
+@dataclass
+class Bucketed:
+    """A Parquet table of keyed rows in folders ``b=<bucket of the key's hash>``; a batch overwrites only the folders it touches.
+
+    Take about one bucket for each 256 MB to come; ``writers`` tasks share a bucket.  If a batch fails half way, some folders are
+    new and some old; as it runs again, rows that have had it stay as they are.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: str
+    buckets: int
+    writers: int = 4
+
+    def bucket(self) -> Column:
+        return F.pmod(F.hash(*KEYS), F.lit(self.buckets))
+
+    def read(self, touched: list[int] | None = None) -> DataFrame:
+        try:
+            rows = self.spark.read.schema(f"{self.schema}, b INT").parquet(self.path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
+        return (rows if touched is None else rows.where(F.col("b").isin(touched))).drop("b")
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        return sorted(r.b for r in rows.select(self.bucket().alias("b")).distinct().collect())
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """``rows`` are all that their buckets hold from now on."""
+        salted = rows.withColumn("b", self.bucket()).repartition("b", F.pmod(F.xxhash64("_id"), F.lit(self.writers)))
+        salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b").parquet(self.path)
+
+
 @dataclass
 class ParquetTarget:
-    """A state table in ``buckets`` of the key's hash; a batch rewrites only the buckets it touches.
+    """A state table of documents, in ``buckets`` of the key's hash.
 
-    Batch n writes ``state/v=n/b=<bucket>`` and then, as its commit, the list of these buckets.  Readers take each
-    bucket's newest committed version; a batch that runs again reads what was there before it, and writes the same again.
+    A batch's entries are applied to the rows of the buckets they touch; rows keep their own time, so a batch that runs again
+    changes nothing.  Tombstones stay as rows.  A batch with commands may move or drop any row, so it rewrites the whole table; rows that
+    a command voids or moves away leave tombstones of its time.
     """
 
     spark: SparkSession
@@ -71,41 +114,34 @@ class ParquetTarget:
     replay: Callable[[DataFrame], DataFrame] = replay_flat
     buckets: int = 64
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.hash(*KEYS), F.lit(self.buckets))
+    @property
+    def table(self) -> Bucketed:
+        return Bucketed(self.spark, f"{self.path}/state", STATE_SCHEMA, self.buckets)
 
-    def _versions(self, before: int | None) -> dict[int, int]:
-        """The newest committed version (older than batch ``before``) of each bucket."""
-        try:
-            commits = self.spark.read.option("basePath", f"{self.path}/commits").parquet(f"{self.path}/commits/batch=*")
-        except AnalysisException:
-            return {}
-        older = commits if before is None else commits.where(F.col("batch") < before)
-        return {r.b: r.v for r in older.groupBy("b").agg(F.max("batch").alias("v")).collect()}
-
-    def state(self, before: int | None = None, only: list[int] | None = None) -> DataFrame:
-        """The state (as of before batch ``before``; of some buckets ``only``)."""
-        versions = self._versions(before)
-        paths = [f"{self.path}/state/v={v}/b={b}" for b, v in sorted(versions.items()) if only is None or b in only]
-        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], STATE_SCHEMA)
+    def state(self) -> DataFrame:
+        return self.table.read()
 
     def apply(self, log: DataFrame, batch_id: int) -> None:
-        touched = [r.b for r in log.select(self._bucket().alias("b")).distinct().collect()]
-        if touched:
-            self._commit(apply_incremental(self.state(batch_id, touched), log, self.replay), batch_id)
-
-    def _commit(self, state: DataFrame, batch_id: int) -> None:
-        state.withColumn("b", self._bucket()).repartition("b").write.mode("overwrite").partitionBy("b").parquet(f"{self.path}/state/v={batch_id}")
-        found = self.spark.read.schema(f"{STATE_SCHEMA}, b INT").parquet(f"{self.path}/state/v={batch_id}").select("b").distinct()
-        found.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
-
-    def roll_back(self, log: DataFrame, source: DataFrame, batch_id: int) -> None:
-        """Makes the target agree with a source (its log and its documents) that has lost writes, as batch ``batch_id``."""
-        before = self.state(batch_id)
-        changed = reconcile(before, log, source)["state"].where(F.col("_ts") >= F.lit(rollback_cutoff(log, before).first().cutoff))
-        touched = [r.b for r in changed.select(self._bucket().alias("b")).distinct().collect()]
-        if touched:
-            self._commit(reconcile(self.state(batch_id), log, source)["state"].where(self._bucket().isin(touched)), batch_id)
+        own = documents_of(log)
+        if commands := commands_in(own):
+            before = self.state()
+            after = apply_incremental(before, own, self.replay)
+            null = F.lit(None).cast("variant")
+            left = before.join(after.select(*KEYS), KEYS, "left_anti").withColumns({"doc": null, "_ts": F.lit(commands[-1][0]), "deleted": F.lit(True)})
+            self.table.overwrite(after.unionByName(left))
+        elif touched := self.table.touched(own):
+            self.table.overwrite(apply_incremental(self.table.read(touched), own, self.replay))
+
+    def roll_back(self, log: DataFrame, source: DataFrame, batch_id: int, rules: Rules | None = None, replsets: list[str] | None = None) -> None:
+        """Makes the target agree with a source (its log and its documents) that has lost writes in ``replsets``."""
+        found = reconcile(self.state(), log, source, rules, replsets)
+        changed = upserted_and_gone(found).select(*self.state().columns).persist()
+        try:
+            if touched := self.table.touched(changed):
+                before = self.table.read(touched).join(changed.select(*KEYS), KEYS, "left_anti")
+                self.table.overwrite(before.unionByName(changed))
+        finally:
+            changed.unpersist()
 
     def search(self, start: int, end: int) -> DataFrame:
         return search_range(self.state(), start, end)
@@ -114,6 +150,42 @@ class ParquetTarget:
         return last_doc(self.state())
 
 
+@dataclass
+class FileTarget:
+    """Whole files with their content, from a log's file entries (``is_file``) and the source's ``files`` and ``chunks``.
+
+    An inserted file is assembled from its chunks; one whose chunks aren't complete is left out (``broken_files`` tells why).  A delete removes the
+    file.  Rows keep the time of their entry and the target's file id; deletes stay as rows without content.
+    """
+
+    spark: SparkSession
+    path: str
+    files: DataFrame
+    chunks: DataFrame
+    name: str = "files"
+    buckets: int = 64
+
+    @property
+    def table(self) -> Bucketed:
+        return Bucketed(self.spark, f"{self.path}/files", FILE_SCHEMA, self.buckets)
+
+    def contents(self) -> DataFrame:
+        """The files there are."""
+        return self.table.read().where("not deleted").drop("deleted")
+
+    def apply(self, log: DataFrame, batch_id: int) -> None:
+        own = log.where("is_file and op in ('i', 'd')")
+        if touched := self.table.touched(own):
+            before, rows = self.table.read(touched), apply_files(own, self.files, self.chunks)
+            self.table.overwrite(newest(before.unionByName(rows)))
+
+    def search(self, start: int, end: int) -> DataFrame:
+        return search_range(self.table.read(), start, end)
+
+    def last(self) -> DataFrame:
+        return last_doc(self.table.read())
+
+
 @dataclass
 class JsonTarget:
     """Every batch's entries as JSON lines, ``path/batch=<n>``: a mirror of the log for other readers."""

@@ -1,20 +1,18 @@
 """A file stream of log entries, applied to targets batch by batch.
 
-Delivery is at least once: a batch that runs again writes the same version of each target again,
-and entries a target has seen are dropped, so the result is as if each had run once.  The progress
+Delivery is at least once: entries a target has seen are dropped when a batch runs again, so the result is as if each had run once.  The progress
 table gets the newest entry of every batch, skipped entries included, only after all targets succeeded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.predicates import applicable
+from tidelog.operators import predicates
 from tidelog.operators.reconcile import resume_decision
 from tidelog.operators.routing import Rules
 from tidelog.sinks.checkpoints import advance
@@ -35,10 +33,13 @@ def tail(
     interval: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda log: log,
 ) -> StreamingQuery:
-    """Starts applying ``stream`` to ``targets``: all there is now, or every ``interval`` (e.g. "5 seconds") on."""
+    """Starts applying ``stream`` to ``targets``: all there is now, or every ``interval`` (e.g. "5 seconds") on.
+
+    With ``rules``, entries are routed, reduced to their fields, and commands name targets, as in ``replicate``.
+    """
 
     def batch(log: DataFrame, batch_id: int) -> None:
-        own = prepare(applicable(log, rules) if rules else log.where("op <> 'n'"))
+        own = prepare(predicates.prepare(log, rules) if rules else log.where("op <> 'n'"))
         failed = [f"{name}: {error}" for name, error in fan_out(own, targets, batch_id) if error]
         if failed:
             raise RuntimeError("; ".join(failed))
@@ -54,15 +55,15 @@ def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     return spark.read.option("basePath", progress).parquet(f"{progress}/batch=*").groupBy("replset").agg(F.max("ts").alias("ts"))
 
 
-def recover(log: DataFrame, checkpoints: DataFrame, source: DataFrame, targets: list, batch_id: int) -> DataFrame:
-    """Before a tail is resumed: the decision for each log, after rolling targets back where one of them says so.
+def recover(log: DataFrame, checkpoints: DataFrame, source: DataFrame, targets: list, batch_id: int, rules: Rules | None = None) -> DataFrame:
+    """Before a tail is resumed: the decision for each log, after rolling targets back to before what the logs lost that say so.
 
     ``source`` has the documents (ns, _id, doc) as they are now.  Targets need ``roll_back``.
     """
     decisions = resume_decision(log, checkpoints)
-    if not decisions.where("decision = 'rollback'").isEmpty():
-        for target in targets:
-            target.roll_back(log, source, batch_id)
+    lost = sorted(r.replset for r in decisions.where("decision = 'rollback'").select("replset").collect())
+    for target in targets if lost else ():
+        target.roll_back(log, source, batch_id, rules, lost)
     return decisions
 
 
@@ -75,18 +76,6 @@ def commit_interval(seconds: int | None) -> str | None:
     return f"{seconds} seconds"
 
 
-LAST_SCHEMA = "ns string, _id long, last_ts long, entries long"
-
-
 def latest_entries(stream: DataFrame) -> DataFrame:
-    """A running (ns, _id, last_ts, entries), one update per key and batch; state is kept by Spark per key."""
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, entries = state.get if state.exists else (0, 0)
-        for part in parts:
-            last, entries = max(last, int(part["ts"].max())), entries + len(part)
-        state.update((last, entries))
-        yield pd.DataFrame({"ns": [key[0]], "_id": [key[1]], "last_ts": [last], "entries": [entries]})
-
-    own = stream.where("op <> 'n'").select("ns", "_id", "ts")
-    return own.groupBy("ns", "_id").applyInPandasWithState(update, LAST_SCHEMA, "last long, entries long", "update", "NoTimeout")
+    """A running (ns, _id, last_ts, entries), for update mode; state is kept by Spark per key."""
+    return stream.where("op <> 'n'").groupBy("ns", "_id").agg(F.max("ts").alias("last_ts"), F.count("*").alias("entries"))
