@@ -11,7 +11,7 @@ sorted rows as they stream by, so a document's entries are never gathered either
 
 from __future__ import annotations
 
-import json
+import copy
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import ns_db
+from tidelog.functions.variants import VARIANT, from_python, to_python
 
 STATE_SCHEMA = "ns STRING, _id BIGINT, doc VARIANT, _ts BIGINT, deleted BOOLEAN"
 KEYS = ["ns", "_id"]
@@ -175,7 +176,9 @@ def apply_delta(doc: dict, sets: dict | None, unsets: list | None, missing_unset
 
     Setting past an array's end pads it with nulls; unsetting a position leaves a null.
     """
-    doc = json.loads(json.dumps(doc))
+    doc = dict(doc)
+    for top in {path.split(".")[0] for path in (*(sets or ()), *(unsets or ()))} & doc.keys():
+        doc[top] = copy.deepcopy(doc[top])  # a failing update leaves the document as it was
     for path, value in (sets or {}).items():
         names = path.split(".")
         held = _parent(doc, names, create=True)
@@ -199,47 +202,78 @@ def apply_delta(doc: dict, sets: dict | None, unsets: list | None, missing_unset
     return doc
 
 
-def fold(log: DataFrame, missing_unset: str = "ignore") -> DataFrame:
-    """The sequential fold: rows of state (reason null) and of rejects (reason set)."""
-    names = ["ns", "_id", "doc", "_ts", "deleted", "op", "reason"]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string()]
+#: Updates of a document that wait for whether a whole write or a delete comes after them.
+WAITING = 256
 
-    def folded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, doc, ts, deleted, out = None, None, None, None, []
 
-        def done() -> None:
-            if key is not None and deleted is not None:
-                out.append((*key, json.dumps(doc) if not deleted else None, ts, deleted, None, None))
+def fold(log: DataFrame, missing_unset: str = "ignore", every: bool = True) -> DataFrame:
+    """The sequential fold: rows of state (reason null) and of rejects (reason set).
 
+    One shuffle; the sorted entries stream by.  Without ``every``, updates that a later whole write or delete hides aren't looked at,
+    nor are their rejects found.  Documents keep the types of their values.
+    """
+    names = ["ns", "_id", "doc", "_ts", "deleted", "op", "reason"]
+    kinds = [pa.string(), pa.int64(), VARIANT, pa.int64(), pa.bool_(), pa.string(), pa.string()]
+    limit = 0 if every else WAITING
+
+    class Document:
+        """One document while its entries go by: ``raw`` until an update needs its values."""
+
+        def __init__(self, key: tuple | None):
+            self.key, self.raw, self.doc, self.ts, self.deleted, self.waiting = key, None, None, None, None, []
+
+        def whole(self, raw: dict | None, ts: int) -> None:
+            self.raw, self.doc, self.ts, self.deleted, self.waiting = raw, None, ts, raw is None, []
+
+        def update(self, ts: int, sets: list, unsets: list, out: list) -> None:
+            self.waiting.append((ts, sets, unsets))
+            if len(self.waiting) > limit:
+                self.settle(out)
+
+        def settle(self, out: list) -> None:
+            for ts, sets, unsets in self.waiting:
+                if self.deleted is not False:
+                    out.append((*self.key, None, ts, None, "u", "no_base"))
+                    continue
+                self.doc, self.raw = to_python(self.raw) if self.raw is not None else self.doc, None
+                try:
+                    self.doc, self.ts = apply_delta(self.doc, {k: to_python(v) for k, v in sets or ()}, unsets, missing_unset), ts
+                except UpdateError:
+                    out.append((*self.key, None, ts, None, "u", "bad_update"))
+            self.waiting = []
+
+        def done(self, out: list) -> None:
+            self.settle(out)
+            if self.deleted is not None:
+                value = None if self.deleted else self.raw if self.raw is not None else from_python(self.doc)
+                out.append((*self.key, value, self.ts, self.deleted, None, None))
+
+    def batch(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    def folded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, out = Document(None), []
         for part in parts:
-            for ns, id_, t, what, o, sets, unsets in zip(*(part.column(i).to_pylist() for i in range(7))):
-                if (ns, id_) != key:
-                    done()
-                    key, doc, ts, deleted = (ns, id_), None, None, None
-                if what in ("insert", "replace"):
-                    doc, ts, deleted = json.loads(o), t, False
-                elif what == "delete":
-                    doc, ts, deleted = None, t, True
-                elif doc is None:
-                    out.append((ns, id_, None, t, None, "u", "no_base"))
+            for ns, id_, ts, what, o, sets, unsets in zip(*(part.column(i).to_pylist() for i in range(7))):
+                if (ns, id_) != held.key:
+                    if held.key is not None:
+                        held.done(out)
+                    held = Document((ns, id_))
+                if what == "delta":
+                    held.update(ts, sets, unsets, out)
                 else:
-                    try:
-                        doc, ts = apply_delta(doc, json.loads(sets) if sets else None, unsets, missing_unset), t
-                    except UpdateError:
-                        out.append((ns, id_, None, t, None, "u", "bad_update"))
+                    held.whole(None if what == "delete" else o, ts)
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                yield batch(out)
                 out = []
-        done()
+        if held.key is not None:
+            held.done(out)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            yield batch(out)
 
-    own = log.where(F.col("op").isin("i", "u", "d")).select(
-        "ns", "_id", "ts", kind().alias("kind"), F.to_json("o").alias("o"), F.to_json("set").alias("set"), "unset"
-    )
+    own = log.where(F.col("op").isin("i", "u", "d")).select("ns", "_id", "ts", kind().alias("kind"), "o", "set", "unset")
     rows = own.repartition(*KEYS).sortWithinPartitions(*KEYS, "ts")
-    schema = "ns string, _id long, doc string, _ts long, deleted boolean, op string, reason string"
-    return rows.mapInArrow(folded, schema)
+    return rows.mapInArrow(folded, "ns string, _id long, doc variant, _ts long, deleted boolean, op string, reason string")
 
 
 def after_barrier(log: DataFrame) -> DataFrame:
@@ -250,7 +284,7 @@ def after_barrier(log: DataFrame) -> DataFrame:
 
 def replay_nested(log: DataFrame) -> DataFrame:
     """State after a log with dotted paths and array positions."""
-    return fold(after_barrier(log)).where("reason is null").select("ns", "_id", F.try_parse_json("doc").alias("doc"), "_ts", "deleted")
+    return fold(log, every=False).where("reason is null").select("ns", "_id", "doc", "_ts", "deleted")
 
 
 def rejects(log: DataFrame) -> DataFrame:

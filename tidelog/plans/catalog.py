@@ -571,7 +571,7 @@ def apply_delta_cases(spark, sf_dir):
     inserts = keyed.withColumns({"op": F.lit("i"), "set": null.cast("map<string,variant>"), "unset": null.cast("array<string>")})
     updates = keyed.withColumns({"op": F.lit("u"), "o": null.cast("variant"), "ts": F.col("ts") + 1})
     rows = replay.fold(inserts.unionByName(updates))
-    state = rows.where("reason is null").select("_id", F.try_parse_json("doc").alias("doc"))
+    state = rows.where("reason is null").select("_id", "doc")
     b = find_field(F.col("doc"), "b", "array<variant>")
     rejected = rows.where("reason is not null").select("_id", F.lit(True).alias("rejected"))
     return state.join(rejected, "_id", "left").select(
