@@ -55,3 +55,45 @@ def test_scripts_without_spaces(item, edited, other):
 
 def test_words_of_mixed_scripts():
     assert decontaminate.words_of("GPT4模型 über 10年, naïve_x") == ["gpt4", "模", "型", "über", "10", "年", "naïve_x"]
+
+
+@pytest.mark.parametrize("size", [5, 8, 10, 15, 20, 30, 60])
+def test_recall_by_place_of_the_edits(size):
+    """Copies at the allowed distance with edits at random places, evenly spaced, in the first and in the last words."""
+    rng = random.Random(size + 1000)
+    items = [[f"w{rng.randrange(400)}" for _ in range(size)] for _ in range(200)]
+    finder, most = decontaminate.Finder(list(range(len(items))), items), size // 5
+    for places in (rng.sample(range(size), most), [i * size // most for i in range(most)], range(most), range(size - most, size)):
+        texts = []
+        for item in items:
+            own = list(item)
+            for at in sorted(places, reverse=True):
+                own[at : at + 1] = rng.choice((["zzz"], [], [own[at], f"w{rng.randrange(400)}"]))
+            texts.append(" ".join([f"w{rng.randrange(400)}" for _ in range(rng.randrange(9))] + own + ["after"] * rng.randrange(9)))
+        found = sum(any(h[0] == k for h in own) for k, own in enumerate(finder.search(texts)))
+        assert found >= 0.99 * len(items)
+
+
+def test_keys_of_other_types(spark):
+    items = spark.createDataFrame([(1.5, "one two three four five six")], "item_id double, text string")
+    df = spark.createDataFrame([("a", "x one two three four nine six y")], "doc_id string, text string")
+    assert [tuple(r)[:3] for r in decontaminate.find_leaks(df, items).collect()] == [("a", 1.5, 1)]
+
+
+def test_all_texts_against_all_items(spark, sf_dir, docs):
+    """A tenth of the documents, and edited items in other words, against every item by plain edit distance, none left out beforehand."""
+    from tests.llm.test_text_scans import edit_distance_within
+
+    rng = random.Random(9)
+    items = [(r.item_id, decontaminate.words_of(r.text)) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()][::10]
+    texts = [r.text for r in docs.orderBy("doc_id").collect() if r.text and len(r.text) < 800][::10]
+    for _, words in items:
+        own = list(words)
+        for at in rng.sample(range(len(own)), len(own) // 5):
+            own[at] = "other"
+        texts.append(" ".join(own))
+    hits = decontaminate.Finder([k for k, _ in items], [w for _, w in items]).search(texts)
+    for text, own in zip(texts, hits):
+        words = decontaminate.words_of(text)
+        want = {k: n for k, item in items if (n := edit_distance_within(item, words)) <= len(item) // 5}
+        assert {h[0]: h[1] for h in own} == want

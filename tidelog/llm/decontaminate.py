@@ -14,8 +14,8 @@ word; those that stand at one word at one step stay together from then on and ar
 
 Recall: at the largest distance allowed, edited copies of the benchmark's own items (edits at random places, evenly
 spaced, in front and at the end; ``TRIALS`` for each range of item lengths) are searched, walk after walk, until a
-share of ``MEASURED`` of them is met.  As walks are drawn independently, a multiple of that number of walks misses the power of what
-it misses; the number is set so that 1 - ``RECALL`` is left.  Nothing caps it.
+share of ``MEASURED`` of them is met.  As walks are drawn independently, a multiple of that number of walks misses about the power of what
+it misses of the edits it misses most; the number is set so that about 1 - ``RECALL`` is left.  Nothing caps it.
 
 A meeting stays only if the words around it that are the item's are enough of them, which loses
 nothing.  Then it is verified exactly: the item's least edit distance (in words) to any stretch of
@@ -302,7 +302,8 @@ class Finder:
                 for place, item, _ in signs.find(sign, first):
                     met[item[owner[place] == item]] = True
             walk += 1
-        return math.ceil(walk * math.log(1 - RECALL) / math.log(max(1 - met.mean(), 1 / TRIALS)))
+        missed = max(1 - met[pattern::4].mean() for pattern in range(4))
+        return math.ceil(walk * math.log(1 - RECALL) / math.log(max(missed, 1 / TRIALS)))
 
     @staticmethod
     def _own_word(symbols: np.ndarray, items: np.ndarray) -> np.ndarray:
