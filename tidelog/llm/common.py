@@ -27,14 +27,16 @@ def ascii_lower(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or (only where that is unset,
-    as in tests) a temporary folder of this machine."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or (only where that is unset, and Spark runs
+    on this machine alone, as in tests) a temporary folder."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(base)
         return base.rstrip("/")
+    if not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir().rstrip("/")

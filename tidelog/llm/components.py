@@ -17,7 +17,7 @@ def _towards_minimum(links: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); the root is the component's least node.
 
-    Self loops and repeated edges are allowed.  A round's minima are pre-aggregated before the
+    Self loops and repeated edges are allowed; edges with a null end link nothing; no edges give no row; other columns are left out.  A round's minima are pre-aggregated before the
     shuffle and joined back, so that the join of a node with very many partners can be split;
     no partner list is ever gathered.  Each round is written to the shared folder.
     """

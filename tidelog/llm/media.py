@@ -309,5 +309,6 @@ def decode_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def clip_rows(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row for each timed clip of ``decode_media``'s output."""
+    """One row for each timed clip of ``decode_media``'s output; every file has one at least.  A null key gives clips with a null key, repeated
+    rows repeated clips, an empty table none; other columns are left out."""
     return df.select(key, F.explode("clips").alias("c")).select(key, "c.*")

@@ -197,7 +197,10 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_
 
 
 def in_order(mixed: DataFrame, rows: int) -> DataFrame:
-    """The rows in the order of their position: partition p holds positions from p * POSITION_ROWS on, sorted."""
+    """The rows in the order of their position: partition p holds positions from p * POSITION_ROWS on, sorted.
+
+    Rows without a position (null) come first; ``rows`` says how many there are and only sets the number of partitions; an empty table is one empty partition.
+    """
     parts = max(1, -(-rows // POSITION_ROWS))
     return mixed.repartitionById(parts, F.floor(F.col("mix_position") / POSITION_ROWS).cast("int")).sortWithinPartitions("mix_position")
 

@@ -13,7 +13,8 @@ Kinds, in the order used for spans that begin together:
 * ``github``, ``npm``: 30 random characters and 6 base-62 digits of their CRC-32.
 
 Null text counts as empty and has no span; offsets are code points, the end is exclusive.
-The scan is a projection: no shuffle, and a row is never split or cut.
+The scan is a projection: no shuffle, and a row is never split or cut.  Repeated rows give equal rows, an empty table none; of other
+columns none is read, and one of the result's name is replaced.
 """
 
 from __future__ import annotations
@@ -116,7 +117,8 @@ def scan_secrets(df: DataFrame, text: str = "text", into: str = "secret_spans")
 
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``df`` with every secret span of its text replaced by ``mark``; null text stays null."""
+    """``df`` with every secret span of its text replaced by ``mark``; of spans that overlap, the first's place is marked and all of them go.
+    Null text stays null, an empty one empty; all other columns stay as they are."""
 
     @F.pandas_udf("string")
     def hidden(texts: pd.Series) -> pd.Series:

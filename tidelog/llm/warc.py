@@ -17,6 +17,7 @@ framed by its Content-Length, and block and payload digests are verified.  A dam
 
 Null payloads count as empty.  Rows of null key are written after the others: a null key is never
 the least of its group unless all are.  Rows repeated under one key are all responses, or all revisits.
+An empty table gives an empty archive.  Only the three named columns are written; other columns' names don't matter.
 """
 
 from __future__ import annotations
