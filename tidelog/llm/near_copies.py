@@ -9,12 +9,14 @@ get a component, but don't count as least keys; an empty table gives no row.
 Fingerprints of two sets of similarity 0.8 differ in about ten of 64 bits, too many for a search by fingerprints alone.  So
 candidates come from three sources, and each is verified on the exact sets:
 
-1. ``simhash.links`` over the fingerprints of the shingles: members of a component against its least set.
+1. ``simhash.links`` over the fingerprints of the shingles: a set of each fingerprint against one of the least that it is linked to, and sets of one
+   fingerprint against one of them.
 2. Bands: the least values of ``ROWS`` random permutations of the set.  Of pairs with similarity s a share of
    1 - (1 - s ** ROWS) ** BANDS shares a band: 0.9998 at 0.8.  Members of a band against the band's most central set, the one
    whose bands have the most members.  Most copies of one text are linked to it here, so no list of partners is gathered.
-3. The rest, without pairing a band's members: sets of bands that aren't one component yet are joined on their first shingles, in the
-   order of their band's center: those that it lacks come first.  Two sets of similarity 0.8 have a common shingle so early that enough is left in
+3. The rest, without pairing a band's members: sets of bands that aren't one component yet are joined on their first shingles, in an
+   order of their band's center: shingles that are rare around it come first (in groups of up to ``FEW`` sets those that the center lacks, in larger ones those that about ``FEW`` of
+   its sets have less than twice; any order finds the same pairs).  Two sets of similarity 0.8 have a common shingle so early that enough is left in
    both for what they must share.  A copy that is too far from its center begins with more shingles of its own than that, so it meets
    nothing but what shares these; and members of the center's component are not joined with each other.
 
@@ -42,6 +44,7 @@ ROWS = 4
 BANDS = 16
 SEED = 42
 STRIDE = 1 << 13
+FEW = 32
 
 _DRAW = np.random.default_rng(20_250_102)
 _MULTIPLY = _DRAW.integers(1, 1 << 62, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,13 +125,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def fingerprint_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): each set of a component of SimHash links, and the component's least set."""
+    """(a, b): the least set of each fingerprint, and that of the least fingerprint it is linked to; other sets of a fingerprint, and its least one."""
     sets = cut(rows.where("size > 0").groupBy("sig").agg(F.min("fp").alias("fp")))
-    distinct = cut(sets.select("fp").distinct())
-    near = connected_components(links(distinct))
-    placed = sets.join(near, F.col("fp") == F.col("node"), "left").select("sig", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("sig").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return cut(placed.join(least, "root").where("sig <> b").select(F.col("sig").alias("a"), "b"))
+    least = cut(sets.groupBy("fp").agg(F.min("sig").alias("b"), F.count("*").alias("n")))
+    near = links(least.select("fp")).groupBy("a").agg(F.min("b").alias("to"))
+    other = least.select(F.col("fp").alias("to"), "b")
+    linked = least.select(F.col("fp").alias("a"), F.col("b").alias("own")).join(small(near), "a").join(other, "to").select(F.col("own").alias("a"), "b")
+    equal = sets.join(small(least.where("n > 1").drop("n")), "fp").where("sig <> b").select(F.col("sig").alias("a"), "b")
+    return cut(linked.unionByName(equal))
 
 
 def centers(crowd: DataFrame) -> DataFrame:
@@ -138,12 +142,24 @@ def centers(crowd: DataFrame) -> DataFrame:
     return ranked.groupBy("band").agg(F.max_by("sig", F.struct("score", "sig")).alias("center"))
 
 
+def surroundings(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """(center, own): the shingles that are common around each center, by which the order of remaining_pairs goes."""
+    sizes = cut(open_.groupBy("center").agg(F.count("*").alias("n")))
+    few = sets.join(small(sizes.where(F.col("n") <= FEW).select(F.col("center").alias("sig"))), "sig", "left_semi").select(F.col("sig").alias("center"), F.col("shingles").alias("own"))
+    step = F.ceil(F.col("n") / FEW)
+    some = open_.join(small(sizes.where(F.col("n") > FEW)), "center").where(F.pmod(F.xxhash64("sig"), step) == 0).select("center", "sig")
+    common = some.join(sets, "sig").select("center", F.explode("shingles").alias("token")).groupBy("center", "token").count().where("count > 1")
+    many = common.groupBy("center").agg(F.collect_list("token").alias("own"))
+    missing = sizes.where(F.col("n") > FEW).select("center").join(many, "center", "left").select("center", F.coalesce("own", F.array().cast("array<int>")).alias("own"))
+    return few.unionByName(missing)
+
+
 def remaining_pairs(open_: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): sets of different roots that can be similar by the place of their first common shingle; ``open_`` has center and sig."""
     up, down = SIMILAR
     rooted = open_.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    middle = sets.join(small(open_.select(F.col("center").alias("sig")).distinct()), "sig", "left_semi").select(F.col("sig").alias("center"), F.col("shingles").alias("own"))
-    middle = middle.join(roots.withColumnRenamed("node", "center").withColumnRenamed("root", "home"), "center", "left").withColumn("home", F.coalesce("home", "center"))
+    middle = surroundings(open_, sets).join(roots.withColumnRenamed("node", "center").withColumnRenamed("root", "home"), "center", "left")
+    middle = middle.withColumn("home", F.coalesce("home", "center"))
     lacking, held = F.array_sort(F.array_except("shingles", "own")), F.array_sort(F.array_intersect("shingles", "own"))
     each = rooted.join(sets, "sig").join(middle, "center").select("center", "sig", "root", "home", F.size("shingles").alias("size"), F.concat(lacking, held).alias("tokens"))
     each = cut(each)
