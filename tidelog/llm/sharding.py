@@ -27,7 +27,7 @@ from tidelog.llm.common import columns, cut
 
 LIMIT_BYTES = 64 << 20
 #: The limit of the registered query: small, so that the smallest tables are split too.
-QUERY_LIMIT_BYTES = 256 << 10
+QUERY_LIMIT_BYTES = 64 << 10
 HASH_BITS = 60
 STEP = 3
 LEVELS = 4
