@@ -30,6 +30,7 @@ pass, so what is broadcast is bounded.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
@@ -59,7 +60,7 @@ UNSPACED = (
     (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
 )
 FLUSH = 1 << 20
-STARTS = 1 << 16
+STARTS = 1 << 18
 CELLS = 1 << 19
 
 
@@ -112,6 +113,7 @@ def random_bits(values: np.ndarray, walk: int, block: int) -> np.ndarray:
     return out ^ (out >> np.uint32(16))
 
 
+@functools.cache
 def sampled(walk: int, span: int) -> np.ndarray:
     """Which steps of a span are hashed: TAKEN of them; of the first span the first ones, which no item of FEWEST words ends within."""
     if not span:
