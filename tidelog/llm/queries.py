@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, secret_scan, sharding, simhash, url_filter, warc
+from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, periodic_runs, secret_scan, sharding, simhash, url_filter, warc
 from tidelog.llm.common import bound_batches, table
 
 
@@ -52,6 +52,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(table(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_urls": op1_urls,
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
+        "op13_runs": op13_runs,
     }
     return {name: bounded(make) for name, make in found.items()}
 
