@@ -5,9 +5,10 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, language_id, license_scan, media, mixing, periodic_runs, secret_scan, sharding, simhash, url_filter, warc
+from tidelog.llm import alignment, decontaminate, language_id, license_scan, media, mixing, periodic_runs, secret_scan, sharding, simhash, url_filter, warc
 from tidelog.llm.common import bound_batches, table
 
 
@@ -52,6 +53,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
+        "op11_alignment": op11_alignment,
         "op13_runs": op13_runs,
     }
     return {name: bounded(make) for name, make in found.items()}
