@@ -102,16 +102,21 @@ class Aligned:
 
     def __init__(self, vocabularies: Vocabularies):
         self.v, self.memo = vocabularies, Memo()
-        self.counts = np.empty((0, 4), dtype=np.int64)
-        self.right = np.empty(0, dtype=bool)
+        self.counts = [np.empty((0, 4), dtype=np.int64)]
+        self.right = [np.empty(0, dtype=bool)]
         self.texts: list[bytes] = []
         self.pairs, self.links = Pool(), Pool()
 
-    def learn(self) -> None:
-        """Aligns the stretches met since the last time."""
+    def learn(self, at_once: int = 4096) -> None:
+        """Aligns the stretches met since the last time, some thousand at once: the tokenizers' results take far more memory than what is kept."""
         fresh, self.memo.fresh = self.memo.fresh, []
-        if not fresh:
-            return
+        for k in range(0, len(fresh), at_once):
+            self._add(fresh[k : k + at_once])
+        self.counts, self.right = [np.concatenate(self.counts)], [np.concatenate(self.right)]
+        self.pairs.settle()
+        self.links.settle()
+
+    def _add(self, fresh: list[bytes]) -> None:
         a, b = self.v.encode(fresh)
         right = [b"".join(map(self.v.a_bytes.__getitem__, x)) == s == b"".join(map(self.v.b_bytes.__getitem__, y)) for s, x, y in zip(fresh, a, b)]
         a, b = ([x if ok else [] for x, ok in zip(ids, right)] for ids in (a, b))
@@ -131,14 +136,12 @@ class Aligned:
             for x, y, times in _pairs(xs, ys):
                 own[x * SPREAD + y] = own.get(x * SPREAD + y, 0) + times
         counts = np.stack([a_counts, b_counts, np.array(list(map(len, texts))), np.array(n_links)], axis=1)
-        self.counts = np.concatenate([self.counts, counts])
-        self.right = np.append(self.right, right)
+        self.counts.append(counts)
+        self.right.append(np.array(right, dtype=bool))
         self.texts += [";".join(t).encode() for t in texts]
         pairs, sizes = flattened([list(own) for own in linked])
         self.pairs.add(pairs, sizes)
         self.links.add(flattened([list(own.values()) for own in linked])[0], sizes)
-        self.pairs.settle()
-        self.links.settle()
 
 
 def _pairs(xs: list[int], ys: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -172,11 +175,11 @@ def align_texts(df: DataFrame, a_path: str, b_path: str, text: str = "text") ->
             numbers, lengths = flattened(stretches)
             row = np.repeat(np.arange(len(texts)), lengths)
             wrong = np.zeros(len(texts), dtype=bool)
-            wrong[row[~known.right[numbers]]] = True
+            wrong[row[~known.right[0][numbers]]] = True
             kept = ~wrong[row]
             numbers, row = numbers[kept], row[kept]
             # bincount adds as float64, exact below 2^53
-            sums = [np.bincount(row, known.counts[numbers, c], minlength=len(texts)).astype(np.int64) for c in range(4)]
+            sums = [np.bincount(row, known.counts[0][numbers, c], minlength=len(texts)).astype(np.int64) for c in range(4)]
             digests = [hashlib.sha256(b";".join(map(known.texts.__getitem__, own))).hexdigest() if own and not bad else "" for own, bad in zip(stretches, wrong.tolist())]
             cells, times = np.unique(row * len(known.texts) + numbers, return_counts=True) if len(row) else (row, row)
             which, owner = cells % max(1, len(known.texts)), cells // max(1, len(known.texts))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import alignment, decontaminate, language_id, license_scan, media, mixing, periodic_runs, secret_scan, sharding, simhash, url_filter, warc
+from tidelog.llm import alignment, decontaminate, language_id, license_scan, media, mixing, periodic_runs, secret_scan, sharding, simhash, token_ids, url_filter, warc
 from tidelog.llm.common import bound_batches, table
 
 
@@ -57,6 +57,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408, end_id=2)
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_media": op9_media,
         "op10_licenses": op10_licenses,
         "op11_alignment": op11_alignment,
+        "op12_token_ids": op12_token_ids,
         "op13_runs": op13_runs,
     }
     return {name: bounded(make) for name, make in found.items()}
