@@ -80,12 +80,14 @@ def test_split(vocabularies):
         assert found[0, 0] == found[0, 2] == 0 and (found[1:, 0] == found[:-1, 1]).all() and (found[1:, 2] == found[:-1, 3]).all()
 
 
-def test_large_groups_pair_distinct_ids():
-    xs, ys = [1, 2, 1, 3] * 9, [5, 6, 5] * 9
-    found = Counter()
-    for x, y, n in alignment._pairs(xs, ys):
-        found[x, y] += n
-    assert found == Counter((x, y) for x in xs for y in ys)
+def test_large_groups(spark, vocabularies):
+    """Long stretches without shared ends: distinct ids are paired once, with the product of their counts."""
+    known = alignment.Aligned(vocabularies)
+    xs, ys = np.array([1, 2, 1, 3] * 9), np.array([5, 6, 5] * 9)
+    known._link(np.append(xs, 4), np.append(ys, 4), np.array([[0, 36, 0, 27], [36, 37, 27, 28]]), np.array([0, 1]), 2)
+    known.pairs.settle(), known.links.settle()
+    (pairs, _), (links, _) = known.pairs.take(np.array([0])), known.links.take(np.array([0]))
+    assert {(p // alignment.SPREAD, p % alignment.SPREAD): n for p, n in zip(pairs.tolist(), links.tolist())} == Counter((x, y) for x in xs.tolist() for y in ys.tolist())
 
 
 def test_odd_texts(spark, vocabularies):

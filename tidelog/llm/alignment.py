@@ -87,6 +87,8 @@ class Vocabularies:
         self.a_bytes = [bytes(shown[c] for c in self.a.id_to_token(k)) if self.a.id_to_token(k) != "<|endoftext|>" else b"" for k in range(self.a.get_vocab_size())]
         piece = lambda k: bytes([int(self.b.id_to_piece(k)[3:5], 16)]) if self.b.is_byte(k) else self.b.id_to_piece(k).replace(SPACE_PIECE, " ").encode()
         self.b_bytes = [piece(k) for k in range(self.b.get_piece_size())]
+        self.a_shown = [f"{k}{end}" for k in range(len(self.a_bytes)) for end in ",|"]
+        self.b_shown = [f"{k}{end}" for k in range(len(self.b_bytes)) for end in ",;"]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
 
     def encode(self, stretches: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
@@ -125,33 +127,54 @@ class Aligned:
         a_cuts, b_cuts = np.cumsum(a_counts), np.cumsum(b_counts)
         groups = split_groups(np.cumsum(self.v.a_sizes[a_ids]), np.cumsum(self.v.b_sizes[b_ids]), a_cuts[kept], b_cuts[kept])
         owner = np.searchsorted(a_cuts, groups[:, 0], side="right")
-        a_ids, b_ids = a_ids.tolist(), b_ids.tolist()
-        texts: list[list[str]] = [[] for _ in fresh]
-        linked: list[dict[int, int]] = [{} for _ in fresh]
-        n_links = [0] * len(fresh)
-        for k, (i, j, m, n) in zip(owner.tolist(), groups.tolist()):
-            xs, ys, own = a_ids[i:j], b_ids[m:n], linked[k]
-            texts[k].append(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}")
-            n_links[k] += len(xs) * len(ys)
-            for x, y, times in _pairs(xs, ys):
-                own[x * SPREAD + y] = own.get(x * SPREAD + y, 0) + times
-        counts = np.stack([a_counts, b_counts, np.array(list(map(len, texts))), np.array(n_links)], axis=1)
-        self.counts.append(counts)
+        self.texts += self._shown(a_ids, b_ids, groups, np.append(0, np.cumsum(a_counts + b_counts)))
+        self._link(a_ids, b_ids, groups, owner, len(fresh))
+        sizes = (groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2])
+        links = np.bincount(owner, sizes, minlength=len(fresh)).astype(np.int64)  # float64 sums, exact below 2^53
+        self.counts.append(np.stack([a_counts, b_counts, np.bincount(owner, minlength=len(fresh)), links], axis=1))
         self.right.append(np.array(right, dtype=bool))
-        self.texts += [";".join(t).encode() for t in texts]
-        pairs, sizes = flattened([list(own) for own in linked])
-        self.pairs.add(pairs, sizes)
-        self.links.add(flattened([list(own.values()) for own in linked])[0], sizes)
 
-
-def _pairs(xs: list[int], ys: list[int]) -> Iterator[tuple[int, int, int]]:
-    """(x, y, how often) of a group's links; in large groups distinct ids are paired once."""
-    if len(xs) * len(ys) < 64:
-        yield from ((x, y, 1) for x in xs for y in ys)
-        return
-    (x, n), (y, m) = (np.unique(ids, return_counts=True) for ids in (xs, ys))
-    for a, times in zip(x.tolist(), n.tolist()):
-        yield from zip([a] * len(y), y.tolist(), (times * m).tolist())
+    def _shown(self, a_ids: np.ndarray, b_ids: np.ndarray, groups: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The groups of each stretch as text, by the numbers of its first and last token; every token is written with what follows it."""
+        tokens = np.empty(len(a_ids) + len(b_ids), dtype=object)
+        a_group = np.repeat(np.arange(len(groups)), groups[:, 1] - groups[:, 0])
+        b_group = np.repeat(np.arange(len(groups)), groups[:, 3] - groups[:, 2])
+        a_last, b_last = np.zeros(len(a_ids), dtype=bool), np.zeros(len(b_ids), dtype=bool)
+        a_last[groups[:, 1] - 1], b_last[groups[:, 3] - 1] = True, True
+        # the tokens of one vocabulary come behind those of the other in the groups up to theirs
+        for at, ids, last, shown in ((np.arange(len(a_ids)) + groups[a_group, 2], a_ids, a_last, self.v.a_shown), (np.arange(len(b_ids)) + groups[b_group, 1], b_ids, b_last, self.v.b_shown)):
+            tokens[at] = list(map(shown.__getitem__, (ids * 2 + last).tolist()))
+        tokens, ends = tokens.tolist(), ends.tolist()
+        return ["".join(tokens[i:j])[:-1].encode() for i, j in zip(ends, ends[1:])]
+
+    def _link(self, a_ids: np.ndarray, b_ids: np.ndarray, groups: np.ndarray, owner: np.ndarray, n: int) -> None:
+        """Keeps each stretch's distinct linked pairs and how often they are linked."""
+        wide, high = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
+        large = wide * high >= 64
+        sizes = np.where(large, 0, wide * high)
+        group = np.repeat(np.arange(len(groups)), sizes)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        pairs = [a_ids[groups[group, 0] + place // high[group]] * SPREAD + b_ids[groups[group, 2] + place % high[group]]]
+        owners, times = [owner[group]], [np.ones(len(group), dtype=np.int64)]
+        for k in np.flatnonzero(large).tolist():
+            i, j, m, e = groups[k].tolist()
+            (x, a), (y, b) = (np.unique(ids, return_counts=True) for ids in (a_ids[i:j], b_ids[m:e]))
+            pairs.append((x[:, None] * SPREAD + y).ravel())
+            times.append((a[:, None] * b).ravel())
+            owners.append(np.full(len(x) * len(y), owner[k]))
+        pair, own, often = (np.concatenate(x) for x in (pairs, owners, times))
+        pair, own, often = added_up(pair, own, often)
+        sizes = np.bincount(own, minlength=n)
+        self.pairs.add(pair, sizes)
+        self.links.add(often, sizes)
+
+
+def added_up(pairs: np.ndarray, owners: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each owner's distinct pairs with the sums of their times, by owner and pair."""
+    order = np.lexsort((pairs, owners))
+    pairs, owners, times = pairs[order], owners[order], times[order]
+    first = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]) | (owners[1:] != owners[:-1]))[: len(pairs)])
+    return pairs[first], owners[first], np.add.reduceat(times, first) if len(first) else times
 
 
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<long>"
@@ -186,13 +209,9 @@ def align_texts(df: DataFrame, a_path: str, b_path: str, text: str = "text") ->
             pairs, sizes = known.pairs.take(which)
             links = known.links.take(which)[0] * np.repeat(times, sizes)
             owner = np.repeat(owner, sizes)
-            order = np.lexsort((pairs, owner))
-            pairs, links, owner = pairs[order], links[order], owner[order]
-            first = np.append(True, (pairs[1:] != pairs[:-1]) | (owner[1:] != owner[:-1]))[: len(pairs)]
-            begun = np.flatnonzero(first)
-            links = np.add.reduceat(links, begun) if len(begun) else links
-            offsets = pa.array(np.searchsorted(owner[begun], np.arange(len(texts) + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64())) for values in (pairs[begun], links)]
+            pairs, owner, links = added_up(pairs, owner, links)
+            offsets = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64())) for values in (pairs, links)]
             yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *map(pa.array, sums), pa.array(digests, pa.string()), *lists], names)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text)

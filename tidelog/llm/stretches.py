@@ -16,7 +16,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 UNSURE = {*range(0x80, 0x8B), 0x85, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF}
 FIRM = np.array([0x20 < b != 0x7F and b not in UNSURE for b in range(256)])
 #: A memo of more stretches, or of more bytes of them, begins anew with the next batch.
-MOST, MOST_BYTES = 1 << 17, 16 << 20
+MOST, MOST_BYTES = 3 << 17, 24 << 20
 
 
 class Memo(dict):
