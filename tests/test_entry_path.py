@@ -173,9 +173,10 @@ def test_a_table_that_can_not_be_read_is_no_empty_one(spark):
     path = tempfile.mkdtemp() + "/t"
     import os
 
-    os.makedirs(f"{path}/state/b=0")
-    with open(f"{path}/state/b=0/part-0.parquet", "w") as f:
-        f.write("not parquet")
+    os.makedirs(f"{path}/changes-0000000001")
+    for name, text in (("part-0.parquet", "not parquet"), ("_SUCCESS", "")):
+        with open(f"{path}/changes-0000000001/{name}", "w") as f:
+            f.write(text)
     with pytest.raises(Exception, match="(?i)parquet"):
         ParquetTarget(spark, path, buckets=2).state().count()
 

@@ -6,24 +6,33 @@ Flat replay needs no order within a task: the last entry that gives or takes a f
 later whole document or delete (a barrier) hides it.  Both are ``max_by`` aggregations, combined
 before the shuffle, so a document with very many entries costs one row for each task and field.
 Nested replay (dotted paths, array positions) depends on order; it sorts by (ns, _id, ts) and folds the
-sorted rows as they stream by, so a document's entries are never gathered either.
+sorted rows as they stream by, so a document's entries are never gathered either.  ``replay_documents`` does the one for
+documents whose updates hold a dotted path, the other for all others; a narrow pass finds those documents first.
+
+A state that a log goes on from takes part as entries of its own kind (``si`` and ``sd``): barriers at the time of the row, which
+hide entries up to and including that time.  Keys may be of any type that can be grouped by; the log's schema says which.
 """
 
 from __future__ import annotations
 
 import copy
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from tidelog.functions.folders import stored
 from tidelog.functions.scalars import ns_db
 from tidelog.functions.variants import VARIANT, from_python, to_python
 
 STATE_SCHEMA = "ns STRING, _id BIGINT, doc VARIANT, _ts BIGINT, deleted BOOLEAN"
+#: Entries that stand for rows of a state: documents and tombstones.
+HELD, HELD_GONE = "si", "sd"
 KEYS = ["ns", "_id"]
-LAST_TS = (1 << 63) - 1
+FIRST_TS, LAST_TS = -(1 << 63), (1 << 63) - 1
 MAP = "map<string,variant>"
 MAX_INDEX = 1 << 16
 
@@ -32,8 +41,8 @@ def kind() -> Column:
     """insert, replace, delta, delete, command or noop; null for other codes."""
     delta = F.col("set").isNotNull() | F.col("unset").isNotNull()
     return (
-        F.when(F.col("op") == "i", "insert")
-        .when(F.col("op") == "d", "delete")
+        F.when(F.col("op").isin("i", HELD), "insert")
+        .when(F.col("op").isin("d", HELD_GONE), "delete")
         .when((F.col("op") == "u") & delta, "delta")
         .when(F.col("op") == "u", "replace")
         .when(F.col("op") == "c", "command")
@@ -49,8 +58,25 @@ def is_barrier() -> Column:
     return kind().isin("insert", "replace", "delete")
 
 
+def is_change() -> Column:
+    """Whether an entry is about a document."""
+    return kind().isin("insert", "replace", "delta", "delete")
+
+
+def is_held() -> Column:
+    """Whether an entry stands for a row of a state."""
+    return F.col("op").isin(HELD, HELD_GONE)
+
+
+def is_nested() -> Column:
+    """Whether an update holds a dotted path."""
+    dotted = lambda path: F.contains(path, F.lit("."))
+    given, taken = F.exists(F.map_keys("set"), dotted), F.exists("unset", dotted)
+    return F.coalesce(given, F.lit(False)) | F.coalesce(taken, F.lit(False))
+
+
 def field_changes(log: DataFrame) -> DataFrame:
-    """(ns, _id, field, value, ts, gone): a row for each whole write or delete (field null, value its document), and one
+    """(ns, _id, ts, held, field, value, gone): a row for each whole write or delete (field null, value its document), and one
     for each field an update gives or takes."""
     row = lambda field, value, gone: F.struct(field.alias("field"), value.alias("value"), gone.alias("gone"))
     null = F.lit(None)
@@ -60,12 +86,13 @@ def field_changes(log: DataFrame) -> DataFrame:
     taken = F.transform("unset", lambda f: row(f, null.cast("variant"), F.lit(True)))
     delta = F.concat(F.coalesce(given, none), F.coalesce(taken, none))
     changes = F.when(is_barrier(), whole).when(kind() == "delta", delta)
-    return log.where(F.col("op").isin("i", "u", "d")).select("ns", "_id", "ts", F.explode(changes).alias("c")).select("ns", "_id", "ts", "c.*")
+    own = log.where(is_change()).select("ns", "_id", "ts", is_held().alias("held"), F.explode(changes).alias("c"))
+    return own.select("ns", "_id", "ts", "held", "c.*")
 
 
 def replay_flat(log: DataFrame) -> DataFrame:
     """State after a log whose updates name top-level fields only."""
-    order = F.struct("ts", "gone")
+    order = F.struct("ts", "held", "gone")
     last = field_changes(log).groupBy("ns", "_id", "field").agg(F.max_by("value", order).alias("value"), F.max(order).alias("at"))
     own = F.col("field").isNull()
     doc = last.groupBy(*KEYS).agg(
@@ -73,7 +100,7 @@ def replay_flat(log: DataFrame) -> DataFrame:
         F.first(F.when(own, F.col("value")), ignorenulls=True).alias("base"),
         F.collect_list(F.when(~own, F.struct("field", "value", "at"))).alias("fields"),
     )
-    live = doc.where("b is not null").withColumn("fields", F.filter("fields", lambda f: f.at.ts >= F.col("b.ts")))
+    live = doc.where("b is not null").withColumn("fields", F.filter("fields", lambda f: (f.at.ts > F.col("b.ts")) | ((f.at.ts == F.col("b.ts")) & ~F.col("b.held"))))
     names = F.transform("fields", lambda f: f.field)
     kept = F.map_filter(F.try_variant_get("base", "$", MAP), lambda k, _: ~F.array_contains(names, k))
     given = F.map_from_entries(F.transform(F.filter("fields", lambda f: ~f.at.gone), lambda f: F.struct(f.field.alias("key"), f.value.alias("value"))))
@@ -97,33 +124,57 @@ def latest_per_key(rows: DataFrame, keys: list[str], ts: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), ts).alias("r")).select(*keys, "r.*")
 
 
+#: A document's entries are looked at in so many stretches of time, cut where the log's entries are spread evenly.
+STRETCHES = 64
+
+
 def orphans(log: DataFrame) -> DataFrame:
-    """Partial updates whose document doesn't exist at their time."""
-    before = Window.partitionBy(*KEYS).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    own = log.where(F.col("op").isin("i", "u", "d")).withColumn("kind", kind())
-    base = F.last(F.when(is_barrier(), F.col("kind")), ignorenulls=True).over(before)
-    return own.withColumn("base", base).where("kind = 'delta' and (base is null or base = 'delete')").drop("base", "kind")
+    """(ns, _id, ts, op) of partial updates whose document doesn't exist at their time.
+
+    Whether it does is decided by the last whole write or delete before.  Time is cut into stretches of about as many entries each, so that a
+    document which holds a large part of them is dealt to many tasks; each stretch begins with what the ones before it end with, of
+    which a document has ``STRETCHES`` at most.
+    """
+    own = log.where(is_change()).select(*KEYS, "ts", "op", kind().alias("kind"), is_held().alias("held"))
+    cuts = own.agg(F.percentile_approx("ts", [k / STRETCHES for k in range(1, STRETCHES)], 10_000)).first()[0] or []
+    cuts = F.array(*map(F.lit, sorted(set(cuts)))) if cuts else F.array().cast("array<bigint>")
+    dealt = own.withColumn("part", F.size(F.filter(cuts, lambda c: F.col("ts") > c)))
+    barrier = F.col("kind") != "delta"
+    ends = dealt.groupBy(*KEYS, "part").agg(
+        F.max_by(F.when(barrier, F.col("kind")), F.when(barrier, F.col("ts"))).alias("end"), F.max(F.when(F.col("held"), F.col("ts"))).alias("held_ts")
+    )
+    document = Window.partitionBy(*KEYS)
+    before = document.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    null = F.lit(None)
+    carried = ends.select(
+        *KEYS, null.cast("long").alias("ts"), null.cast("string").alias("op"), F.last("end", ignorenulls=True).over(before).alias("kind"),
+        "part", F.max("held_ts").over(document).alias("held_ts"),
+    )
+    rows = carried.unionByName(dealt.drop("held").withColumn("held_ts", null.cast("long")))
+    earlier = Window.partitionBy(*KEYS, "part").orderBy(F.col("ts").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.last(F.when(barrier, F.col("kind")), ignorenulls=True).over(earlier)
+    held_ts = F.last("held_ts", ignorenulls=True).over(earlier)
+    found = rows.withColumns({"base": base, "held_ts": held_ts}).where("kind = 'delta' and ts is not null and (base is null or base = 'delete')")
+    return found.where("held_ts is null or ts > held_ts").select(*KEYS, "ts", "op")
 
 
 def state_as_log(state: DataFrame) -> DataFrame:
-    """A state's rows as inserts and deletes at their own time."""
+    """A state's rows as entries at their own time."""
     null = F.lit(None)
     return state.select(
         F.col("_ts").alias("ts"), null.cast("string").alias("replset"), null.cast("long").alias("event_id"),
-        F.when(F.col("deleted"), "d").otherwise("i").alias("op"), "ns", "_id", F.lit(False).alias("from_migrate"),
+        F.when(F.col("deleted"), HELD_GONE).otherwise(HELD).alias("op"), "ns", "_id", F.lit(False).alias("from_migrate"),
         F.col("doc").alias("o"), null.cast(MAP).alias("set"), null.cast("array<string>").alias("unset"),
     )
 
 
-def apply_incremental(state: DataFrame, log: DataFrame, replay=replay_flat) -> DataFrame:
-    """The state after more of the log.  Entries the state has seen are dropped, so applying twice changes nothing.
+def apply_incremental(state: DataFrame, log: DataFrame, replay: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The state after more of the log.  Entries the state has seen lie behind its rows' barriers, so applying twice changes nothing.
 
     Commands in the log (``c`` entries) void or move what the state and the log have from before them.
     """
-    seen = state.select(*KEYS, F.col("_ts").alias("_seen"))
-    news = log.join(seen, KEYS, "left").where("op = 'c' or _seen is null or ts > _seen").drop("_seen")
     before = state_as_log(state)
-    return replay(apply_commands(before.unionByName(news.select(*before.columns)), commands_in(log)))
+    return (replay or replay_documents)(apply_commands(before.unionByName(log.select(*before.columns)), commands_in(log)))
 
 
 def snapshot_state(snap: DataFrame, ts: int) -> DataFrame:
@@ -131,9 +182,9 @@ def snapshot_state(snap: DataFrame, ts: int) -> DataFrame:
     return snap.select("ns", "_id", "doc", F.lit(ts).cast("long").alias("_ts"), F.lit(False).alias("deleted"))
 
 
-def snapshot_plus_log(snap: DataFrame, ts: int, log: DataFrame, replay=replay_flat) -> DataFrame:
+def snapshot_plus_log(snap: DataFrame, ts: int, log: DataFrame, replay: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """A snapshot taken at ``ts`` or later, brought up to date."""
-    return replay(state_as_log(snapshot_state(snap, ts)).unionByName(log.where(F.col("ts") > ts)))
+    return (replay or replay_documents)(state_as_log(snapshot_state(snap, ts)).unionByName(log.where(F.col("ts") > ts)))
 
 
 # nested updates
@@ -213,14 +264,15 @@ def fold(log: DataFrame, missing_unset: str = "ignore", every: bool = True) -> D
     nor are their rejects found.  Documents keep the types of their values.
     """
     names = ["ns", "_id", "doc", "_ts", "deleted", "op", "reason"]
-    kinds = [pa.string(), pa.int64(), VARIANT, pa.int64(), pa.bool_(), pa.string(), pa.string()]
+    key = log.schema["_id"].dataType
+    kinds = [pa.string(), to_arrow_type(key), VARIANT, pa.int64(), pa.bool_(), pa.string(), pa.string()]
     limit = 0 if every else WAITING
 
     class Document:
         """One document while its entries go by: ``raw`` until an update needs its values."""
 
         def __init__(self, key: tuple | None):
-            self.key, self.raw, self.doc, self.ts, self.deleted, self.waiting = key, None, None, None, None, []
+            self.key, self.raw, self.doc, self.ts, self.deleted, self.waiting, self.seen = key, None, None, None, None, [], FIRST_TS
 
         def whole(self, raw: dict | None, ts: int) -> None:
             self.raw, self.doc, self.ts, self.deleted, self.waiting = raw, None, ts, raw is None, []
@@ -254,12 +306,16 @@ def fold(log: DataFrame, missing_unset: str = "ignore", every: bool = True) -> D
     def folded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, out = Document(None), []
         for part in parts:
-            for ns, id_, ts, what, o, sets, unsets in zip(*(part.column(i).to_pylist() for i in range(7))):
+            for ns, id_, ts, what, o, sets, unsets, at, own in zip(*(part.column(i).to_pylist() for i in range(9))):
                 if (ns, id_) != held.key:
                     if held.key is not None:
                         held.done(out)
                     held = Document((ns, id_))
-                if what == "delta":
+                if what == "seen":
+                    held.seen = at
+                elif ts <= held.seen and not own:
+                    continue
+                elif what == "delta":
                     held.update(ts, sets, unsets, out)
                 else:
                     held.whole(None if what == "delete" else o, ts)
@@ -271,9 +327,13 @@ def fold(log: DataFrame, missing_unset: str = "ignore", every: bool = True) -> D
         if out:
             yield batch(out)
 
-    own = log.where(F.col("op").isin("i", "u", "d")).select("ns", "_id", "ts", kind().alias("kind"), "o", "set", "unset")
-    rows = own.repartition(*KEYS).sortWithinPartitions(*KEYS, "ts")
-    return rows.mapInArrow(folded, "ns string, _id long, doc variant, _ts long, deleted boolean, op string, reason string")
+    # before all entries of a document comes what its row of the state has seen
+    twice = F.explode(F.when(is_held(), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))
+    own = log.where(is_change()).select("ns", "_id", "ts", kind().alias("kind"), "o", "set", "unset", F.col("ts").alias("at"), is_held().alias("held"), twice.alias("first"))
+    first = F.col("first")
+    own = own.withColumns({"kind": F.when(first, "seen").otherwise(F.col("kind")), "ts": F.when(first, FIRST_TS).otherwise(F.col("ts")), "o": F.when(~first, F.col("o"))}).drop("first")
+    rows = own.repartition(*KEYS).sortWithinPartitions(*KEYS, "ts", "held")
+    return rows.mapInArrow(folded, f"ns string, _id {key.simpleString()}, doc variant, _ts long, deleted boolean, op string, reason string")
 
 
 def after_barrier(log: DataFrame) -> DataFrame:
@@ -287,9 +347,54 @@ def replay_nested(log: DataFrame) -> DataFrame:
     return fold(log, every=False).where("reason is null").select("ns", "_id", "doc", "_ts", "deleted")
 
 
+def rejected_of(folded: DataFrame) -> DataFrame:
+    return folded.where("reason is not null").select(*KEYS, F.col("_ts").alias("ts"), "op", "reason")
+
+
+class Replayed(NamedTuple):
+    """What becomes of a log: the documents, and (ns, _id, ts, op, reason) of the entries that can't be applied."""
+
+    state: DataFrame
+    rejects: DataFrame
+
+
+def nested_documents(log: DataFrame) -> DataFrame | None:
+    """(ns, _id) of documents with an update on a dotted path, as a stored table; None if there are none.  Reads the update columns only."""
+    keys = stored(log.where((F.col("op") == "u") & is_nested()).select(*KEYS).distinct(), "nested-documents")
+    return keys if keys.limit(1).count() else None
+
+
+def split_nested(log: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The entries of documents without dotted paths, and of those with them (None if there are none).
+
+    Where the keys are few, Spark broadcasts them (their table's size is known), so the log isn't shuffled for this.
+    """
+    keys = nested_documents(log)
+    if keys is None:
+        return log, None
+    return log.join(keys, KEYS, "left_anti"), log.join(keys, KEYS, "left_semi")
+
+
+def replay_documents(log: DataFrame) -> DataFrame:
+    """State after any log: documents whose updates hold dotted paths are folded, all others go the flat way."""
+    flat, nested = split_nested(log)
+    return replay_flat(flat) if nested is None else replay_flat(flat).unionByName(replay_nested(nested))
+
+
+def replay_all(log: DataFrame) -> Replayed:
+    """State and rejects after any log; what is folded is folded once, for both."""
+    flat, nested = split_nested(log)
+    state, bad = replay_flat(flat), orphans(flat).withColumn("reason", F.lit("no_base"))
+    if nested is None:
+        return Replayed(state, bad)
+    folded = stored(fold(nested), "folded")
+    kept = folded.where("reason is null").select("ns", "_id", "doc", "_ts", "deleted")
+    return Replayed(state.unionByName(kept), bad.unionByName(rejected_of(folded)))
+
+
 def rejects(log: DataFrame) -> DataFrame:
     """(ns, _id, ts, op, reason) of entries that can't be applied."""
-    return fold(log).where("reason is not null").select("ns", "_id", F.col("_ts").alias("ts"), "op", "reason")
+    return replay_all(log).rejects
 
 
 # commands

@@ -6,12 +6,12 @@ independently of the operators.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.folders import stored
 from tidelog.functions.scalars import find_field, key_matches, ns_coll, ns_db, pack_ts, ts_increment, ts_seconds
 from tidelog.operators import fields, files, formatting, predicates, reconcile, replay, routing
 from tidelog.operators.routing import Rule, Rules
@@ -552,11 +552,20 @@ SELECT ns, _id, CASE WHEN NOT deleted THEN value END AS value, CASE WHEN NOT del
 
 @query(NESTED_SQL)
 def replay_nested(spark, sf_dir):
-    state = replay.replay_nested(data_entries(change_log(spark, sf_dir, nested=True)))
+    return shown_nested(replay.replay_nested(data_entries(change_log(spark, sf_dir, nested=True))))
+
+
+def shown_nested(state: DataFrame) -> DataFrame:
     tag = F.coalesce(*(find_field(F.col("doc"), f"tags.{k}", "double") for k in range(3)))
     return state.select("ns", "_id", *scalars(state), tag.alias("tag"), "_ts", "deleted")
 
 
+@query(", nd AS (SELECT * FROM data WHERE NOT from_migrate)" + NESTED_SQL.replace("FROM data", "FROM nd"))
+def replicate_nested(spark, sf_dir):
+    """Replication of a log with dotted paths, as it is by default."""
+    return shown_nested(replicate(data_entries(change_log(spark, sf_dir, nested=True)), Rules(), mode="tail"))
+
+
 @query("""SELECT event_id AS _id, CASE WHEN event_id % 5 IN (0, 4) THEN 4 ELSE 2 END AS n_b, CASE WHEN event_id % 5 = 0 THEN value END AS b3,
   event_id % 5 <> 1 AS has_b0, CASE WHEN event_id % 5 = 2 THEN k END AS y, CASE WHEN event_id % 5 = 4 THEN k END AS c, event_id % 5 = 3 AS rejected FROM data WHERE kind IN ('insert', 'replace')""")
 def apply_delta_cases(spark, sf_dir):
@@ -590,7 +599,7 @@ def snapshot_plus_log(spark, sf_dir):
 
 @query(ORPHAN_SQL)
 def orphan_updates(spark, sf_dir):
-    return replay.orphans(data_log(spark, sf_dir)).select("ns", "_id", "ts", "op", F.lit("no_base").alias("reason"))
+    return replay.orphans(data_log(spark, sf_dir)).withColumn("reason", F.lit("no_base"))
 
 
 @query(", s AS (" + flat_sql("data") + ") SELECT * FROM s")
@@ -607,19 +616,6 @@ b AS (SELECT max(_ts) AS newest, (SELECT max(ts) FROM log WHERE event_id < n - n
 sus AS (SELECT tgt.* FROM tgt, b WHERE _ts BETWEEN cutoff AND newest)"""
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one all executors share, or below the warehouse where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written and read again, as a target's or a source's table is."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def lost_writes(spark: SparkSession, sf_dir: str, replset: str | None = None, rules: Rules | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(target state, log without its last hundredth, documents of that log); only ``replset`` has lost its entries where one is given."""
     n, log = n_events(spark, sf_dir), change_log(spark, sf_dir)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.folders import scratch as folder
 from tidelog.operators import files
-from tidelog.operators.replay import latest_per_key, visible
+from tidelog.operators.replay import latest_per_key, replay_flat, visible
 from tidelog.operators.routing import Rule, Rules
-from tidelog.plans.catalog import COMMAND_SQL, REPLICA_SQL, command_entries, flat_sql, query, shown
-from tidelog.plans.catalog import scratch as folder
+from tidelog.plans.catalog import COMMAND_SQL, LOST_SQL, NESTED_SQL, ORPHAN_SQL, REPLICA_SQL, command_entries, flat_sql, query, shown, shown_nested
 from tidelog.plans.replicate import RULES
 from tidelog.sinks.targets import FileTarget, JsonTarget, ParquetTarget
 from tidelog.sources.change_log import change_log, data_entries, n_events
@@ -22,14 +22,14 @@ def scratch(spark: SparkSession) -> str:
     return folder(spark, "stream")
 
 
-def stored_stream(spark: SparkSession, sf_dir: str, base: str, parts: int = 3, more: DataFrame | None = None) -> DataFrame:
+def stored_stream(spark: SparkSession, sf_dir: str, base: str, parts: int = 3, more: DataFrame | None = None, log: DataFrame | None = None, key: str = "BIGINT") -> DataFrame:
     """The log (and ``more`` entries) in ``parts`` files by event_id, as a stream of one file a batch."""
-    log, n = change_log(spark, sf_dir), n_events(spark, sf_dir)
+    log, n = change_log(spark, sf_dir) if log is None else log, n_events(spark, sf_dir)
     log = log if more is None else log.unionByName(more)
     for k in range(parts):
         part = log.where((F.col("event_id") >= n * k // parts) & (F.col("event_id") < n * (k + 1) // parts))
         part.coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(f"{base}/log")
-    return log_stream(spark, f"{base}/log", files_per_batch=1)
+    return log_stream(spark, f"{base}/log", files_per_batch=1, key=key)
 
 
 def run(spark: SparkSession, stream: DataFrame, targets: list, base: str, name: str = "run") -> None:
@@ -55,6 +55,48 @@ def restart_idempotent(spark, sf_dir):
     return shown(target.state())
 
 
+@query(NESTED_SQL)
+def stream_nested(spark, sf_dir):
+    """Dotted paths through a stream; the table is compacted half way."""
+    base = scratch(spark)
+    target = ParquetTarget(spark, f"{base}/state")
+    stream = stored_stream(spark, sf_dir, base, log=change_log(spark, sf_dir, nested=True))
+
+    def batch(log: DataFrame, batch_id: int) -> None:
+        target.apply(data_entries(log), batch_id)
+        if batch_id == 1:
+            target.compact()
+
+    stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(batch).trigger(availableNow=True).start().awaitTermination()
+    return shown_nested(target.state())
+
+
+@query(ORPHAN_SQL)
+def stream_rejects(spark, sf_dir):
+    """What a target couldn't apply of a stream; a compaction keeps it."""
+    base = scratch(spark)
+    target = ParquetTarget(spark, f"{base}/state")
+    run(spark, stored_stream(spark, sf_dir, base), [target], base)
+    target.compact()
+    return target.rejects()
+
+
+@query(LOST_SQL + """, rolled AS (SELECT tgt.* FROM tgt ANTI JOIN sus USING (ns, _id) UNION ALL BY NAME
+SELECT src.* REPLACE (cutoff AS _ts) FROM src, b WHERE (src.ns, src._id) IN (SELECT (ns, _id) FROM sus) UNION ALL BY NAME
+SELECT ns, _id, NULL AS value, NULL AS flag, NULL AS k, _ts, true AS deleted FROM sus ANTI JOIN src USING (ns, _id))
+SELECT * REPLACE ('user-' || _id AS _id) FROM rolled""")
+def text_keys(spark, sf_dir):
+    """Keys that are texts: a stream to its end, a rollback, a compaction."""
+    base, n = scratch(spark), n_events(spark, sf_dir)
+    log = change_log(spark, sf_dir).withColumn("_id", F.concat(F.lit("user-"), "_id"))
+    target = ParquetTarget(spark, f"{base}/state", key="STRING")
+    run(spark, stored_stream(spark, sf_dir, base, log=log, key="STRING"), [target], base)
+    kept = log.where(F.col("event_id") < n - n // 100)
+    target.roll_back(kept, visible(replay_flat(data_entries(kept))).select("ns", "_id", "doc"), 3)
+    target.compact()
+    return shown(target.state())
+
+
 @query("SELECT replset, max(ts) AS ts FROM log GROUP BY replset")
 def checkpoint_progress(spark, sf_dir):
     base = scratch(spark)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.files import FILE_SCHEMA, apply_files, newest
-from tidelog.operators.reconcile import last_doc, reconcile, search_range, upserted_and_gone
-from tidelog.operators.replay import KEYS, STATE_SCHEMA, apply_incremental, commands_in, replay_flat
-from tidelog.operators.routing import Rules
+from tidelog.operators.reconcile import last_doc, search_range
+from tidelog.operators.replay import KEYS
+from tidelog.sinks.parquet_target import ParquetTarget, documents_of
+
+__all__ = ["FileTarget", "JsonTarget", "ParquetTarget", "Target", "documents_of", "fan_out", "remove", "split_valid", "upsert", "with_unique_key"]
 
 
 class Target(Protocol):
@@ -59,11 +61,6 @@ def split_valid(rows: DataFrame, valid: Column, fail_fast: bool = False) -> tupl
     return rows.where(ok), rows.where(~ok)
 
 
-def documents_of(log: DataFrame) -> DataFrame:
-    """The entries that aren't about files."""
-    return log.where("not is_file") if "is_file" in log.columns else log
-
-
 @dataclass
 class Bucketed:
     """A Parquet table of keyed rows in folders ``b=<bucket of the key's hash>``; a batch overwrites only the folders it touches.
@@ -99,57 +96,6 @@ class Bucketed:
         salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b").parquet(self.path)
 
 
-@dataclass
-class ParquetTarget:
-    """A state table of documents, in ``buckets`` of the key's hash.
-
-    A batch's entries are applied to the rows of the buckets they touch; rows keep their own time, so a batch that runs again
-    changes nothing.  Tombstones stay as rows.  A batch with commands may move or drop any row, so it rewrites the whole table; rows that
-    a command voids or moves away leave tombstones of its time.
-    """
-
-    spark: SparkSession
-    path: str
-    name: str = "parquet"
-    replay: Callable[[DataFrame], DataFrame] = replay_flat
-    buckets: int = 64
-
-    @property
-    def table(self) -> Bucketed:
-        return Bucketed(self.spark, f"{self.path}/state", STATE_SCHEMA, self.buckets)
-
-    def state(self) -> DataFrame:
-        return self.table.read()
-
-    def apply(self, log: DataFrame, batch_id: int) -> None:
-        own = documents_of(log)
-        if commands := commands_in(own):
-            before = self.state()
-            after = apply_incremental(before, own, self.replay)
-            null = F.lit(None).cast("variant")
-            left = before.join(after.select(*KEYS), KEYS, "left_anti").withColumns({"doc": null, "_ts": F.lit(commands[-1][0]), "deleted": F.lit(True)})
-            self.table.overwrite(after.unionByName(left))
-        elif touched := self.table.touched(own):
-            self.table.overwrite(apply_incremental(self.table.read(touched), own, self.replay))
-
-    def roll_back(self, log: DataFrame, source: DataFrame, batch_id: int, rules: Rules | None = None, replsets: list[str] | None = None) -> None:
-        """Makes the target agree with a source (its log and its documents) that has lost writes in ``replsets``."""
-        found = reconcile(self.state(), log, source, rules, replsets)
-        changed = upserted_and_gone(found).select(*self.state().columns).persist()
-        try:
-            if touched := self.table.touched(changed):
-                before = self.table.read(touched).join(changed.select(*KEYS), KEYS, "left_anti")
-                self.table.overwrite(before.unionByName(changed))
-        finally:
-            changed.unpersist()
-
-    def search(self, start: int, end: int) -> DataFrame:
-        return search_range(self.state(), start, end)
-
-    def last(self) -> DataFrame:
-        return last_doc(self.state())
-
-
 @dataclass
 class FileTarget:
     """Whole files with their content, from a log's file entries (``is_file``) and the source's ``files`` and ``chunks``.

@@ -15,14 +15,21 @@ LOG_SCHEMA = (
     "ts BIGINT, replset STRING, event_id BIGINT, op STRING, ns STRING, _id BIGINT, from_migrate BOOLEAN, "
     "o VARIANT, `set` MAP<STRING,VARIANT>, unset ARRAY<STRING>"
 )
+
+
+def log_schema(key: str = "BIGINT") -> str:
+    """The schema of a log whose documents have keys of another type."""
+    return LOG_SCHEMA.replace(", _id BIGINT", f", _id {key}")
+
+
 # Collections by user_id modulo 7.
 COLLECTIONS = ("system.profile", "fs.files", "fs.chunks", "users", "carts", "orders", "orders")
 DATA_COLLECTIONS = ("users", "carts", "orders")
 
 
-def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet", key: str = "BIGINT") -> DataFrame:
     """A stored log; JSON lines keep documents as objects."""
-    return spark.read.schema(LOG_SCHEMA).format(fmt).load(path)
+    return spark.read.schema(log_schema(key)).format(fmt).load(path)
 
 
 def scan_log(log: DataFrame, since: int | None = None) -> DataFrame:

@@ -17,11 +17,11 @@ from tidelog.operators.reconcile import resume_decision
 from tidelog.operators.routing import Rules
 from tidelog.sinks.checkpoints import advance
 from tidelog.sinks.targets import Target, fan_out
-from tidelog.sources.change_log import LOG_SCHEMA
+from tidelog.sources.change_log import log_schema
 
 
-def log_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def log_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, key: str = "BIGINT") -> DataFrame:
+    return spark.readStream.schema(log_schema(key)).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def tail(
