@@ -29,10 +29,10 @@ LOW, HALF, FULL = 1 << 32, (1 << 32) - 1, 1 << 48
 RATE, MOST, LEAST = np.float32(1 / 32), np.float32(0.998), np.float32(0.002)
 FLOOR, OTHER, ONE = np.float32(0.02), np.float32(1 / 64), np.float32(1)
 #: Bytes of order-0 counts that may be held at a time.
-COUNT_BYTES = 96 << 20
+COUNT_BYTES = 48 << 20
 
 
-def lanes_for(vocabulary: int, most: int = 2048) -> int:
+def lanes_for(vocabulary: int, most: int = 1024) -> int:
     """How many blocks are worked on in step."""
     return max(1, min(most, COUNT_BYTES // max(1, vocabulary)))
 
@@ -101,7 +101,7 @@ def encode(blocks: np.ndarray, vocabulary: int) -> list[bytes]:
     lanes, n = blocks.shape
     if n > BLOCK:
         raise ValueError(f"a block has {BLOCK} ids at most")
-    model, columns = Model(lanes, vocabulary), np.ascontiguousarray(blocks.T, dtype=np.int64)
+    model, columns = Model(lanes, vocabulary), np.ascontiguousarray(blocks.T.astype(np.int32))
     low, span = np.zeros(lanes, dtype=np.int64), np.full(lanes, FULL - 1)
     words, owners = [], []
 
@@ -109,13 +109,14 @@ def encode(blocks: np.ndarray, vocabulary: int) -> list[bytes]:
         """Puts out a word wherever the span has become small."""
         small = np.flatnonzero(span < LOW) if lanes_ is None else lanes_[span[lanes_] < LOW]
         own = low[small]
-        words.append(own >> 32)
-        owners.append(small)
+        words.append((own >> 32).astype(np.int32))
+        owners.append(small.astype(np.int16))
         low[small] = (own & HALF) << 16
         span[small] <<= 16
 
     last = second = np.zeros(lanes, dtype=np.int64)
-    for ids in columns:
+    for column in columns:
+        ids = column.astype(np.int64)
         a, b, parts_a, parts_b = model.predict(last, second)
         is_a = a == ids
         is_b = (b == ids) & ~is_a
@@ -131,7 +132,7 @@ def encode(blocks: np.ndarray, vocabulary: int) -> list[bytes]:
             for digit in (own >> 10, own >> 5 & 31, own & 31):
                 table, rows = model.digits(rest, known)
                 counts = table[rows]
-                ends = np.cumsum(counts, axis=1, dtype=np.int64)
+                ends = np.cumsum(counts, axis=1, dtype=np.int32)
                 here = np.arange(len(rest))
                 part = counts[here, digit].astype(np.int64)
                 unit = span[rest] // ends[:, -1]
@@ -142,9 +143,9 @@ def encode(blocks: np.ndarray, vocabulary: int) -> list[bytes]:
                 known.append(digit)
         model.learn(ids)
         last, second = ids, last
-    for shift in (32, 16, 0):
-        words.append(low >> shift if shift == 32 else low >> shift & 0xFFFF)
-        owners.append(model.lane)
+    for word in (low >> 32, low >> 16 & 0xFFFF, low & 0xFFFF):
+        words.append(word.astype(np.int32))
+        owners.append(model.lane.astype(np.int16))
     return _packed(np.concatenate(words), np.concatenate(owners), lanes)
 
 
@@ -196,7 +197,7 @@ def decode(codes: list[bytes], n: int, vocabulary: int) -> np.ndarray:
             for _ in range(3):
                 table, rows = model.digits(rest, known)
                 counts = table[rows]
-                ends = np.cumsum(counts, axis=1, dtype=np.int64)
+                ends = np.cumsum(counts, axis=1, dtype=np.int32)
                 here, total = np.arange(len(rest)), ends[:, -1]
                 unit = span[rest] // total
                 value = np.minimum(code[rest] // unit, total - 1)
