@@ -305,22 +305,6 @@ def test_shots():
     assert first.tolist() == [0, 30, 50]
 
 
-def test_pipeline(spark, sf_dir, docs):
-    """Each stage against a brute-force version of its decision."""
-    from tidelog.llm import decontaminate
-
-    want = docs.orderBy("doc_id").collect()
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mixing", "sharding"]
-    groups = {r[0]: r[2] for r in brute_groups([(r.doc_id, r.text) for r in want])}
-    want = [r for r in want if groups[r.doc_id] == r.doc_id]
-    items = [" ".join(decontaminate.words_of(r.text)) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    want = [r for r in want if not any(f" {i} " in f" {' '.join(decontaminate.words_of(r.text))} " for i in items)]
-    found = corpus_pipeline.run(spark, sf_dir)
-    rows = found.collect()
-    assert sorted(tuple(r[c] for c in docs.columns) for r in rows) == sorted(map(tuple, want))
-    assert all(r.shard_bytes <= sharding.LIMIT_BYTES for r in rows)
-
-
 @pytest.mark.parametrize("stage", range(5))
 def test_stages_take_odd_tables(spark, sf_dir, odd_docs, no_docs, stage):
     name, function = corpus_pipeline.STAGES[stage]

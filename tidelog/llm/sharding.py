@@ -67,28 +67,54 @@ def rolled_up(fine: DataFrame, low: int, high: int) -> DataFrame:
     return out
 
 
+def sums_of() -> list[Column]:
+    """Rows, bytes, and the least and greatest hash of a group of rows (hash, n_bytes)."""
+    return [F.count("*").alias("shard_rows"), F.sum("n_bytes").alias("shard_bytes"), F.min("hash").alias("least"), F.max("hash").alias("most")]
+
+
+def first_shards(sums: DataFrame, low: Column | int, limit_bytes: int) -> DataFrame:
+    """Of all prefixes (depth, bucket, ...), those within the limit whose parent isn't; the parents of depth ``low`` aren't."""
+    low = F.lit(low) if isinstance(low, int) else low
+    large = sums.where(F.col("shard_bytes") > limit_bytes).select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("parent"))
+    fits = sums.where(F.col("shard_bytes") <= limit_bytes).withColumn("parent", F.call_function("shiftright", "bucket", F.lit(1)))
+    below = fits.where(F.col("depth") > low).join(large, ["depth", "parent"], "left_semi")
+    return fits.where(F.col("depth") == low).unionByName(below).select("depth", "bucket", "shard_rows", "shard_bytes")
+
+
 def directory(sized: DataFrame, limit_bytes: int = LIMIT_BYTES) -> tuple[DataFrame, int]:
-    """(depth, bucket, shard_rows, shard_bytes) of all shards of ``sized`` (hash, n_bytes), and the depth of an even split."""
+    """(depth, bucket, shard_rows, shard_bytes) of all shards of ``sized`` (hash, n_bytes), and the depth of an even split.
+
+    A bucket of that depth that is still too large is final if all its hashes are one (no bit tells them apart); else it goes on at the first bit in which
+    its least and greatest hash differ, STEP bits a round.  Rows of buckets that are final aren't looked at again.
+    """
     sized = cut(sized)
     total = sized.agg(F.sum("n_bytes"), F.count("*")).first()
-    done, low, left, high = None, 0, sized, even_depth(total[0], limit_bytes)
-    depth = high
+    high = depth = even_depth(total[0], limit_bytes)
+    fine = cut(sized.groupBy(prefix(F.col("hash"), high).alias("bucket")).agg(*sums_of()))
+    done = [first_shards(rolled_up(fine.drop("least", "most"), 0, high), 0, limit_bytes)]
+    left, at = sized, prefix(F.col("hash"), high)
+    ends = fine.select(F.lit(high).alias("high"), "bucket", "shard_rows", "shard_bytes", "least", "most")
     while True:
-        fine = cut(left.groupBy(prefix(F.col("hash"), high).alias("bucket")).agg(F.count("*").alias("shard_rows"), F.sum("n_bytes").alias("shard_bytes")))
-        sums = rolled_up(fine, low, high)
-        large = sums.where(F.col("shard_bytes") > limit_bytes).select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("parent"))
-        fits = sums.where((F.col("shard_bytes") <= limit_bytes) | (F.col("depth") == HASH_BITS))
-        below = fits.where(F.col("depth") > low).withColumn("parent", F.call_function("shiftright", "bucket", F.lit(1)))
-        split = fits.where(F.col("depth") == low).unionByName(below.join(large, ["depth", "parent"], "left_semi").drop("parent"))
-        done = split if done is None else done.unionByName(split)
-        if high == HASH_BITS:
-            break
-        open_ = cut(sums.where((F.col("depth") == high) & (F.col("shard_bytes") > limit_bytes)).select(F.col("bucket").alias("open")))
+        large = ends.where(F.col("shard_bytes") > limit_bytes)
+        one = F.col("least") == F.col("most")
+        done.append(large.where(one).select(F.lit(HASH_BITS).alias("depth"), F.col("least").alias("bucket"), "shard_rows", "shard_bytes"))
+        # the bit behind the one in which the hashes first differ
+        low = F.lit(HASH_BITS + 1) - F.length(F.bin(F.col("least").bitwiseXOR(F.col("most"))))
+        open_ = large.where(~one).select("high", "bucket", low.alias("low"))
         if open_.isEmpty():
             break
-        left = left.join(open_, prefix(F.col("hash"), high) == F.col("open"), "left_semi")
-        low, high = high + 1, min(HASH_BITS, high + STEP)
-    return cut(done.select("depth", "bucket", "shard_rows", "shard_bytes")), depth
+        inside = left.withColumn("bucket", at) if "high" in left.columns else left.withColumns({"bucket": at, "high": F.lit(high)})
+        left = cut(inside.drop("low").join(small(open_), ["high", "bucket"]).select("hash", "n_bytes", "low", F.least(F.col("low") + STEP - 1, F.lit(HASH_BITS)).alias("high")))
+        at = prefix(F.col("hash"), F.col("high"))
+        ends = cut(left.groupBy("low", "high", at.alias("bucket")).agg(*sums_of()))
+        each = ends.withColumn("depth", F.explode(F.sequence("low", "high")))
+        up = F.call_function("shiftright", F.col("bucket"), (F.col("high") - F.col("depth")).cast("int"))
+        sums = each.groupBy("low", "depth", up.alias("bucket")).agg(F.sum("shard_rows").alias("shard_rows"), F.sum("shard_bytes").alias("shard_bytes"))
+        done.append(first_shards(sums, F.col("low"), limit_bytes))
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return cut(out), depth
 
 
 def small(df: DataFrame) -> DataFrame:
