@@ -21,11 +21,11 @@ def seed_checkpoint(log: DataFrame) -> DataFrame:
     return log.groupBy("replset").agg(F.max("ts").alias("ts"))
 
 
-def resume_decision(log: DataFrame, checkpoints: DataFrame) -> DataFrame:
+def resume_decision(log: DataFrame, checkpoints: DataFrame, noops: bool = False) -> DataFrame:
     """(replset, ts, decision): dump without a checkpoint; rollback if nothing is left from it on; unrecoverable if it
-    fell off the log; rollback if its own entry is gone; else continue."""
+    fell off the log; rollback if its own entry is gone; else continue.  With ``noops``, a checkpoint may be at a no-op, as those of a stream are."""
     held = checkpoints.select("replset", F.col("ts").alias("cp"))
-    own = log.where("op <> 'n'").join(held, "replset", "left")
+    own = (log if noops else log.where("op <> 'n'")).join(held, "replset", "left")
     seen = own.groupBy("replset").agg(
         F.min("ts").alias("oldest"), F.count_if(F.col("ts") >= F.col("cp")).alias("tail"), F.max(F.col("ts") == F.col("cp")).alias("there")
     )

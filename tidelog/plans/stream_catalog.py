@@ -13,7 +13,7 @@ from tidelog.plans.catalog import COMMAND_SQL, LOST_SQL, NESTED_SQL, ORPHAN_SQL,
 from tidelog.plans.replicate import RULES
 from tidelog.sinks.targets import FileTarget, JsonTarget, ParquetTarget
 from tidelog.sources.change_log import change_log, data_entries, n_events
-from tidelog.streaming.tail import latest_entries, log_stream, read_progress, tail
+from tidelog.streaming.tail import Monitor, Watch, counted, latest_entries, log_stream, read_progress, tail, tail_logs
 
 FLAT = ", s AS (" + flat_sql("data") + ") SELECT * FROM s"
 
@@ -194,3 +194,73 @@ def stream_files(spark, sf_dir):
     target = FileTarget(spark, f"{base}/files", files.file_table(docs), files.chunk_texts(docs))
     routed_run(spark, stored_stream(spark, sf_dir, base), [ParquetTarget(spark, f"{base}/state"), target], base, RULES)
     return target.contents().select("ns", "_id", "gridfs_id", "filename", "length", F.md5("content").alias("content_md5"), "_ts")
+
+
+def add_to_logs(log: DataFrame, path: str) -> None:
+    log.coalesce(2).write.partitionBy("replset").mode("append").parquet(path)
+
+
+@query(FLAT)
+def stream_source(spark, sf_dir):
+    """Two logs followed as one stream; the second appears with the second batch, older entries and all."""
+    base, log, n = scratch(spark), change_log(spark, sf_dir), n_events(spark, sf_dir)
+    target, first = ParquetTarget(spark, f"{base}/state"), (F.col("replset") == "rs0") & (F.col("event_id") < n // 2)
+    for part in (log.where(first), log.where(~first)):
+        add_to_logs(part, f"{base}/logs")
+        tail_logs(spark, f"{base}/logs", [target], f"{base}/checkpoint", prepare=data_entries).awaitTermination()
+    return shown(target.state())
+
+
+@query(""", kl AS (SELECT * FROM log WHERE event_id < n - n // 100), kept AS (SELECT * FROM data WHERE event_id < n - n // 100),
+tgt AS (""" + flat_sql("data") + """), src AS (SELECT * FROM (""" + flat_sql("kept") + """) WHERE NOT deleted),
+lr AS (SELECT replset FROM log GROUP BY replset HAVING max(ts) <> max(ts) FILTER (WHERE event_id < n - n // 100)),
+b AS (SELECT max(_ts) AS newest, (SELECT min(c) FROM (SELECT max(ts) AS c FROM kl SEMI JOIN lr USING (replset) WHERE op <> 'n' AND ts <= (SELECT max(_ts) FROM tgt) GROUP BY replset)) AS cutoff FROM tgt),
+sus AS (SELECT tgt.* FROM tgt, b WHERE _ts BETWEEN cutoff AND newest)
+SELECT ns, _id, value, flag, k, _ts, deleted FROM tgt ANTI JOIN sus USING (ns, _id) UNION ALL BY NAME
+SELECT ns, _id, value, flag, k, cutoff AS _ts, deleted FROM src, b WHERE (src.ns, src._id) IN (SELECT (ns, _id) FROM sus) UNION ALL BY NAME
+SELECT ns, _id, NULL AS value, NULL AS flag, NULL AS k, _ts, true AS deleted FROM sus ANTI JOIN src USING (ns, _id)""")
+def stream_rollback(spark, sf_dir):
+    """The logs lose their last hundredth between two batches of a stream, which rolls its target back before it goes on."""
+    base, log, n = scratch(spark), change_log(spark, sf_dir), n_events(spark, sf_dir)
+    kept = log.where(F.col("event_id") < n - n // 100)
+    target, watch = ParquetTarget(spark, f"{base}/state"), Watch(lambda: kept, lambda: visible(replay_flat(data_entries(kept))).select("ns", "_id", "doc"))
+    more = {"prepare": data_entries, "progress": f"{base}/progress"}
+    add_to_logs(log, f"{base}/logs")
+    tail_logs(spark, f"{base}/logs", [target], f"{base}/checkpoint", **more).awaitTermination()
+    kept.coalesce(2).write.partitionBy("replset").mode("overwrite").parquet(f"{base}/logs")
+    tail_logs(spark, f"{base}/logs", [target], f"{base}/checkpoint", watch=watch, **more).awaitTermination()
+    return shown(target.state())
+
+
+THIRDS = " UNION ALL ".join(f"SELECT {k} AS batch, replset, max(ts) AS ts FROM log WHERE event_id < n * {k + 1} // 3 GROUP BY replset" for k in range(3))
+
+
+@query(f""", r AS ({THIRDS}), m AS (SELECT replset, max(ts) AS newest FROM log WHERE op <> 'n' GROUP BY ALL)
+SELECT batch, replset, CASE WHEN ts > newest THEN 'ahead' WHEN newest >> 32 <> ts >> 32 THEN 'seconds' WHEN newest <> ts THEN 'entries' ELSE 'up_to_date' END AS status,
+  CASE WHEN ts > newest THEN NULL WHEN newest >> 32 <> ts >> 32 THEN (newest >> 32) - (ts >> 32) ELSE newest - ts END AS lag FROM r JOIN m USING (replset)""")
+def stream_lag(spark, sf_dir):
+    """How far each log is ahead of a stream after each of its batches."""
+    base, log = scratch(spark), change_log(spark, sf_dir)
+    stream, watch = stored_stream(spark, sf_dir, base), Watch(lambda: log, lambda: log.where("false"))
+    tail(stream, [JsonTarget(spark, f"{base}/mirror")], f"{base}/checkpoint", progress=f"{base}/progress", watch=watch, lag=f"{base}/lag").awaitTermination()
+    return spark.read.option("basePath", f"{base}/lag").parquet(f"{base}/lag/batch=*").select("batch", "replset", "status", "lag")
+
+
+COUNTS = " UNION ALL ".join(
+    f"SELECT {k} AS batch, count(*) FILTER (WHERE op = 'd') AS removed, count(*) FILTER (WHERE op = 'i') AS upserted, count(*) FILTER (WHERE op = 'u') AS updated, max(ts) AS newest "
+    f"FROM log WHERE event_id >= n * {k} // 3 AND event_id < n * {k + 1} // 3" for k in range(3)
+)
+
+
+@query(" " + COUNTS)
+def stream_counters(spark, sf_dir):
+    """What a stream's batches held, by the metrics of its progress."""
+    base = scratch(spark)
+    monitor = Monitor(spark, f"{base}/counters")
+    spark.streams.addListener(monitor)
+    try:
+        query_ = tail(counted(stored_stream(spark, sf_dir, base)), [JsonTarget(spark, f"{base}/mirror")], f"{base}/checkpoint")
+        query_.awaitTermination()
+        return monitor.written(2).select("batch", "removed", "upserted", "updated", "newest")
+    finally:
+        spark.streams.removeListener(monitor)
