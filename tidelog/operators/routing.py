@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -199,3 +200,57 @@ def overlaps(names: DataFrame, patterns: list[str]) -> DataFrame:
     """(ns, patterns): namespaces that more than one pattern matches."""
     hits = sum((matches(F.col("ns"), p).cast("int") for p in patterns), F.lit(0))
     return names.withColumn("patterns", hits).where("patterns > 1")
+
+
+def witness(p: str, q: str) -> str | None:
+    """A shortest name that both patterns match, None if there is none: a search over pairs of places in them, breadth first.
+
+    A ``*`` of a database matches no dot, one of a collection anything; each may hold several.
+    """
+    tokens = []
+    for pattern in (p, q):
+        db, dot, coll = pattern.partition(".")
+        tokens.append([(c, c == "*", False) for c in db] + [(c, c == "*", c == "*") for c in dot + coll])
+    first, second = tokens
+    reached: dict[tuple[int, int], str] = {(0, 0): ""}
+    level = [(0, 0)]
+    while level:
+        free, further = list(level), []
+        for i, j in free:  # a star may end without taking a letter
+            name = reached[i, j]
+            for own, to in ((i < len(first) and first[i][1], (i + 1, j)), (j < len(second) and second[j][1], (i, j + 1))):
+                if own and to not in reached:
+                    reached[to] = name
+                    free.append(to)
+        if (len(first), len(second)) in reached:
+            return reached[len(first), len(second)]
+        for i, j in free:
+            if i == len(first) or j == len(second):
+                continue
+            (a, a_star, a_dots), (b, b_star, b_dots) = first[i], second[j]
+            if a_star and b_star:
+                continue  # one of them may as well end
+            letter = b if a_star else a
+            fits = a == b or (a_star and (a_dots or b != ".")) or (b_star and (b_dots or a != "."))
+            to = (i if a_star else i + 1, j if b_star else j + 1)
+            if fits and to not in reached:
+                reached[to] = reached[i, j] + letter
+                further.append(to)
+        level = further
+    return None
+
+
+def pattern_overlaps(patterns: DataFrame, column: str = "pattern") -> DataFrame:
+    """(pattern, other, name): pairs of patterns that can match one name, whether or not there is a namespace of that name, with such a name.
+
+    Pairs are formed of what is before the first ``*`` where one begins the other; a table of rules has few rows.
+    """
+
+    @F.pandas_udf("string")
+    def found(p: pd.Series, q: pd.Series) -> pd.Series:
+        return pd.Series([witness(a, b) for a, b in zip(p, q)], dtype=object)
+
+    own = patterns.select(F.col(column).alias("pattern"), F.substring_index(column, "*", 1).alias("head")).distinct()
+    other = own.select(F.col("pattern").alias("other"), F.col("head").alias("other_head"))
+    pairs = own.join(other, (F.col("pattern") < F.col("other")) & (F.startswith("head", F.col("other_head")) | F.startswith("other_head", F.col("head"))))
+    return pairs.select("pattern", "other", found("pattern", "other").alias("name")).where("name is not null")

@@ -534,6 +534,31 @@ def rule_overlaps(spark, sf_dir):
     return routing.overlaps(routing.namespaces(change_log(spark, sf_dir)), ["shop4.*", "*.fs.*", "shop3.users"])
 
 
+PATTERN_SQL = """, x AS (SELECT DISTINCT ns, split_part(ns, '.', 1) AS db, substr(ns, 7) AS coll FROM log),
+pt AS (SELECT DISTINCT unnest([db || '.*', '*.' || coll, db || '.' || coll[1] || '*x' || coll[-1], '*' || db[-1] || '.y*' || coll[-1], ns]) AS p FROM x),
+sides AS (SELECT p, split_part(p, '.', 1) AS d, substr(p, strpos(p, '.') + 1) AS c FROM pt),
+pr AS (SELECT a.p AS pattern, b.p AS other, a.d AS ad, b.d AS bd, a.c AS ac, b.c AS bc FROM sides a JOIN sides b ON a.p < b.p)"""
+
+
+def globs_meet(a: str, b: str) -> str:
+    """SQL: whether two texts with one ``*`` at most match a common text (neither holds other special characters)."""
+    head, tail = (lambda x: f"split_part({x}, '*', 1)"), (lambda x: f"substr({x}, strpos({x}, '*') + 1)")
+    like = lambda x, p: f"({x} LIKE replace({p}, '*', '%'))"
+    both = f"((starts_with({head(a)}, {head(b)}) OR starts_with({head(b)}, {head(a)})) AND (ends_with({tail(a)}, {tail(b)}) OR ends_with({tail(b)}, {tail(a)})))"
+    return f"CASE WHEN {a} NOT LIKE '%*%' THEN {like(a, b)} WHEN {b} NOT LIKE '%*%' THEN {like(b, a)} ELSE {both} END"
+
+
+@query(PATTERN_SQL + f" SELECT pattern, other, true AS both_match FROM pr WHERE {globs_meet('ad', 'bd')} AND {globs_meet('ac', 'bc')}")
+def pattern_overlaps(spark, sf_dir):
+    """Patterns made from the namespaces, and which of them can meet, in names that don't exist too; the name found is matched by both."""
+    ns = F.col("ns")
+    db, coll = ns_db(ns), ns_coll(ns)
+    first, last = F.substring(coll, 1, 1), F.substring(coll, -1, 1)
+    made = F.array(F.concat(db, F.lit(".*")), F.concat(F.lit("*."), coll), F.concat(db, F.lit("."), first, F.lit("*x"), last), F.concat(F.lit("*"), F.substring(db, -1, 1), F.lit(".y*"), last), ns)
+    found = routing.pattern_overlaps(routing.namespaces(change_log(spark, sf_dir)).select(F.explode(made).alias("pattern")))
+    return found.select("pattern", "other", (F.length("name") > 0).alias("both_match"))
+
+
 # replay
 
 
@@ -795,6 +820,30 @@ def flatten_documents(spark, sf_dir):
     return formatting.flatten(own.select("event_id", doc.alias("doc")), ["event_id"])
 
 
+@query("""SELECT event_id, value, base64(flag::BLOB) AS data, (DATE '2020-01-01' + (event_id % 300)::INTEGER)::DATE::VARCHAR AS day, event_id % 5 <> 0 AS has_list, event_id % 3 = 0 AS null_stays, event_id % 2 = 0 AS mixed_is_text FROM data WHERE kind IN ('insert', 'replace')""")
+def format_state(spark, sf_dir):
+    """Documents with binaries, dates, lists with a NaN, nulls, and a field of two types, formatted as they are stored."""
+    k = F.col("event_id")
+    own = data_log(spark, sf_dir).where(replay.is_whole())
+    doc = F.to_variant_object(
+        F.map_filter(
+            F.create_map(
+                F.lit("value"), find_field(F.col("o"), "value", "double").cast("variant"), F.lit("data"), find_field(F.col("o"), "flag", "string").cast("binary").cast("variant"),
+                F.lit("day"), F.date_add(F.lit("2020-01-01").cast("date"), (k % 300).cast("int")).cast("variant"),
+                F.lit("list"), F.to_variant_object(F.array(F.lit(1.5), F.when(k % 5 == 0, float("nan")).otherwise(2.0))),
+                F.lit("none"), F.when(k % 3 == 0, F.parse_json(F.lit("null"))), F.lit("mixed"), F.when(k % 2 == 0, F.lit("t").cast("variant")).otherwise(k.cast("variant")),
+            ),
+            lambda _, v: v.isNotNull(),
+        )
+    )
+    made = formatting.format_state(own.select("event_id", doc.alias("doc")))
+    get = lambda path, kind: F.try_variant_get("doc", path, kind)
+    return made.select(
+        "event_id", get("$.value", "double").alias("value"), get("$.data", "string").alias("data"), get("$.day", "date").cast("string").alias("day"), get("$.list", "array<double>").isNotNull().alias("has_list"),
+        F.coalesce(F.is_variant_null(get("$.none", "variant")), F.lit(False)).alias("null_stays"), (F.schema_of_variant(get("$.mixed", "variant")) == "STRING").alias("mixed_is_text"),
+    )
+
+
 @query("SELECT doc_id, base64(encode(text)) AS b FROM documents", log=False)
 def fmt_binary(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", formatting.binary_text(F.encode("text", "UTF-8")).alias("b"))
