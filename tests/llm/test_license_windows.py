@@ -51,3 +51,10 @@ def test_key_words_can_not_be_missed():
     for _, text in license_scan.TEMPLATES:
         own = license_scan.template_bigrams(text)
         assert sum(not keys & set(b.split()) for b in own) < license_scan.fewest_common(len(own), license_scan.LEAST)
+
+
+def test_the_plan_is_native(spark, sf_dir):
+    from tidelog.llm import queries
+
+    plan = queries.op10_licenses(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -42,9 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store's scheme, as Spark resolves it: the same place for every executor and for Spark's own readers."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(at).toString()
+    return found.replace("file:/", "file:///", 1) if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{qualified(spark, shared_dir(spark))}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:

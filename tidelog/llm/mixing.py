@@ -17,7 +17,7 @@ source is found without a sort of the source: rows are counted in hash buckets o
 running sums of these counts give each bucket its offset, and rows are ranked in their bucket.
 
 Null sources are a source of their own.  Rows of equal key and source are ordered by their text's size and hash; rows equal in all
-that are alike, and any order is right.  An empty table stays empty.  Sources that have no target weight get weight 1; those of
+that are alike, and any order is right.  Rows without a key are placed by the MD5 of their text's size and hash.  An empty table stays empty.  Sources that have no target weight get weight 1; those of
 weight 0 come after all others, in equal parts; weights that are negative or not finite are refused, and so are more than ``MAX_SOURCES`` sources.
 Columns named mix_block and mix_position are replaced; other names don't matter, unless they begin with two underscores.
 """
@@ -177,9 +177,14 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_
         for i, part, first in zip(phase.sources, phase.parts, phase.firsts):
             own[i].append((first, part, n, phase.row, sum(phase.parts) * block_rows))
     held = "array<struct<first:long,part:long,phase:int,row:long,step:long>>"
-    numbered = spark.createDataFrame([(s, i, own[i]) for i, s in enumerate(names)], f"__name {df.schema[source].dataType.simpleString()}, __s int, __own {held}")
-
-    hashed = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    numbered = spark.createDataFrame(list(zip(names, range(len(names)))), f"__name {df.schema[source].dataType.simpleString()}, __s int")
+    # joined after the ranking, so that only keys and texts are shuffled by it
+    phased = spark.createDataFrame([(i, own[i]) for i in range(len(names))], f"__s int, __own {held}")
+    phased = F.broadcast(phased) if sum(map(len, own.values())) * 40 <= BROADCAST_BYTES else phased
+
+    # rows without a key are spread by what else tells them apart
+    placed_by = F.coalesce(F.col(key).cast("string"), F.concat_ws(" ", F.octet_length(text), F.xxhash64(text)))
+    hashed = F.conv(F.substring(F.md5(placed_by), 1, 15), 16, 10).cast("long")
     bits = max(0, math.ceil(math.log2(max(1, total // BUCKET_ROWS))))
     dealt = df.withColumns({"__hash": hashed, "__size": F.octet_length(text), "__tie": F.xxhash64(text)})
     dealt = dealt.withColumn("__bucket", F.shiftright("__hash", 60 - bits)).join(F.broadcast(numbered), F.col(source).eqNullSafe(F.col("__name")))
@@ -188,7 +193,7 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, key: str = "doc_
     offsets = small(cut(sizes.select("__s", "__bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))), 40)
     inside = Window.partitionBy("__s", "__bucket").orderBy("__hash", F.col(key), "__size", "__tie")
     ranked = dealt.withColumn("__rank", F.row_number().over(inside) - 1)
-    ranked = ranked.join(offsets, ["__s", "__bucket"]).withColumn("__rank", F.col("__rank") + F.col("__offset"))
+    ranked = ranked.join(offsets, ["__s", "__bucket"]).join(phased, "__s").withColumn("__rank", F.col("__rank") + F.col("__offset"))
     ranked = ranked.withColumn("mix_block", F.expr(f"__rank div {block_rows}"))
     ranked = ranked.withColumn("__in", F.element_at(F.filter("__own", lambda p: p.first <= F.col("mix_block")), -1))
     ranked = ranked.withColumns({"__phase": F.col("__in.phase"), "__nth": (F.col("mix_block") - F.col("__in.first")) % F.col("__in.part")})

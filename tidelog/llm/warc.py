@@ -103,13 +103,17 @@ def plan_records(df: DataFrame, key: str = "page_id", payload: str = "html") ->
     """``df`` with _size, _digest and _first: the least key of its payload's group, if the group has several rows."""
     data = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     sized = df.withColumns({"_size": F.octet_length(data).cast("long"), "_digest": F.sha2(data, 256)})
-    groups = sized.where(F.col("_size") >= LEAST_BYTES).groupBy("_digest").agg(F.min(key).alias("_first"), F.count("*").alias("n"))
+    large = sized.where(F.col("_size") >= LEAST_BYTES)
+    groups = large.groupBy("_digest").agg(F.min(key).alias("_first"), F.count("*").alias("n"))
     path = scratch(df.sparkSession, "warc-groups")
     groups.where("n > 1").drop("n").write.parquet(path)
     groups = df.sparkSession.read.parquet(path)
     if groups.count() * 100 <= BROADCAST_BYTES:
         groups = F.broadcast(groups)
-    return sized.join(groups, "_digest", "left")
+    # short payloads, many of which are alike, take no part in the join
+    rest = sized.where(F.col("_size") < LEAST_BYTES).withColumn("_first", F.lit(None).cast(df.schema[key].dataType))
+    joined = large.join(groups, "_digest", "left")
+    return joined.unionByName(rest.select(*joined.columns))
 
 
 def write_archives(df: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
