@@ -74,7 +74,8 @@ def test_commands_of_the_log(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_commands_are_the_sequential_fold(spark, seed):
+def test_commands_are_the_sequential_fold(spark, monkeypatch, seed):
+    monkeypatch.setattr(replay, "AT_ONCE", [1 << 20, 7][seed % 2])  # in one go, or in slices
     rng, names = random.Random(seed), [f"{db}.{c}" for db in "ab" for c in "xyz"]
     rows, state = [], {}
     for ts in range(1, 160):

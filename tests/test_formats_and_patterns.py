@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import formatting
-from tidelog.operators.routing import ns_regex, pattern_overlaps, witness
+from tidelog.operators.routing import RULE_SCHEMA, Rule, Rules, ns_regex, pattern_overlaps, violations, witness
 
 
 def brute_flat(value, path=()):
@@ -82,3 +82,14 @@ def test_overlaps_without_a_namespace(spark):
     df = spark.createDataFrame([("db*.x",), ("*1.x",), ("db.y*",), ("db.*z",), ("db.y.z",), ("other.x",), ("db.y*",)], "pattern string")
     found = {(r.pattern, r.other): r.name for r in pattern_overlaps(df).collect()}
     assert found == {("*1.x", "db*.x"): "db1.x", ("db.*z", "db.y*"): "db.yz", ("db.*z", "db.y.z"): "db.y.z", ("db.y*", "db.y.z"): "db.y.z"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_violations_of_a_table(spark, seed):
+    rng = random.Random(seed)
+    name = lambda: rng.choice(["a", "b*", "a.b", "a.c", "*.b", "a*.b", "a.b*", "a.*c*", ".x", "a."])
+    fields = lambda: rng.choice([(), ("v",)])
+    rules = Rules(tuple(Rule(name(), rng.choice([None, name()]), rng.random() < 0.3, rng.random() < 0.3, fields(), fields()) for _ in range(25)))
+    rows = [(r.source, r.dest, r.gridfs, r.excluded, list(r.include), list(r.exclude)) for r in rules.rules]
+    found = violations(spark.createDataFrame(rows, RULE_SCHEMA))
+    assert {tuple(r) for r in found.collect()} == set(rules.violations())

@@ -173,8 +173,8 @@ def apply_incremental(state: DataFrame, log: DataFrame, replay: Callable[[DataFr
 
     Commands in the log (``c`` entries) void or move what the state and the log have from before them.
     """
-    before = state_as_log(state)
-    return (replay or replay_documents)(apply_commands(before.unionByName(log.select(*before.columns)), commands_in(log)))
+    before, signs = state_as_log(state), signs_of(log)
+    return with_signs(replay or replay_documents, apply_commands(before.unionByName(log.select(*before.columns)), signs.commands), signs)
 
 
 def snapshot_state(snap: DataFrame, ts: int) -> DataFrame:
@@ -358,32 +358,42 @@ class Replayed(NamedTuple):
     rejects: DataFrame
 
 
-def nested_documents(log: DataFrame) -> DataFrame | None:
-    """(ns, _id) of documents with an update on a dotted path, as a stored table; None if there are none.  Reads the update columns only."""
-    keys = stored(log.where((F.col("op") == "u") & is_nested()).select(*KEYS).distinct(), "nested-documents")
-    return keys if keys.limit(1).count() else None
+class Signs(NamedTuple):
+    """What has to be known of a log before it is replayed: its commands, and (ns, _id) of documents with an update on a dotted path (None: there are none)."""
 
+    commands: list
+    nested: DataFrame | None
 
-def split_nested(log: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+
+def signs_of(log: DataFrame) -> Signs:
+    """One narrow pass over a log's commands and update columns; what it finds is a stored table.  The documents are under the names the commands leave them."""
+    update = (F.col("op") == "u") & is_nested()
+    found = stored(log.where((F.col("op") == "c") | update).select("ts", "op", *KEYS, F.when(F.col("op") == "c", F.col("o")).alias("o")), "signs")
+    commands = commands_in(found)
+    keys = found.where("op = 'u'")
+    return Signs(commands, apply_commands(keys, commands).select(*KEYS).distinct() if keys.limit(1).count() else None)
+
+
+def split_nested(log: DataFrame, signs: Signs | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The entries of documents without dotted paths, and of those with them (None if there are none).
 
     Where the keys are few, Spark broadcasts them (their table's size is known), so the log isn't shuffled for this.
     """
-    keys = nested_documents(log)
+    keys = (signs or signs_of(log.where("op <> 'c'"))).nested
     if keys is None:
         return log, None
     return log.join(keys, KEYS, "left_anti"), log.join(keys, KEYS, "left_semi")
 
 
-def replay_documents(log: DataFrame) -> DataFrame:
-    """State after any log: documents whose updates hold dotted paths are folded, all others go the flat way."""
-    flat, nested = split_nested(log)
+def replay_documents(log: DataFrame, signs: Signs | None = None) -> DataFrame:
+    """State after any log: documents whose updates hold dotted paths are folded, all others go the flat way.  ``signs`` are the log's, where they are known."""
+    flat, nested = split_nested(log, signs)
     return replay_flat(flat) if nested is None else replay_flat(flat).unionByName(replay_nested(nested))
 
 
-def replay_all(log: DataFrame) -> Replayed:
+def replay_all(log: DataFrame, signs: Signs | None = None) -> Replayed:
     """State and rejects after any log; what is folded is folded once, for both."""
-    flat, nested = split_nested(log)
+    flat, nested = split_nested(log, signs)
     state, bad = replay_flat(flat), orphans(flat).withColumn("reason", F.lit("no_base"))
     if nested is None:
         return Replayed(state, bad)
@@ -392,6 +402,11 @@ def replay_all(log: DataFrame) -> Replayed:
     return Replayed(state.unionByName(kept), bad.unionByName(rejected_of(folded)))
 
 
+def with_signs(replay: Callable[..., DataFrame], log: DataFrame, signs: Signs) -> DataFrame:
+    """``replay`` of a log whose signs are known; replays of one kind don't ask for them."""
+    return replay_documents(log, signs) if replay is replay_documents else replay(log)
+
+
 def rejects(log: DataFrame) -> DataFrame:
     """(ns, _id, ts, op, reason) of entries that can't be applied."""
     return replay_all(log).rejects
@@ -400,8 +415,8 @@ def rejects(log: DataFrame) -> DataFrame:
 # commands
 
 COMMAND = "struct<what:string,name:string,new:string>"
-#: Commands are rare; their names and times are planned on the driver.
-MAX_COMMANDS = 20_000
+#: Commands are rare; their names and times are planned on the driver, so many in one go.
+AT_ONCE = 20_000
 Command = tuple[int, str, str, str | None]
 
 
@@ -421,9 +436,7 @@ def command_of() -> Column:
 
 def commands_in(log: DataFrame) -> list[Command]:
     """(ts, what, name, new) of a log's commands, by time."""
-    rows = log.where(F.col("op") == "c").withColumn("c", command_of()).where("c is not null").select("ts", "c.*").distinct().limit(MAX_COMMANDS + 1).collect()
-    if len(rows) > MAX_COMMANDS:
-        raise ValueError(f"more than {MAX_COMMANDS} commands; apply the log in slices")
+    rows = log.where(F.col("op") == "c").withColumn("c", command_of()).where("c is not null").select("ts", "c.*").distinct().collect()
     return sorted(map(tuple, rows), key=lambda c: (c[0], c[1:3]))
 
 
@@ -471,10 +484,15 @@ def apply_commands(log: DataFrame, commands: list[Command] | None = None) -> Dat
     ``commands`` are the log's own where none are given.  Namespaces that a drop or a rename names get epochs; for all others the time their
     database was last dropped decides.  Both tables have a row for each command or so and are broadcast.
     """
-    commands = commands_in(log) if commands is None else commands
+    commands = commands_in(log) if commands is None else sorted(commands, key=lambda c: (c[0], c[1:3]))
     log = log.where(F.col("op") != "c")
-    if not commands:
-        return log
+    for k in range(0, len(commands), AT_ONCE):
+        # what one slice has renamed or voided is what the next one finds
+        log = _commanded(log, commands[k : k + AT_ONCE])
+    return log
+
+
+def _commanded(log: DataFrame, commands: list[Command]) -> DataFrame:
     spark, dropped = log.sparkSession, {}
     for ts, what, name, _ in sorted(commands, key=lambda c: c[0]):
         if what == "dropDatabase":

@@ -254,3 +254,34 @@ def pattern_overlaps(patterns: DataFrame, column: str = "pattern") -> DataFrame:
     other = own.select(F.col("pattern").alias("other"), F.col("head").alias("other_head"))
     pairs = own.join(other, (F.col("pattern") < F.col("other")) & (F.startswith("head", F.col("other_head")) | F.startswith("other_head", F.col("head"))))
     return pairs.select("pattern", "other", found("pattern", "other").alias("name")).where("name is not null")
+
+
+RULE_SCHEMA = "source string, dest string, gridfs boolean, excluded boolean, include array<string>, exclude array<string>"
+
+
+def violations(rules: DataFrame) -> DataFrame:
+    """(source, reason) of every rule of a table (RULE_SCHEMA) that breaks a condition; one row for each reason.
+
+    Targets are counted, and included sources looked up among the excluded ones, by grouping and joining the table with itself on equal names.
+    """
+    own = rules.withColumn("target", F.coalesce("dest", "source"))
+    included = own.where(~F.col("excluded"))
+    twice = included.groupBy("target").agg((F.count("*") > 1).alias("twice"))
+    both = own.where("excluded").select("source", F.lit(True).alias("out")).distinct()
+    judged = own.join(twice, "target", "left").join(both, "source", "left")
+    stars = lambda name: F.regexp_count(name, F.lit("[*]"))
+    kept, names = ~F.col("excluded"), F.array("source", "target")
+    in_db = lambda name: F.contains(ns_db(F.col(name)), F.lit("*"))
+    same = stars("source") == stars("target")
+    reasons = {
+        "no_dot": F.exists(names, lambda n: ~F.rlike(n, F.lit(r"(?s)\A[^.]+\..+\z"))),
+        "many_wildcards": kept & F.exists(names, lambda n: stars(n) > 1),
+        "wildcard_count": kept & ~same,
+        "wildcard_moved": kept & same & (stars("source") > 0) & (in_db("source") != in_db("target")),
+        "target_twice": kept & F.coalesce("twice", F.lit(False)),
+        "included_and_excluded": kept & F.coalesce("out", F.lit(False)),
+        "both_field_kinds": kept & (F.coalesce(F.size("include"), F.lit(0)) > 0) & (F.coalesce(F.size("exclude"), F.lit(0)) > 0),
+        "file_renamed": kept & F.col("gridfs") & (F.col("target") != F.col("source")),
+    }
+    found = F.array_compact(F.array(*(F.when(broken, name) for name, broken in reasons.items())))
+    return judged.select("source", F.explode(found).alias("reason"))

@@ -516,11 +516,13 @@ def rules_table(spark, sf_dir):
 
 @query("SELECT ns AS source, 'target_twice' AS reason FROM (SELECT DISTINCT ns FROM log) WHERE ns LIKE '%.orders' OR ns LIKE '%.carts'")
 def rule_violations(spark, sf_dir):
-    """Rules made from the log's namespaces, all orders and all carts to one target each."""
-    names = sorted(r.ns for r in routing.namespaces(change_log(spark, sf_dir)).collect())
-    merged = {".orders": "all.orders", ".carts": "all.carts"}
-    rules = routing.Rules(tuple(routing.Rule(n, next((d for s, d in merged.items() if n.endswith(s)), None)) for n in names))
-    return spark.createDataFrame(rules.violations(), "source string, reason string")
+    """A table of rules made from the log's namespaces, all orders and all carts to one target each."""
+    merged = F.when(F.col("ns").endswith(".orders"), "all.orders").when(F.col("ns").endswith(".carts"), "all.carts")
+    none = F.array().cast("array<string>")
+    rules = routing.namespaces(change_log(spark, sf_dir)).select(
+        F.col("ns").alias("source"), merged.alias("dest"), F.lit(False).alias("gridfs"), F.lit(False).alias("excluded"), none.alias("include"), none.alias("exclude")
+    )
+    return routing.violations(rules)
 
 
 @query("SELECT 'all.' || substr(ns, 7) AS dest, count(DISTINCT ns) AS sources FROM log GROUP BY ALL HAVING count(DISTINCT ns) > 1")

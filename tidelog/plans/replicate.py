@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.fields import ruled_doc
 from tidelog.operators.predicates import prepare
-from tidelog.operators.replay import Replayed, apply_commands, commands_in, replay_all, replay_documents, snapshot_state, state_as_log
+from tidelog.operators.replay import Replayed, Signs, apply_commands, replay_all, replay_documents, signs_of, snapshot_state, state_as_log, with_signs
 from tidelog.operators.routing import Rule, Rules, matches
 
 #: Rules over the derived log; they exercise every kind.
@@ -31,29 +31,29 @@ def snapshot(snap: DataFrame, rules: Rules, ts: int | None) -> DataFrame:
     return snapshot_state(routed.select(F.col("r.dest").alias("ns"), "_id", ruled_doc(F.col("doc"), F.col("r.rule"), rules).alias("doc")), ts)
 
 
-def entries(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail") -> DataFrame:
-    """What is to be replayed for the targets: the snapshot's documents and the log's entries, commands applied; ``mode`` is dump+tail, tail or dump."""
-    parts, commands = [], []
+def entries(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail") -> tuple[DataFrame, Signs]:
+    """What is to be replayed for the targets (the snapshot's documents and the log's entries, commands applied) and its signs; ``mode`` is dump+tail, tail or dump."""
+    parts, signs = [], Signs([], None)
     if mode != "tail" and snap is not None:
         parts.append(state_as_log(snapshot(snap, rules, ts)))
     if mode != "dump":
         own = prepare(log if ts is None or mode == "tail" else log.where(F.col("ts") > ts), rules)
-        commands = commands_in(own.where("op = 'c'"))
+        signs = signs_of(own)
         parts.append(own.select("ts", "replset", "event_id", "op", "ns", "_id", "from_migrate", "o", "set", "unset"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return apply_commands(out, commands)
+    return apply_commands(out, signs.commands), signs
 
 
 def replicate(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail", replay=replay_documents) -> DataFrame:
-    """The targets' state (files by their metadata).  The log is read once; its commands and the keys of nested documents, narrow second times."""
-    return replay(entries(log, rules, snap, ts, mode))
+    """The targets' state (files by their metadata).  The log is read once; its commands and the keys of nested documents, a narrow second time."""
+    return with_signs(replay, *entries(log, rules, snap, ts, mode))
 
 
 def replicate_all(log: DataFrame, rules: Rules, snap: DataFrame | None = None, ts: int | None = None, mode: str = "dump+tail") -> Replayed:
     """The targets' state, and the entries that can't be applied."""
-    return replay_all(entries(log, rules, snap, ts, mode))
+    return replay_all(*entries(log, rules, snap, ts, mode))
 
 
 def with_files(state: DataFrame, rules: Rules) -> DataFrame:

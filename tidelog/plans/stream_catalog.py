@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.folders import scratch as folder
 from tidelog.operators import files
-from tidelog.operators.replay import latest_per_key, replay_flat, visible
+from tidelog.operators.replay import is_whole, latest_per_key, replay_flat, visible
 from tidelog.operators.routing import Rule, Rules
 from tidelog.plans.catalog import COMMAND_SQL, LOST_SQL, NESTED_SQL, ORPHAN_SQL, REPLICA_SQL, command_entries, flat_sql, query, shown, shown_nested
 from tidelog.plans.replicate import RULES
+from tidelog.sinks.chunked import read_chunks, write_chunks
 from tidelog.sinks.targets import FileTarget, JsonTarget, ParquetTarget
-from tidelog.sources.change_log import change_log, data_entries, n_events
+from tidelog.sources.change_log import DATA_COLLECTIONS, change_log, data_entries, n_events
+from tidelog.streaming.keyed import PROVIDER, ROCKSDB, documents
 from tidelog.streaming.tail import Monitor, Watch, counted, latest_entries, log_stream, read_progress, tail, tail_logs
 
 FLAT = ", s AS (" + flat_sql("data") + ") SELECT * FROM s"
@@ -264,3 +266,92 @@ def stream_counters(spark, sf_dir):
         return monitor.written(2).select("batch", "removed", "upserted", "updated", "newest")
     finally:
         spark.streams.removeListener(monitor)
+
+
+BINARY_FILES_SQL = """, last AS (SELECT _id, max(ts) AS _ts, arg_max(op, ts) AS op FROM log WHERE ns = 'shop4.fs.files' AND NOT from_migrate AND op IN ('i', 'd') GROUP BY _id),
+bin AS (SELECT doc_id, unhex(md5(text) || 'ff00fe') || text::BLOB AS data FROM documents)
+SELECT _id, octet_length(data)::BIGINT AS length, md5(data) AS md5, octet_length(data) > 4096 AS stored_apart, _ts FROM last JOIN bin ON doc_id = _id WHERE op = 'i'"""
+
+
+def as_bytes(docs: DataFrame) -> DataFrame:
+    """Documents as binaries that are no texts: 19 bytes of any value, then the text's."""
+    return docs.select("doc_id", F.concat(F.unhex(F.concat(F.md5("text"), F.lit("ff00fe"))), F.encode("text", "UTF-8")).alias("data"))
+
+
+@query(BINARY_FILES_SQL.replace("text::BLOB", "encode(text)"))
+def stream_binary_files(spark, sf_dir):
+    """Binary files of a stream, in chunks of 1000 bytes; those over 4096 bytes are stored apart.  Digests are of the bytes read back."""
+    base, docs = scratch(spark), as_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    table = files.binary_file_table(docs, "doc_id", "data", F.concat(F.lit("doc-"), "doc_id", F.lit(".bin")))
+    target = FileTarget(spark, f"{base}/files", table, files.chunk_bytes(docs, "doc_id", "data", 1000), small=4096)
+    routed_run(spark, stored_stream(spark, sf_dir, base), [target], base, RULES)
+    held = target.contents()
+    read = files.store_files(files.read_stored(held, 3000).withColumnRenamed("_id", "files_id"), f"{base}/again", 1 << 30)
+    return held.join(read.select(F.col("files_id").alias("_id"), "bytes", "digest"), "_id").select(
+        "_id", F.col("bytes").alias("length"), F.col("digest").alias("md5"), F.col("stored_at").isNotNull().alias("stored_apart"), "_ts"
+    )
+
+
+@query("""WITH bin AS (SELECT doc_id, unhex(md5(text) || 'ff00fe') || encode(text) AS data FROM documents), f AS (SELECT doc_id, octet_length(data)::BIGINT AS size, ceil(octet_length(data) / 1000.0)::BIGINT AS pieces FROM bin)
+SELECT doc_id AS _id, CASE WHEN doc_id % 7 = 0 AND pieces > 2 THEN 'missing_chunk' WHEN doc_id % 7 = 0 AND pieces = 2 THEN 'wrong_length' WHEN doc_id % 7 = 1 THEN 'missing_chunk' WHEN doc_id % 7 = 2 THEN 'wrong_digest' END AS reason,
+  CASE WHEN doc_id % 7 > 2 OR (doc_id % 7 = 0 AND pieces = 1) THEN size > 4096 END AS stored_apart FROM f""", log=False)
+def judge_binary_files(spark, sf_dir):
+    """Binaries some of which have lost their second chunk, have their first twice, or have other bytes in the first."""
+    base, docs = scratch(spark), as_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    table, chunks = files.binary_file_table(docs, "doc_id", "data", F.lit("x")), files.chunk_bytes(docs, "doc_id", "data", 1000)
+    kind = F.col("files_id") % 7
+    kept = chunks.where(~((kind == 0) & (F.col("n") == 1)))
+    # the first three bytes of its digest's end are ff00fe
+    damaged = F.concat(F.expr("substring(data, 1, 16)"), F.unhex(F.lit("fe00ff")), F.expr("substring(data, 20)"))
+    changed = kept.withColumn("data", F.when((kind == 2) & (F.col("n") == 0), damaged).otherwise(F.col("data")))
+    found = files.judge_files(changed.unionByName(kept.where((kind == 1) & (F.col("n") == 0))), table, f"{base}/files", 4096)
+    return found.select("_id", "reason", F.when(F.col("reason").isNull(), F.col("stored_at").isNotNull()).alias("stored_apart"))
+
+
+@query(FLAT.replace("SELECT * FROM s", "SELECT ns, _id, value, flag, k, _ts, deleted FROM s"))
+def stream_documents(spark, sf_dir):
+    """Documents as keyed state; the newest row each key's changes gave, over two runs of one checkpoint."""
+    base = scratch(spark)
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        keyed_run(spark, sf_dir, base)
+    finally:
+        spark.conf.set(PROVIDER, before)
+    rows = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch=*").where("reason is null")
+    newest = latest_per_key(rows.drop("batch", "reason"), ["ns", "_id"], "ts")
+    return shown(newest.select("ns", "_id", F.parse_json("doc").alias("doc"), F.col("ts").alias("_ts"), "deleted"))
+
+
+def keyed_run(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The log's data entries through keyed state, in two runs; a batch's changes go to ``out/batch=<n>``."""
+    stream = stored_stream(spark, sf_dir, base, parts=2)
+    changed = documents(stream.where(F.substring_index("ns", ".", -1).isin(*DATA_COLLECTIONS)))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    for _ in range(2):
+        writer = changed.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint")
+        writer.foreachBatch(batch).trigger(availableNow=True).start().awaitTermination()
+
+
+@query(""", w AS (SELECT ns, _id, ts FROM data WHERE kind IN ('insert', 'replace')), k AS (SELECT ns || '/' || _id AS _key, max(ts) AS ts FROM w GROUP BY ALL)
+SELECT 'keys' AS what, count(*)::BIGINT AS n, sum(ts)::DOUBLE AS total FROM k UNION ALL SELECT 'rows', count(*), NULL FROM w
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM w) - (SELECT count(*) FROM k), NULL UNION ALL SELECT 'chunks over 100 rows', 0, NULL UNION ALL SELECT 'short chunks but the last', 0, NULL""")
+def chunked_write(spark, sf_dir):
+    """All writes of whole documents in ordered chunks of 100; what was written, the duplicates among them, and that chunks are full."""
+    base = scratch(spark)
+    own = data_entries(change_log(spark, sf_dir)).where(is_whole())
+    found = write_chunks(own.select("ns", "_id", F.col("o").alias("doc"), F.col("ts").alias("_ts")), f"{base}/chunks", 100)
+    last = found.groupBy("task").agg(F.max("chunk").alias("last"))
+    parts = [
+        read_chunks(spark, f"{base}/chunks").agg(F.count("*").alias("n"), F.sum("ts").cast("double").alias("total")).withColumn("what", F.lit("keys")),
+        *(found.agg(F.sum(c).cast("long").alias("n")).withColumn("what", F.lit(c)) for c in ("rows", "duplicates")),
+        found.where("rows > 100").agg(F.count("*").alias("n")).withColumn("what", F.lit("chunks over 100 rows")),
+        found.join(last, "task").where("rows < 100 and chunk < last").agg(F.count("*").alias("n")).withColumn("what", F.lit("short chunks but the last")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.select("what", "n", "total")

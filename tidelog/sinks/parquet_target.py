@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.folders import begun, listed, removed
 from tidelog.operators.reconcile import last_doc, reconcile, search_range, upserted_and_gone
-from tidelog.operators.replay import KEYS, STATE_SCHEMA, Replayed, apply_commands, commands_in, replay_all, replay_documents, state_as_log
+from tidelog.operators.replay import KEYS, STATE_SCHEMA, Replayed, Signs, apply_commands, replay_all, replay_documents, signs_of, state_as_log, with_signs
 from tidelog.operators.routing import Rules
 from tidelog.sources.change_log import log_schema
 
@@ -83,30 +83,29 @@ class ParquetTarget:
         kept = base.join(keys, KEYS, "left_anti")
         return kept.unionByName(rolled.drop("_n")), later.select(*log.columns).drop("_n")
 
-    def _entries(self, base: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """(entries to replay, tombstones of what commands void or move away, None without commands)."""
-        both = state_as_log(base).unionByName(log)
-        commands = commands_in(log)
-        if not commands:
-            return both, None
+    def _entries(self, base: DataFrame, log: DataFrame) -> tuple[DataFrame, Signs, DataFrame | None]:
+        """(entries to replay, their signs, tombstones of what commands void or move away: None without commands)."""
+        both, signs = state_as_log(base).unionByName(log), signs_of(log)
+        if not signs.commands:
+            return both, signs, None
         gone = both.where("op <> 'c'").select(*KEYS).distinct().withColumns(
-            {"doc": F.lit(None).cast("variant"), "_ts": F.lit(commands[-1][0]).cast("long"), "deleted": F.lit(True)}
+            {"doc": F.lit(None).cast("variant"), "_ts": F.lit(signs.commands[-1][0]).cast("long"), "deleted": F.lit(True)}
         )
-        return apply_commands(both, commands), gone
+        return apply_commands(both, signs.commands), signs, gone
 
     def _with_gone(self, state: DataFrame, gone: DataFrame | None) -> DataFrame:
         return state if gone is None else state.unionByName(gone.join(state.select(*KEYS), KEYS, "left_anti"))
 
     def state(self) -> DataFrame:
         """Every document's row, tombstones included."""
-        own, gone = self._entries(*self._parts())
-        return self._with_gone(self.replay(own), gone)
+        own, signs, gone = self._entries(*self._parts())
+        return self._with_gone(with_signs(self.replay, own, signs), gone)
 
     def rejects(self) -> DataFrame:
         """(ns, _id, ts, op, reason) of all entries that couldn't be applied."""
-        own, _ = self._entries(*self._parts())
+        own, signs, _ = self._entries(*self._parts())
         earlier = self._read("rejects", self._schema(REJECTS_SCHEMA), 0, self._base()).drop("_n")
-        return earlier.unionByName(replay_all(own).rejects).distinct()
+        return earlier.unionByName(replay_all(own, signs).rejects).distinct()
 
     def apply(self, log: DataFrame, batch_id: int) -> None:
         """Writes the batch's entries, and nothing else."""
@@ -126,8 +125,8 @@ class ParquetTarget:
         done = [number(n) for n in listed(self.spark, self.path) if n.split("-")[0] in ("changes", "rollback")]
         if max(done, default=0) <= self._base():
             return
-        own, gone = self._entries(*self._parts())
-        found: Replayed = replay_all(own)
+        own, signs, gone = self._entries(*self._parts())
+        found: Replayed = replay_all(own, signs)
         found.rejects.write.mode("overwrite").parquet(f"{self.path}/rejects-{max(done):010d}")
         rows = self._with_gone(found.state if self.replay is replay_documents else self.replay(own), gone)
         # a base of this number whose writing broke off doesn't count, and is written anew
@@ -143,15 +142,15 @@ class ParquetTarget:
     def search(self, start: int, end: int) -> DataFrame:
         """Rows with start <= _ts <= end.  Those of the base that no later entry touches are found by a filter on its scan."""
         base, log = self._parts()
-        own, gone = self._entries(base, log)
+        own, signs, gone = self._entries(base, log)
         if gone is not None:
-            return search_range(self._with_gone(self.replay(own), gone), start, end)
+            return search_range(self._with_gone(with_signs(self.replay, own, signs), gone), start, end)
         if log.isEmpty():
             return search_range(base, start, end)
         keys = log.select(*KEYS).distinct()
         quiet = search_range(base, start, end).join(keys, KEYS, "left_anti")
         touched = state_as_log(base.join(keys, KEYS, "left_semi")).unionByName(log)
-        return quiet.unionByName(search_range(self.replay(touched), start, end))
+        return quiet.unionByName(search_range(with_signs(self.replay, touched, signs), start, end))
 
     def last(self) -> DataFrame:
         return last_doc(self.state())

@@ -6,14 +6,14 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.files import FILE_SCHEMA, apply_files, newest
+from tidelog.functions.folders import begun, listed
+from tidelog.operators.files import BINARY_FILE_SCHEMA, FILE_SCHEMA, SMALL_BYTES, apply_files, is_binary, newest
 from tidelog.operators.reconcile import last_doc, search_range
 from tidelog.operators.replay import KEYS
-from tidelog.sinks.parquet_target import ParquetTarget, documents_of
+from tidelog.sinks.parquet_target import ParquetTarget, documents_of, number
 
 __all__ = ["FileTarget", "JsonTarget", "ParquetTarget", "Target", "documents_of", "fan_out", "remove", "split_valid", "upsert", "with_unique_key"]
 
@@ -61,47 +61,14 @@ def split_valid(rows: DataFrame, valid: Column, fail_fast: bool = False) -> tupl
     return rows.where(ok), rows.where(~ok)
 
 
-@dataclass
-class Bucketed:
-    """A Parquet table of keyed rows in folders ``b=<bucket of the key's hash>``; a batch overwrites only the folders it touches.
-
-    Take about one bucket for each 256 MB to come; ``writers`` tasks share a bucket.  If a batch fails half way, some folders are
-    new and some old; as it runs again, rows that have had it stay as they are.
-    """
-
-    spark: SparkSession
-    path: str
-    schema: str
-    buckets: int
-    writers: int = 4
-
-    def bucket(self) -> Column:
-        return F.pmod(F.hash(*KEYS), F.lit(self.buckets))
-
-    def read(self, touched: list[int] | None = None) -> DataFrame:
-        try:
-            rows = self.spark.read.schema(f"{self.schema}, b INT").parquet(self.path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.schema)
-        return (rows if touched is None else rows.where(F.col("b").isin(touched))).drop("b")
-
-    def touched(self, rows: DataFrame) -> list[int]:
-        return sorted(r.b for r in rows.select(self.bucket().alias("b")).distinct().collect())
-
-    def overwrite(self, rows: DataFrame) -> None:
-        """``rows`` are all that their buckets hold from now on."""
-        salted = rows.withColumn("b", self.bucket()).repartition("b", F.pmod(F.xxhash64("_id"), F.lit(self.writers)))
-        salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("b").parquet(self.path)
-
-
 @dataclass
 class FileTarget:
     """Whole files with their content, from a log's file entries (``is_file``) and the source's ``files`` and ``chunks``.
 
-    An inserted file is assembled from its chunks; one whose chunks aren't complete is left out (``broken_files`` tells why).  A delete removes the
-    file.  Rows keep the time of their entry and the target's file id; deletes stay as rows without content.
+    An inserted file is assembled from its chunks; one whose chunks aren't complete is left out (``broken_files`` and ``judge_files`` tell why).  A delete
+    removes the file.  Rows keep the time of their entry and the target's file id; deletes stay as rows without content.  Chunks of bytes give bytes: files of more than
+    ``small`` bytes are stored by themselves below ``path/contents``.  A batch writes a folder of its own, and the newest row of each file counts when
+    the table is read, so a batch that breaks off or runs again changes nothing else.
     """
 
     spark: SparkSession
@@ -110,26 +77,29 @@ class FileTarget:
     chunks: DataFrame
     name: str = "files"
     buckets: int = 64
+    small: int = SMALL_BYTES
 
-    @property
-    def table(self) -> Bucketed:
-        return Bucketed(self.spark, f"{self.path}/files", FILE_SCHEMA, self.buckets)
+    def table(self) -> DataFrame:
+        """The newest row of each file, deleted ones included."""
+        schema = BINARY_FILE_SCHEMA if is_binary(self.chunks) else FILE_SCHEMA
+        schema = schema.replace(", _id BIGINT, gridfs_id BIGINT", ", _id {0}, gridfs_id {0}".format(self.files.schema["_id"].dataType.simpleString()))
+        done = [f"{self.path}/{n}" for n in listed(self.spark, self.path) if number(n)]
+        return newest(self.spark.read.schema(schema).parquet(*done)) if done else self.spark.createDataFrame([], schema)
 
     def contents(self) -> DataFrame:
         """The files there are."""
-        return self.table.read().where("not deleted").drop("deleted")
+        return self.table().where("not deleted").drop("deleted")
 
     def apply(self, log: DataFrame, batch_id: int) -> None:
         own = log.where("is_file and op in ('i', 'd')")
-        if touched := self.table.touched(own):
-            before, rows = self.table.read(touched), apply_files(own, self.files, self.chunks)
-            self.table.overwrite(newest(before.unionByName(rows)))
+        rows = apply_files(own, self.files, self.chunks, f"{self.path}/contents", self.small)
+        rows.write.parquet(f"{self.path}/changes-{1 + max(map(number, begun(self.spark, self.path)), default=0):010d}")
 
     def search(self, start: int, end: int) -> DataFrame:
-        return search_range(self.table.read(), start, end)
+        return search_range(self.table(), start, end)
 
     def last(self) -> DataFrame:
-        return last_doc(self.table.read())
+        return last_doc(self.table())
 
 
 @dataclass
