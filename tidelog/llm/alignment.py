@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,10 +193,12 @@ def align_texts(df: DataFrame, a_path: str, b_path: str, text: str = "text") ->
         for part in pieces(parts, len(rest)):
             if known.memo.full:
                 known = Aligned(vocabularies)
-            texts = part.column(len(rest)).to_pylist()
-            stretches = [known.memo.numbers(b" " + t.encode(), starts) if t else [] for t in texts]
+            texts = part.column(len(rest)).cast(pa.large_string()).fill_null("")
+            space, none = (pa.scalar(s, pa.large_string()) for s in (" ", ""))
+            spaced = pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(space, texts, none))
+            numbers, lengths = known.memo.numbers(spaced, starts)
             known.learn()
-            numbers, lengths = flattened(stretches)
+            every, ends = numbers.tolist(), np.append(0, np.cumsum(lengths)).tolist()
             row = np.repeat(np.arange(len(texts)), lengths)
             wrong = np.zeros(len(texts), dtype=bool)
             wrong[row[~known.right[0][numbers]]] = True
@@ -203,7 +206,9 @@ def align_texts(df: DataFrame, a_path: str, b_path: str, text: str = "text") ->
             numbers, row = numbers[kept], row[kept]
             # bincount adds as float64, exact below 2^53
             sums = [np.bincount(row, known.counts[0][numbers, c], minlength=len(texts)).astype(np.int64) for c in range(4)]
-            digests = [hashlib.sha256(b";".join(map(known.texts.__getitem__, own))).hexdigest() if own and not bad else "" for own, bad in zip(stretches, wrong.tolist())]
+            digests = [
+                hashlib.sha256(b";".join(map(known.texts.__getitem__, every[i:j]))).hexdigest() if j > i and not bad else "" for i, j, bad in zip(ends, ends[1:], wrong.tolist())
+            ]
             cells, times = np.unique(row * len(known.texts) + numbers, return_counts=True) if len(row) else (row, row)
             which, owner = cells % max(1, len(known.texts)), cells // max(1, len(known.texts))
             pairs, sizes = known.pairs.take(which)

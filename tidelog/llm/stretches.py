@@ -7,9 +7,11 @@ again, so most of the work is looking stretches up; a text without blanks is one
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 BLANKS = b" \t\n\x0b\x0c\r"
 # Last bytes of the characters of more than one byte that Unicode counts as white space; after these nothing is cut.
@@ -37,11 +39,33 @@ class Memo(dict):
     def full(self) -> bool:
         return len(self) > MOST or self.bytes > MOST_BYTES
 
-    def numbers(self, data: bytes, starts_at: np.ndarray) -> list[int]:
-        """The numbers of a text's stretches; ``starts_at`` says of every byte value whether a stretch may begin there."""
-        at = np.frombuffer(data, dtype=np.uint8)
-        cuts = (np.flatnonzero(starts_at[at[1:]] & FIRM[at[:-1]]) + 1).tolist()
-        return list(map(self.__getitem__, map(data.__getitem__, map(slice, [0, *cuts], [*cuts, len(data)])))) if data else []
+    def numbers(self, texts: pa.Array, starts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the stretches of all texts, how many each text has); ``starts_at`` says of every byte value whether a stretch may begin there.
+
+        Null and empty texts have none.  Equal stretches of a batch are found by Arrow, so only distinct ones are looked up here.
+        """
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2] if offsets[-1] > offsets[0] else None
+        if data is None:
+            return np.empty(0, dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+        at = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
+        begun = np.zeros(len(at) + 1, dtype=bool)
+        begun[1:-1] = starts_at[at[1:]] & FIRM[at[:-1]]
+        begun[offsets - offsets[0]] = True
+        bounds = np.flatnonzero(begun) + offsets[0]
+        cells = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype("<i8").tobytes()), data]).dictionary_encode()
+        own = np.fromiter(map(self.__getitem__, slices(cells.dictionary)), dtype=np.int64, count=len(cells.dictionary))
+        places = np.searchsorted(bounds, offsets)
+        return own[cells.indices.to_numpy()], places[1:] - places[:-1]
+
+
+def slices(cells: pa.Array) -> Iterator[bytes]:
+    """The values of a large binary array without nulls."""
+    ends = np.frombuffer(cells.buffers()[1], dtype=np.int64)[cells.offset : cells.offset + len(cells) + 1]
+    data = cells.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes()
+    ends = (ends - ends[0]).tolist()
+    return map(data.__getitem__, map(slice, ends, ends[1:]))
 
 
 def begins(blanks: bytes) -> np.ndarray:

@@ -249,7 +249,7 @@ def encode_texts(df: DataFrame, tokenizer: str, end_id: int | None = None, key:
         for part in pieces(parts, 1):
             if memo.full:
                 memo, pool = Memo(), Pool()
-            numbers, lengths = flattened([memo.numbers(t.encode(), starts) if t else [] for t in part.column(1).to_pylist()])
+            numbers, lengths = memo.numbers(part.column(1), starts)
             fresh, memo.fresh = memo.fresh, []
             for k in range(0, len(fresh), AT_ONCE):
                 pool.add(*flattened([e.ids for e in model.encode_batch([s.decode() for s in fresh[k : k + AT_ONCE]], add_special_tokens=False)]))
