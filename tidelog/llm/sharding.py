@@ -30,7 +30,7 @@ LIMIT_BYTES = 64 << 20
 QUERY_LIMIT_BYTES = 64 << 10
 HASH_BITS = 60
 STEP = 3
-LEVELS = 4
+LEVELS = 10
 BROADCAST_BYTES = 64 << 20
 
 
