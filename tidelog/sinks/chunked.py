@@ -5,7 +5,7 @@ has already, where rows only insert): the others of the chunk are written, the r
 a task holds a row for each of its chunks, and the commit writes them all to ``outcomes``: (task, chunk, rows, written, duplicates).
 
 The store here is a folder: a chunk is one file of JSON lines, its name the task's and the chunk's number and the attempt; the commit publishes the names of the attempts that
-counted in ``_chunks.json``, and readers look at nothing else, so lost or repeated tasks leave nothing behind that counts.  Other stores (a service's bulk
+counted in ``chunks.list``, and readers look at nothing else, so lost or repeated tasks leave nothing behind that counts.  Other stores (a service's bulk
 calls) are subclasses of ``Store``.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 CHUNK_SIZE = 1000
-LISTED = "_chunks.json"
+LISTED = "chunks.list"
 OUTCOMES = "task int, chunk int, rows int, written int, duplicates int, file string"
 
 

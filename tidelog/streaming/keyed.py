@@ -1,7 +1,7 @@
 """Documents as the keyed state of a stream, for what must react to each change as it comes.
 
 ``transformWithState`` keeps, for each (ns, _id), one value: ``document`` (doc as JSON text, ts, deleted).  It lives in RocksDB on the executors and is
-checkpointed with the stream, so a restart goes on where it stopped; a tombstone expires after ``keep_deleted`` (a time to live), a document never.
+checkpointed with the stream, so a restart goes on where it stopped; a tombstone may expire (``keep_deleted``, a time to live), a document never.
 Each batch emits the documents it changed and the entries it couldn't apply, from one shuffle by key.  A document's entries of one batch are applied
 in order of time; entries at or before its time are skipped, so entries that come again change nothing.
 
@@ -22,6 +22,7 @@ from tidelog.operators.replay import UpdateError, apply_delta, is_change, kind
 
 STATE = "doc string, ts long, deleted boolean"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+Changed = Row("ns", "_id", "doc", "ts", "deleted", "reason")
 #: The setting that names where state is kept; transformWithState needs RocksDB.
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -29,12 +30,12 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 class Documents(StatefulProcessor):
     """Applies entries (ts, kind, o, set, unset; values as JSON text) to the document of their key."""
 
-    def __init__(self, keep_deleted: int):
+    def __init__(self, keep_deleted: int | None):
         self.keep_deleted = keep_deleted
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.document = handle.getValueState("document", STATE)
-        self.tombstone = handle.getValueState("tombstone", "ts long", self.keep_deleted)
+        self.tombstone = handle.getValueState("tombstone", "ts long", *([] if self.keep_deleted is None else [self.keep_deleted]))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         held, gone = self.document.get(), self.tombstone.get()
@@ -48,12 +49,12 @@ class Documents(StatefulProcessor):
             elif entry.kind != "delta":
                 doc, ts, changed = json.loads(entry.o), entry.ts, True
             elif doc is None:
-                yield Row(*key, None, entry.ts, None, "no_base")
+                yield Changed(*key, None, entry.ts, None, "no_base")
             else:
                 try:
-                    doc, ts, changed = apply_delta(doc, {k: json.loads(v) for k, v in (entry.set or {}).items()}, entry.unset), entry.ts, True
+                    doc, ts, changed = apply_delta(doc, {k: json.loads(v) for k, v in dict(entry.set or ()).items()}, entry.unset), entry.ts, True
                 except UpdateError:
-                    yield Row(*key, None, entry.ts, None, "bad_update")
+                    yield Changed(*key, None, entry.ts, None, "bad_update")
         if not changed:
             return
         if doc is None:
@@ -62,20 +63,21 @@ class Documents(StatefulProcessor):
         else:
             self.document.update((json.dumps(doc), ts, False))
             self.tombstone.clear()
-        yield Row(*key, None if doc is None else json.dumps(doc), ts, doc is None, None)
+        yield Changed(*key, None if doc is None else json.dumps(doc), ts, doc is None, None)
 
     def close(self) -> None:
         pass
 
 
-def documents(stream: DataFrame, keep_deleted: int = 7 * 24 * 3600 * 1000) -> DataFrame:
+def documents(stream: DataFrame, keep_deleted: int | None = None) -> DataFrame:
     """A stream of (ns, _id, doc, ts, deleted, reason): each batch's changed documents (reason null), and entries that can't be applied.
 
-    ``keep_deleted`` is in milliseconds.  Needs ``PROVIDER`` set to ``ROCKSDB``.
+    ``keep_deleted`` is in milliseconds; with it the stream keeps looking at the clock, so it never ends by itself and suits triggers that go on.
+    Without it, tombstones stay.  Needs ``PROVIDER`` set to ``ROCKSDB``.
     """
     key = stream.schema["_id"].dataType.simpleString()
     rows = stream.where(is_change()).select(
         "ns", "_id", "ts", kind().alias("kind"), F.to_json("o").alias("o"), F.transform_values("set", lambda _, v: F.to_json(v)).alias("set"), "unset"
     )
     out = f"ns string, _id {key}, doc string, ts long, deleted boolean, reason string"
-    return rows.groupBy("ns", "_id").transformWithState(Documents(keep_deleted), out, outputMode="Update", timeMode="ProcessingTime")
+    return rows.groupBy("ns", "_id").transformWithState(Documents(keep_deleted), out, outputMode="Update", timeMode="None" if keep_deleted is None else "ProcessingTime")
