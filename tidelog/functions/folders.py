@@ -37,6 +37,13 @@ def begun(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in store.listStatus(at) if s.isDirectory()) if store.exists(at) else []
 
 
+def files_in(spark: SparkSession, path: str) -> int:
+    """How many files of data a folder has."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sum(s.isFile() and not s.getPath().getName().startswith(("_", ".")) for s in store.listStatus(at))
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes a folder and what is in it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.folders import files_in
 from tidelog.functions.folders import scratch as folder
 from tidelog.operators import files
 from tidelog.operators.replay import is_whole, latest_per_key, replay_flat, visible
@@ -24,14 +25,29 @@ def scratch(spark: SparkSession) -> str:
     return folder(spark, "stream")
 
 
+#: Entries of a file of a stored log, about.
+FILE_ROWS = 1 << 17
+
+
 def stored_stream(spark: SparkSession, sf_dir: str, base: str, parts: int = 3, more: DataFrame | None = None, log: DataFrame | None = None, key: str = "BIGINT") -> DataFrame:
-    """The log (and ``more`` entries) in ``parts`` files by event_id, as a stream of one file a batch."""
+    """The log (and ``more`` entries) in ``parts`` stretches of event_id, as a stream of one stretch a batch.
+
+    A stretch has a file for each ``FILE_ROWS`` of its numbers, written and read by so many tasks.  A file that would have no entry is written without any, since a batch takes files by
+    their number.
+    """
     log, n = change_log(spark, sf_dir) if log is None else log, n_events(spark, sf_dir)
     log = log if more is None else log.unionByName(more)
+    count, written = max(1, -(-n // (parts * FILE_ROWS))), 0
     for k in range(parts):
-        part = log.where((F.col("event_id") >= n * k // parts) & (F.col("event_id") < n * (k + 1) // parts))
-        part.coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(f"{base}/log")
-    return log_stream(spark, f"{base}/log", files_per_batch=1, key=key)
+        low, high = (n * j // parts for j in (k, k + 1))
+        part = log.where((F.col("event_id") >= low) & (F.col("event_id") < high))
+        place = F.floor((F.col("event_id") - low) * count / (high - low)).cast("int")
+        dealt = part.coalesce(1) if count == 1 else part.repartitionById(count, place)
+        dealt.sortWithinPartitions("ts").write.mode("append").parquet(f"{base}/log")
+        written += count
+        for _ in range(written - files_in(spark, f"{base}/log")):
+            part.where("false").coalesce(1).write.mode("append").parquet(f"{base}/log")
+    return log_stream(spark, f"{base}/log", files_per_batch=count, key=key)
 
 
 def run(spark: SparkSession, stream: DataFrame, targets: list, base: str, name: str = "run") -> None:

@@ -124,9 +124,10 @@ class JsonTarget:
 
 
 def fan_out(log: DataFrame, targets: Iterable[Target], batch_id: int) -> list[tuple[str, str | None]]:
-    """Applies a batch to every target, in order; a failure on one doesn't stop the others.  Returns (name, error)."""
+    """Applies a batch to every target, in order; a failure on one doesn't stop the others.  Returns (name, error).  What only one target takes isn't kept."""
     outcome: list[tuple[str, str | None]] = []
-    held = log.persist()
+    targets = list(targets)
+    held = log.persist() if len(targets) > 1 else log
     try:
         for target in targets:
             try:
@@ -135,5 +136,6 @@ def fan_out(log: DataFrame, targets: Iterable[Target], batch_id: int) -> list[tu
             except Exception as problem:  # noqa: BLE001  each target's failure is its own
                 outcome.append((target.name, f"{type(problem).__name__}: {problem}"[:500]))
     finally:
-        held.unpersist()
+        if len(targets) > 1:
+            held.unpersist()
     return outcome
