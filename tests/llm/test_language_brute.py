@@ -79,3 +79,25 @@ def test_rejection_is_calibrated_on_rows_apart(docs):
     texts = [r.text for r in docs.where(language_id.held_out()).collect() if len(language_id.symbols(r.text)) > 40]
     assert model.predict(texts).accepted.all()
     assert not model.predict([language_id.shuffled(t) for t in texts]).accepted.any()
+
+
+def test_limits_come_from_all_rows(docs):
+    """Each row is judged by the half it isn't in; no row is left out."""
+    from pyspark.sql import functions as F
+
+    train = docs.where(~language_id.held_out()).select("text", "lang")
+    model = language_id.train(train)
+    rows = [(r.text, r.lang, r.half) for r in train.where("lang is not null").withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2))).collect() if len(language_id.symbols(r.text))]
+    alphabets = [len({c for t, _, h in rows if h != half for c in language_id.symbols(t).tolist()} | {32}) + 1 for half in (0, 1)]
+    for name, limit in zip(model.languages, model.limits):
+        own, other = [], []
+        for half in (0, 1):
+            gram, n = np.unique(language_id.grams([language_id.symbols(t) for t, lang, h in rows if lang == name and h != half]), return_counts=True)
+            judge = language_id.LanguageModel([name], [language_id.KneserNey(gram, n, alphabets[half])])
+            texts = [t for t, lang, h in rows if lang == name and h == half]
+            for found, every in ((own, texts), (other, [language_id.shuffled(t) for t in texts])):
+                sizes, cross = judge.entropies(every)
+                found += (cross[:, 0] - language_id.SYMBOL_SPREAD / np.sqrt(sizes)).tolist()
+        rank = lambda values, share: sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+        least, most = rank(own, language_id.QUANTILE), rank(other, 1 - language_id.QUANTILE)
+        assert math.isclose(limit, max(least, (least + most) / 2), rel_tol=1e-4)

@@ -17,9 +17,9 @@ column of interpolated log-probabilities for each; a 4-gram that is not there is
 the lower orders.  The language of least cross-entropy per symbol wins; of equal ones the first by name.
 
 Rejection: a text is accepted if that cross-entropy, less an allowance for short texts that falls with the root of their length, is at most
-the language's limit.  Limits are calibrated with a model without the calibration rows, about ``CALIBRATION`` of each language (a fifth of its rows
-at most): half way between what ``QUANTILE`` of them stay below and what ``QUANTILE`` of the same texts with their letters shuffled stay above.
-A language without such rows has no limit.
+the language's limit.  Limits are calibrated on all training rows, each with a model of the half of them that it isn't in (halves by the text's hash, so
+copies stay together): half way between what ``QUANTILE`` of them stay below and what ``QUANTILE`` of the same texts with their letters shuffled stay above.
+A language that only one half has rows of has no limit.
 
 Null texts, empty ones and those without a letter are ``und``: score 0, not accepted.  With no
 training rows at all nothing is learned: every text is ``und`` with score 0, and accepted if it
@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import cut, pieces
 
-CALIBRATION = 500
 QUANTILE = 0.999
 SYMBOL_SPREAD = 2.0
 SHARPNESS = 20.0
@@ -50,6 +49,7 @@ UNKNOWN = "und"
 SPACE = 32
 FLUSH = 1 << 20
 SCORED = 1 << 18
+REMEMBERED = 1 << 20
 
 
 @functools.cache
@@ -68,12 +68,17 @@ def symbols(text: str | None) -> np.ndarray:
         code[far] = [0xFFFF if chr(c).isalpha() else SPACE for c in code[far].tolist()]
     letter = _letters()[code] | (code == 0xFFFF)
     out = np.where(letter, code, SPACE)
+    return _single_spaces(out.astype(np.uint64))
+
+
+def _single_spaces(own: np.ndarray) -> np.ndarray:
+    """Symbols as those of a text: runs of spaces are one, none first or last."""
+    letter = own != SPACE
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    out = out[keep].astype(np.uint64)
-    if len(out) and out[0] == SPACE:
-        out = out[1:]
-    return out[:-1] if len(out) and out[-1] == SPACE else out
+    own = own[keep]
+    own = own[1:] if len(own) and own[0] == SPACE else own
+    return own[:-1] if len(own) and own[-1] == SPACE else own
 
 
 def grams(own: list[np.ndarray]) -> np.ndarray:
@@ -317,44 +322,88 @@ def _by_order(table: pa.Table, key: str, values: list[str]) -> dict[tuple[int, i
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang", max_ngrams: int | None = None) -> LanguageModel:
     """A model of all rows of ``df`` with a language."""
-    sizes = df.where(F.col(lang).isNotNull()).groupBy(F.col(lang).cast("string").alias("lang")).count().collect()
-    steps = df.sparkSession.createDataFrame([(r[0], max(5, r[1] // CALIBRATION)) for r in sizes], "__lang string, __step long")
-    stepped = df.select(text, lang).join(F.broadcast(steps), F.col(lang).cast("string") == F.col("__lang"))
-    chosen = F.pmod(F.xxhash64(text), F.col("__step")) == 0
-    counts = cut(count_grams(stepped, text, lang, chosen))
+    second = F.pmod(F.xxhash64(text), 2) == 1
+    counts = cut(count_grams(df, text, lang, second))
     model = build(counts.select("lang", "gram", "n"), max_ngrams)
     if model.models:
-        without = build(counts.select("lang", "gram", (F.col("n") - F.col("apart")).alias("n")), max_ngrams)
-        model.limits = _limits(stepped.where(chosen).select(text, "__lang"), without, model.languages)
+        halves = [build(counts.select("lang", "gram", n.alias("n")), max_ngrams) for n in (F.col("apart"), F.col("n") - F.col("apart"))]
+        model.limits = _limits(df.where(F.col(lang).isNotNull()).select(text, F.col(lang).cast("string"), second.cast("int")), halves, model.languages)
     return model
 
 
+class Remembered:
+    """Log-probabilities of one language's model; those of 4-grams it lacks are kept once they were asked for, up to REMEMBERED of them."""
+
+    def __init__(self, model: KneserNey):
+        self.model = model
+        self.own = self.keys, self.logs = model.gram, self._logs(model.gram)
+
+    def _logs(self, query: np.ndarray) -> np.ndarray:
+        return np.log(self.model.probability(query)).astype(np.float32)
+
+    def __call__(self, query: np.ndarray) -> np.ndarray:
+        place, there = _find(self.keys, query)
+        out = self.logs[place] if len(self.keys) else np.zeros(len(query), np.float32)
+        if not there.all():
+            missing = query[~there]
+            new = np.unique(missing)
+            logs = self._logs(new)
+            out[~there] = logs[np.searchsorted(new, missing)]
+            if len(self.keys) + len(new) > len(self.model.gram) + REMEMBERED:
+                self.keys, self.logs = self.own
+            keys, at = np.unique(np.concatenate([self.keys, new]), return_index=True)
+            self.keys, self.logs = keys, np.concatenate([self.logs, logs])[at]
+        return out
+
+
+def shuffled_symbols(own: np.ndarray) -> np.ndarray:
+    """Letters and spaces in another, fixed order."""
+    return np.random.default_rng(len(own)).permutation(own)
+
+
 def shuffled(text: str | None) -> str | None:
     """The text with its letters and spaces in another, fixed order."""
     own = symbols(text)
-    return "".join(map(chr, np.random.default_rng(len(own)).permutation(own).tolist())) if len(own) else text
-
-
-def _limits(sample: DataFrame, model: LanguageModel, languages: list[str]) -> np.ndarray:
-    """The limits of ``languages``, from rows (text, language) that ``model`` hasn't seen; infinite where there are none."""
-    held = sample.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("own double, other double")
-    def surplus(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
-        place = {name: k for k, name in enumerate(held.value.languages)}
-        out = {}
-        for name, every in (("own", texts.tolist()), ("other", [shuffled(t) for t in texts])):
-            sizes, cross = held.value.entropies(every)
-            known = np.array([name in place for name in langs], bool) & (sizes > 0)
-            at = cross[np.arange(len(langs)), [place.get(name, 0) for name in langs]] if place else np.zeros(len(langs))
-            out[name] = np.where(known, at - SYMBOL_SPREAD / np.sqrt(np.maximum(sizes, 1)), np.nan)
-        return pd.DataFrame(out)
-
-    text, lang = sample.columns
-    measured = cut(sample.select(F.col(lang).alias("lang"), surplus(text, lang).alias("h")))  # once, however often the columns are used
-    found = measured.where("h.own is not null and not isnan(h.own)")
-    each = found.groupBy("lang").agg(F.percentile_approx("h.own", QUANTILE, 10_000).alias("own"), F.percentile_approx("h.other", 1 - QUANTILE, 10_000).alias("other"))
+    return "".join(map(chr, shuffled_symbols(own).tolist())) if len(own) else text
+
+
+def _surplus(own: list[np.ndarray], logs: Remembered) -> np.ndarray:
+    """Each symbol array's nats per symbol, less the allowance for short texts."""
+    sizes = np.array([len(s) for s in own])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    return -np.add.reduceat(logs(grams(own)).astype(np.float64), starts) / (sizes + 1) - SYMBOL_SPREAD / np.sqrt(sizes)
+
+
+def _limits(rows: DataFrame, halves: list[LanguageModel], languages: list[str]) -> np.ndarray:
+    """The limits of ``languages``, from all rows (text, language, half); ``halves`` has the model to judge each half by.  Infinite where there are none."""
+    held = rows.sparkSession.sparkContext.broadcast([dict(zip(m.languages, m.models)) for m in halves])
+
+    def measured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {(half, name): Remembered(model) for half, models in enumerate(held.value) for name, model in models.items()}
+        waiting: dict[tuple[int, str], list[np.ndarray]] = {}
+        sizes: dict[tuple[int, str], int] = {}
+
+        def flush(kind: tuple[int, str]) -> pa.RecordBatch:
+            own = waiting.pop(kind)
+            sizes.pop(kind)
+            both = [_surplus(own, known[kind]), _surplus([_single_spaces(shuffled_symbols(s)) for s in own], known[kind])]
+            return pa.RecordBatch.from_arrays([pa.array([kind[1]] * len(own), pa.string()), *map(pa.array, both)], ["lang", "own", "other"])
+
+        for part in pieces(parts, 0):
+            for t, name, half in zip(*(part.column(k).to_pylist() for k in range(3))):
+                own, kind = symbols(t), (half, name)
+                if len(own) and kind in known:
+                    waiting.setdefault(kind, []).append(own)
+                    sizes[kind] = sizes.get(kind, 0) + len(own)
+                    if sizes[kind] > SCORED:
+                        yield flush(kind)
+        for kind in list(waiting):
+            yield flush(kind)
+
+    found = rows.mapInArrow(measured, "lang string, own double, other double")
+    each = found.groupBy("lang").agg(F.percentile_approx("own", QUANTILE, 10_000).alias("own"), F.percentile_approx("other", 1 - QUANTILE, 10_000).alias("other"))
     limits = {r.lang: max(r.own, (r.own + r.other) / 2) for r in each.collect()}
+    held.unpersist()
     return np.array([limits.get(name, np.inf) for name in languages])
 
 
