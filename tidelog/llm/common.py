@@ -60,6 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read again: smaller than a checkpoint, and there only until the path is removed."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def columns(df: DataFrame) -> list[Column]:
     """All columns, whatever characters their names have."""
     return [F.col(f"`{name}`") for name in df.columns]

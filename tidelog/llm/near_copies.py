@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import cut, pieces, scratch
+from tidelog.functions.folders import removed
+from tidelog.llm.common import cut, pieces, scratch, stored
 from tidelog.llm.components import connected_components
 from tidelog.llm.simhash import BROADCAST_BYTES, fingerprint_of, links, mark, shingle_hashes
 
@@ -154,22 +155,23 @@ def surroundings(open_: DataFrame, sets: DataFrame) -> DataFrame:
     return few.unionByName(missing)
 
 
-def remaining_pairs(open_: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): sets of different roots that can be similar by the place of their first common shingle; ``open_`` has center and sig."""
+def remaining_pairs(open_: DataFrame, roots: DataFrame, sets: DataFrame, path: str) -> DataFrame:
+    """(a, b): sets of different roots that can be similar by the place of their first common shingle; ``open_`` has center and sig.  Stores tables below ``path``."""
     up, down = SIMILAR
     rooted = open_.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     middle = surroundings(open_, sets).join(roots.withColumnRenamed("node", "center").withColumnRenamed("root", "home"), "center", "left")
     middle = middle.withColumn("home", F.coalesce("home", "center"))
     lacking, held = F.array_sort(F.array_except("shingles", "own")), F.array_sort(F.array_intersect("shingles", "own"))
     each = rooted.join(sets, "sig").join(middle, "center").select("center", "sig", "root", "home", F.size("shingles").alias("size"), F.concat(lacking, held).alias("tokens"))
-    each = cut(each)
+    each = stored(each, f"{path}/each")
     least = each.groupBy("center").agg(F.min("size").alias("least"))
     partner = F.greatest("least", F.ceil(F.col("size") * up / down))
     longest = F.col("size") - F.ceil((F.col("size") + partner) * up / (up + down)) + 1
     first = each.join(least, "center").select(
         "center", "sig", "root", "home", "size", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(longest, F.lit(0)).cast("int"))).alias("at", "token")
     )
-    first = cut(first.withColumn("left", F.col("size") - F.col("at")).drop("at"))
+    first = stored(first.withColumn("left", F.col("size") - F.col("at")).drop("at"), f"{path}/first")
+    removed(first.sparkSession, f"{path}/each")
     outside = first.where("root <> home").select("center", "token", *(F.col(c).alias(f"{c}_b") for c in ("sig", "root", "size", "left")))
     enough = F.least("left", "left_b") * (up + down) >= (F.col("size") + F.col("size_b")) * up
     fits = (F.col("size") * down >= F.col("size_b") * up) & (F.col("size_b") * down >= F.col("size") * up)
@@ -179,29 +181,31 @@ def remaining_pairs(open_: DataFrame, roots: DataFrame, sets: DataFrame) -> Data
 
 def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, __mark and component_id: the least key of all rows reachable over links."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, "shingle-bands")
+    spark, path, work = df.sparkSession, scratch(df.sparkSession, "shingle-bands"), scratch(df.sparkSession, "near-copies")
     banded(df, key, text).write.parquet(path)
     rows = spark.read.parquet(path)
     members = rows.groupBy("sig").agg(F.min("__key").alias("least"))
-    spread = cut(rows.where("size > 0").select("sig", F.explode("bands").alias("band")).distinct())
+    spread = stored(rows.where("size > 0").select("sig", F.explode("bands").alias("band")).distinct(), f"{work}/spread")
     shared = spread.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    crowd = cut(spread.join(shared, "band"))
+    crowd = stored(spread.join(shared, "band"), f"{work}/crowd")
+    removed(spark, f"{work}/spread")
     near = fingerprint_pairs(rows)
     some = small(crowd.select("sig").unionByName(near.select(F.explode(F.array("a", "b")).alias("sig"))).distinct())
     keys = small(members.join(some, "sig", "left_semi").select(F.col("least").alias(key)).distinct())
     texts = df.select(key, text).join(keys, key, "left_semi").unionByName(df.select(key, text).where(F.col(key).isNull()))
-    sets_path = scratch(spark, "shingle-sets")
-    shingle_sets(texts, text).dropDuplicates(["sig"]).write.parquet(sets_path)
-    sets = spark.read.parquet(sets_path)
+    sets = stored(shingle_sets(texts, text).dropDuplicates(["sig"]), f"{work}/sets")
     center = cut(centers(crowd))
     around = crowd.join(center, "band").where("sig <> center").select(F.col("sig").alias("a"), F.col("center").alias("b"))
     first = cut(verified(near.unionByName(around).distinct(), sets))
     roots = connected_components(first)
-    placed = cut(crowd.join(roots, F.col("sig") == F.col("node"), "left").select("band", "sig", F.coalesce("root", "sig").alias("root")))
+    placed = stored(crowd.join(roots, F.col("sig") == F.col("node"), "left").select("band", "sig", F.coalesce("root", "sig").alias("root")), f"{work}/placed")
     mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band").join(center, "band")
-    open_ = cut(placed.join(mixed, "band").select("center", "sig").distinct())
-    second = verified(remaining_pairs(open_, roots, sets), sets)
+    open_ = stored(placed.join(mixed, "band").select("center", "sig").distinct(), f"{work}/open")
+    for name in ("crowd", "placed"):
+        removed(spark, f"{work}/{name}")
+    second = verified(remaining_pairs(open_, roots, sets, work), sets)
     roots = connected_components(first.unionByName(second))
+    removed(spark, work)
     rooted = members.select("sig", "least").join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
     rooted = cut(rooted)
     named = rooted.select("sig", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sig", "component_id")
