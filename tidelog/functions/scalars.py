@@ -21,12 +21,13 @@ def ts_increment(ts: Column) -> Column:
 
 def ns_db(ns: Column) -> Column:
     """Before the first dot; a namespace without one is its own database."""
-    return F.split(ns, r"\.", 2)[0]
+    return F.substring_index(ns, ".", 1)
 
 
 def ns_coll(ns: Column) -> Column:
     """After the first dot (collections may hold more dots); null without one."""
-    return F.get(F.split(ns, r"\.", 2), F.lit(1))
+    dot = F.instr(ns, ".")
+    return F.when(dot > 0, F.substr(ns, dot + 1))
 
 
 def json_path(path: str) -> str:

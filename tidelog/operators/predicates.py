@@ -43,7 +43,8 @@ def is_command() -> Column:
 
 def data_ns() -> Column:
     """The namespace without the suffix of file collections."""
-    return F.regexp_replace("ns", r"\.files\z", "")
+    ns = F.col("ns")
+    return F.when(is_file(), F.left(ns, F.length(ns) - len(".files"))).otherwise(ns)
 
 
 def skip_reason(rules: Rules) -> Column:

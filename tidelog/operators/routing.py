@@ -46,16 +46,32 @@ def ns_regex(pattern: str) -> str:
     return r"\A" + part(db, "([^.]*)") + re.escape(dot) + part(coll, "(.*)") + r"\z"
 
 
+def around_star(pattern: str) -> tuple[str, str] | None:
+    """What is before and after the only ``*`` of a pattern that has it in the collection, where it stands for anything; None for other patterns."""
+    before, _, after = pattern.partition("*")
+    return (before, after) if "." in before and pattern.count("*") == 1 else None
+
+
 def matches(ns: Column, pattern: str) -> Column:
-    return ns.rlike("(?s)" + ns_regex(pattern)) if "*" in pattern else ns == pattern
+    """Whether a namespace is one of a pattern's; most patterns need no regular expression, which would be most of what routing costs."""
+    if "*" not in pattern:
+        return ns == pattern
+    if (ends := around_star(pattern)) is None:
+        return ns.rlike("(?s)" + ns_regex(pattern))
+    before, after = ends
+    return ns.startswith(before) & ns.endswith(after) & (F.length(ns) >= len(before + after)) if after else ns.startswith(before)
 
 
 def renamed(ns: Column, source: str, dest: str) -> Column:
-    """``dest`` with its ``*`` replaced by what the source's matched."""
+    """``dest`` with its ``*`` replaced by what the source's matched; for namespaces that ``source`` matches."""
     if "*" not in dest:
         return F.lit(dest)
     before, _, after = dest.partition("*")
-    return F.concat(F.lit(before), F.regexp_extract(ns, "(?s)" + ns_regex(source), 1), F.lit(after))
+    if (ends := around_star(source)) is None:
+        matched = F.regexp_extract(ns, "(?s)" + ns_regex(source), 1)
+    else:
+        matched = F.substring(ns, F.lit(len(ends[0]) + 1), F.length(ns) - len(ends[0] + ends[1]))
+    return F.concat(F.lit(before), matched, F.lit(after))
 
 
 @dataclass(frozen=True)
