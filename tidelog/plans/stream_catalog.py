@@ -15,7 +15,7 @@ from tidelog.plans.replicate import RULES
 from tidelog.sinks.chunked import read_chunks, write_chunks
 from tidelog.sinks.targets import FileTarget, JsonTarget, ParquetTarget
 from tidelog.sources.change_log import DATA_COLLECTIONS, change_log, data_entries, n_events
-from tidelog.streaming.keyed import PROVIDER, ROCKSDB, documents
+from tidelog.streaming.keyed import PARTITIONS, PROVIDER, ROCKSDB, documents
 from tidelog.streaming.tail import Monitor, Watch, counted, latest_entries, log_stream, read_progress, tail, tail_logs
 
 FLAT = ", s AS (" + flat_sql("data") + ") SELECT * FROM s"
@@ -328,17 +328,25 @@ def judge_binary_files(spark, sf_dir):
 def stream_documents(spark, sf_dir):
     """Documents as keyed state; the newest row each key's changes gave, over two runs of one checkpoint."""
     base = scratch(spark)
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    own = {PROVIDER: ROCKSDB, PARTITIONS: state_partitions(spark, n_events(spark, sf_dir))}
+    before = {name: spark.conf.get(name) for name in own}
     try:
+        for name, value in own.items():
+            spark.conf.set(name, value)
         keyed_run(spark, sf_dir, base)
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     rows = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out/batch=*").where("reason is null")
     newest = latest_per_key(rows.drop("batch", "reason"), ["ns", "_id"], "ts")
     return shown(newest.select("ns", "_id", F.parse_json("doc").alias("doc"), F.col("ts").alias("_ts"), "deleted"))
 
 
+def state_partitions(spark: SparkSession, entries: int) -> int:
+    """Partitions of keyed state: one for about ``FILE_ROWS`` entries, at least one a core.  Each costs a task with a Python worker and a store to open in every batch."""
+    return max(spark.sparkContext.defaultParallelism, -(-entries // FILE_ROWS))
+
+
 def keyed_run(spark: SparkSession, sf_dir: str, base: str) -> None:
     """The log's data entries through keyed state, in two runs; a batch's changes go to ``out/batch=<n>``."""
     stream = stored_stream(spark, sf_dir, base, parts=2)

@@ -25,6 +25,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 Changed = Row("ns", "_id", "doc", "ts", "deleted", "reason")
 #: The setting that names where state is kept; transformWithState needs RocksDB.
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: The setting that says how many partitions the state gets; a checkpoint keeps what it began with.
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 class Documents(StatefulProcessor):
