@@ -1,8 +1,12 @@
 """What stream queries shouldn't do: open more stores than they have entries for, sort what can be hashed, read a mirror twice."""
 
+import tempfile
+
 import pytest
 
 from tidelog.plans import stream_catalog
+from tidelog.sinks.targets import JsonTarget
+from tidelog.sources.change_log import change_log
 from tidelog.streaming.keyed import PARTITIONS, PROVIDER, ROCKSDB
 
 
@@ -21,3 +25,15 @@ def test_state_has_partitions_for_its_entries(spark, sf_dir, monkeypatch):
         stream_catalog.stream_documents(spark, sf_dir)
     assert seen == [(ROCKSDB, str(-(-stream_catalog.n_events(spark, sf_dir) // 10)))]
     assert (spark.conf.get(PROVIDER), spark.conf.get(PARTITIONS)) == before
+
+
+def test_a_mirror_of_known_columns_is_read_once(spark, sf_dir):
+    target = JsonTarget(spark, tempfile.mkdtemp(prefix="spark-"))
+    target.apply(change_log(spark, sf_dir), 0)
+    spark.sparkContext.setJobGroup("mirror", "mirror")
+    try:
+        entries = target.entries("ts BIGINT")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("mirror")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert entries.count() == target.entries().count() > 0

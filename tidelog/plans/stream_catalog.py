@@ -140,7 +140,7 @@ def fan_out(spark, sf_dir):
     base = scratch(spark)
     both = [ParquetTarget(spark, f"{base}/state"), JsonTarget(spark, f"{base}/mirror")]
     run(spark, stored_stream(spark, sf_dir, base), both, base)
-    counts = [t.agg(F.count("*").alias("n")).withColumn("target", F.lit(name)) for name, t in (("parquet", both[0].state()), ("json", both[1].entries()))]
+    counts = [t.agg(F.count("*").alias("n")).withColumn("target", F.lit(name)) for name, t in (("parquet", both[0].state()), ("json", both[1].entries("ts BIGINT")))]
     return counts[0].unionByName(counts[1])
 
 

@@ -113,8 +113,10 @@ class JsonTarget:
     def apply(self, log: DataFrame, batch_id: int) -> None:
         log.withColumn("o", F.to_json("o")).withColumn("set", F.to_json("set")).write.mode("overwrite").json(f"{self.path}/batch={batch_id}")
 
-    def entries(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).json(f"{self.path}/batch=*")
+    def entries(self, schema: str | None = None) -> DataFrame:
+        """The entries written; with a ``schema`` the lines aren't read a first time to find one."""
+        reader = self.spark.read.option("basePath", self.path)
+        return (reader.schema(schema) if schema else reader).json(f"{self.path}/batch=*")
 
     def search(self, start: int, end: int) -> DataFrame:
         return self.entries().where(F.col("ts").between(start, end))
