@@ -4,12 +4,18 @@ import tempfile
 
 import pytest
 
+from tidelog.operators.replay import orphans
 from tidelog.plans import stream_catalog
 from tidelog.sinks.targets import JsonTarget
-from tidelog.sources.change_log import change_log
+from tidelog.sources.change_log import change_log, data_entries
 from tidelog.streaming.keyed import PARTITIONS, PROVIDER, ROCKSDB
 
 
+def test_orphans_are_grouped_by_hash(spark, sf_dir):
+    plan = orphans(data_entries(change_log(spark, sf_dir)))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_state_has_partitions_for_its_entries(spark, sf_dir, monkeypatch):
     cores, seen = spark.sparkContext.defaultParallelism, []
     assert stream_catalog.state_partitions(spark, 1) == cores and stream_catalog.state_partitions(spark, 100 * (1 << 17)) == 100

@@ -141,13 +141,14 @@ def orphans(log: DataFrame) -> DataFrame:
     dealt = own.withColumn("part", F.size(F.filter(cuts, lambda c: F.col("ts") > c)))
     barrier = F.col("kind") != "delta"
     ends = dealt.groupBy(*KEYS, "part").agg(
-        F.max_by(F.when(barrier, F.col("kind")), F.when(barrier, F.col("ts"))).alias("end"), F.max(F.when(F.col("held"), F.col("ts"))).alias("held_ts")
+        # a flag and not the kind, so that Spark groups by hash: texts would be sorted
+        F.max_by(F.when(barrier, F.col("kind") == "delete"), F.when(barrier, F.col("ts"))).alias("end"), F.max(F.when(F.col("held"), F.col("ts"))).alias("held_ts")
     )
     document = Window.partitionBy(*KEYS)
     before = document.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    null = F.lit(None)
+    null, gone = F.lit(None), F.last("end", ignorenulls=True).over(before)
     carried = ends.select(
-        *KEYS, null.cast("long").alias("ts"), null.cast("string").alias("op"), F.last("end", ignorenulls=True).over(before).alias("kind"),
+        *KEYS, null.cast("long").alias("ts"), null.cast("string").alias("op"), F.when(gone, "delete").when(~gone, "insert").alias("kind"),
         "part", F.max("held_ts").over(document).alias("held_ts"),
     )
     rows = carried.unionByName(dealt.drop("held").withColumn("held_ts", null.cast("long")))
