@@ -3,6 +3,8 @@
 A stretch begins at a blank that follows a character which surely isn't white space, so it holds its blanks and the word behind them.  The tokenizers
 used here never join what lies on both sides of such a place: a text's ids are those of its stretches, one after the other.  Words come again and
 again, so most of the work is looking stretches up; a text without blanks is one stretch.
+
+For tokenizers that also never join a letter and a mark, ``apart`` names marks at which words end as well, so that a word is one stretch whatever follows it.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ BLANKS = b" \t\n\x0b\x0c\r"
 # Last bytes of the characters of more than one byte that Unicode counts as white space; after these nothing is cut.
 UNSURE = {*range(0x80, 0x8B), 0x85, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF}
 FIRM = np.array([0x20 < b != 0x7F and b not in UNSURE for b in range(256)])
+LETTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+#: First byte of U+00C0 to U+00FF, and second bytes of those two of them that aren't letters.
+LATIN, SIGNS = 0xC3, (0x97, 0xB7)
 #: A memo of more stretches, or of more bytes of them, begins anew with the next batch.
 MOST, MOST_BYTES = 3 << 17, 24 << 20
 
@@ -24,8 +29,9 @@ MOST, MOST_BYTES = 3 << 17, 24 << 20
 class Memo(dict):
     """Numbers of distinct stretches, in the order they come; ``fresh`` are those not worked on yet."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int = MOST, most_bytes: int = MOST_BYTES) -> None:
         super().__init__()
+        self.most, self.most_bytes = most, most_bytes
         self.fresh: list[bytes] = []
         self.bytes = 0
 
@@ -37,10 +43,11 @@ class Memo(dict):
 
     @property
     def full(self) -> bool:
-        return len(self) > MOST or self.bytes > MOST_BYTES
+        return len(self) > self.most or self.bytes > self.most_bytes
 
-    def numbers(self, texts: pa.Array, starts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of the stretches of all texts, how many each text has); ``starts_at`` says of every byte value whether a stretch may begin there.
+    def numbers(self, texts: pa.Array, starts_at: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the stretches of all texts, how many each text has); ``starts_at`` says of every byte value whether a stretch may begin there,
+        ``apart`` (``marks_apart``) which are letters and which are marks that a stretch doesn't hold together with them.
 
         Null and empty texts have none.  Equal stretches of a batch are found by Arrow, so only distinct ones are looked up here.
         """
@@ -52,6 +59,13 @@ class Memo(dict):
         at = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
         begun = np.zeros(len(at) + 1, dtype=bool)
         begun[1:-1] = starts_at[at[1:]] & FIRM[at[:-1]]
+        if apart is not None:
+            kind = apart[at]
+            first = np.flatnonzero(at == LATIN)
+            first = first[~np.isin(at[first + 1], SIGNS)]
+            kind[first] = kind[first + 1] = LETTER
+            begun[1:-1] |= kind[1:] + kind[:-1] == LETTER + MARK
+            begun[first[first + 2 < len(at)] + 2] |= starts_at[at[first[first + 2 < len(at)] + 2]]  # these letters aren't white space
         begun[offsets - offsets[0]] = True
         bounds = np.flatnonzero(begun) + offsets[0]
         cells = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype("<i8").tobytes()), data]).dictionary_encode()
@@ -75,6 +89,17 @@ def begins(blanks: bytes) -> np.ndarray:
     return out
 
 
+LETTER, MARK = 1, 2
+
+
+def marks_apart(but: bytes) -> np.ndarray:
+    """Of every byte value, whether it is a letter or a mark; neither are those of ``but``, digits, and whatever isn't ASCII."""
+    out = np.zeros(256, dtype=np.uint8)
+    out[[b for b in range(0x21, 0x7F) if b not in b"0123456789" and b not in but]] = MARK
+    out[list(LETTERS)] = LETTER
+    return out
+
+
 def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """(values, lengths) of several lists."""
     lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))

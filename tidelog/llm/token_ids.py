@@ -1,9 +1,10 @@
 """Token ids of documents in files of their own format, as a Spark data source.
 
-``df.write.format("token_ids")`` takes rows (key, ids as little-endian unsigned 32-bit integers) and writes one file a task, in the order of rows;
+``df.write.format("token_ids")`` takes rows (key, ids as little-endian unsigned 32-bit integers), or (key, text) and a tokenizer, and writes one file a task,
+in the order of rows;
 ``spark.read.format("token_ids")`` gives back (key, start, n_tokens, ids), where start counts the ids of all rows before.
 
-A file holds blocks of ids, coded by ``range_coder`` independently of each other, each with its number of ids, its length and the CRC-32 of
+A file holds blocks of up to ``range_coder.BLOCK`` ids, coded independently of each other, each with its number of ids, its length and the CRC-32 of
 its ids; then a table of its rows (keys, which of them are null, how many ids) with a CRC-32; then where that table begins.  A failed checksum raises.
 
 Tasks write to names of their own attempt, and the commit lists the files of the attempts that counted in ``_files.json``, in the order of tasks, with the
@@ -14,10 +15,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,17 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from tidelog.llm import range_coder
 from tidelog.llm.common import pieces, scratch
-from tidelog.llm.stretches import BLANKS, Memo, Pool, begins, flattened
+from tidelog.llm.stretches import BLANKS, Memo, Pool, begins, marks_apart
 
-MAGIC, LISTED = b"TOKENID1", "_files.json"
+MAGIC, LISTED = b"TOKENID2", "_files.json"
 HEAD, BLOCK_HEAD, TAIL = "<8sII", "<III", "<QI8s"
 #: So many stretches are encoded at once.
-AT_ONCE = 4096
+AT_ONCE = 1 << 15
+#: A worker process keeps what it learnt for its next tasks, up to so many stretches, or bytes of them.
+KEPT, KEPT_BYTES = 3 << 18, 48 << 20
+APOSTROPHE = "'"
+#: Letters of Latin scripts, each one character.
+ALPHABET = "".join(c for c in map(chr, [*range(0x41, 0x7B), *range(0xC0, 0x250)]) if c.isalpha())
 SCHEMA = "key long, start long, n_tokens long, ids binary"
 
 
@@ -52,11 +60,10 @@ def store_of(path: str):
 
 
 class FileWriter:
-    """One file: ids are kept until there is a full set of blocks."""
+    """One file: ids are kept until there is a full block."""
 
     def __init__(self, out, vocabulary: int):
         self.out, self.vocabulary, self.size = out, vocabulary, 0
-        self.lanes = range_coder.lanes_for(vocabulary)
         self.waiting: list[np.ndarray] = []
         self.held = self.ids = 0
         self.keys: list[pa.Array] = []
@@ -72,14 +79,23 @@ class FileWriter:
         lengths = pa.compute.fill_null(pa.compute.binary_length(cells), 0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
         self.lengths.append(lengths)
         for cell in cells:
-            own = np.frombuffer(cell.as_buffer() or b"", dtype="<u4") if cell.is_valid else np.empty(0, dtype="<u4")
-            while len(own):
-                room = self.lanes * range_coder.BLOCK - self.held
-                self.waiting.append(own[:room])
-                self.held += len(own[:room])
-                own = own[room:]
-                if self.held == self.lanes * range_coder.BLOCK:
-                    self.flush()
+            if cell.is_valid:
+                self.keep(np.frombuffer(cell.as_buffer(), dtype="<u4"))
+
+    def put(self, keys: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Rows whose ids stand one behind the other."""
+        self.keys.append(keys.cast(pa.int64()))
+        self.lengths.append(lengths)
+        self.keep(ids)
+
+    def keep(self, ids: np.ndarray) -> None:
+        while len(ids):
+            room = range_coder.BLOCK - self.held
+            self.waiting.append(ids[:room])
+            self.held += len(ids[:room])
+            ids = ids[room:]
+            if self.held == range_coder.BLOCK:
+                self.flush()
 
     def flush(self) -> None:
         ids = np.concatenate([np.empty(0, dtype="<u4"), *self.waiting])
@@ -88,13 +104,8 @@ class FileWriter:
             return
         if int(ids.max()) >= self.vocabulary:
             raise ValueError(f"id {ids.max()} isn't below {self.vocabulary}")
-        n = range_coder.BLOCK
-        lanes = -(-len(ids) // n)
-        blocks = np.zeros(lanes * n, dtype="<u4")
-        blocks[: len(ids)] = ids
-        for k, code in enumerate(range_coder.encode(blocks.reshape(lanes, n), self.vocabulary)):
-            own = ids[k * n : (k + 1) * n]
-            self.write(struct.pack(BLOCK_HEAD, len(own), len(code), zlib.crc32(own.tobytes())) + code)
+        (code,) = range_coder.encode(ids.reshape(1, -1), self.vocabulary)
+        self.write(struct.pack(BLOCK_HEAD, len(ids), len(code), zlib.crc32(ids.tobytes())) + code)
 
     def close(self) -> tuple[int, int]:
         """Ends the file; gives how many rows and ids it has."""
@@ -132,23 +143,18 @@ def read_file(stream, start: int) -> Iterator[pa.RecordBatch]:
         columns = [pa.array(keys[first:last], mask=nulls[first:last]), pa.array(start + ends[first:last] - own), pa.array(own), cells.cast(pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["key", "start", "n_tokens", "ids"])
 
-    while True:
-        counts, codes, checksums = [], [], []
-        while at < begun and len(codes) < range_coder.lanes_for(vocabulary):
-            count, length, crc = struct.unpack(BLOCK_HEAD, stream.read(struct.calcsize(BLOCK_HEAD)))
-            codes.append(stream.read(length))
-            counts.append(count)
-            checksums.append(crc)
-            at += struct.calcsize(BLOCK_HEAD) + length
-        if not codes:
-            break
-        for own, count, crc in zip(range_coder.decode(codes, n, vocabulary), counts, checksums):
-            if zlib.crc32(own[:count].astype("<u4").tobytes()) != crc:
-                raise ValueError("a block of ids differs from its checksum")
-            held.append(own[:count])
-            before += count
+    while at < begun:
+        count, length, crc = struct.unpack(BLOCK_HEAD, stream.read(struct.calcsize(BLOCK_HEAD)))
+        at += struct.calcsize(BLOCK_HEAD) + length
+        own = range_coder.decode([stream.read(length)], count, vocabulary)[0] if count <= n else np.empty(0, dtype="<u4")
+        if len(own) != count or zlib.crc32(own.astype("<u4").tobytes()) != crc:
+            raise ValueError("a block of ids differs from its checksum")
+        held.append(own)
+        before += count
         # rows that are complete; those of a few million ids go at a time
         ready = int(np.searchsorted(ends, before, side="right"))
+        if row == ready:
+            continue
         ids = np.concatenate(held)
         while row < ready:
             base = int(ends[row] - lengths[row])
@@ -162,8 +168,8 @@ def read_file(stream, start: int) -> Iterator[pa.RecordBatch]:
 
 
 class Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, vocabulary: int):
-        self.path, self.vocabulary = path, vocabulary
+    def __init__(self, path: str, vocabulary: int, tokenizer: str | None = None, end_id: int | None = None):
+        self.path, self.vocabulary, self.tokenizer, self.end_id = path, vocabulary, tokenizer, end_id
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
@@ -174,8 +180,13 @@ class Writer(DataSourceArrowWriter):
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.ids"
         with store.open_output_stream(f"{base}/{name}", compression=None) as out:
             writer = FileWriter(out, self.vocabulary)
-            for part in iterator:
-                writer.add(part.column(0), part.column(1))
+            if self.tokenizer is None:
+                for part in iterator:
+                    writer.add(part.column(0), part.column(1))
+            else:
+                for part in pieces(iterator, 1):
+                    ids, bounds = encoder(self.tokenizer).ids(part.column(1), self.end_id)
+                    writer.put(part.column(0), np.diff(bounds), ids)
             rows, ids = writer.close()
         return Written(task.partitionId(), name, rows, ids)
 
@@ -216,7 +227,7 @@ class Reader(DataSourceReader):
 
 
 class TokenIds(DataSource):
-    """Options: path; for writing, vocabulary (ids are below it)."""
+    """Options: path; for writing, vocabulary (ids are below it), and for rows of texts tokenizer and, if one goes behind each text, end_id."""
 
     @classmethod
     def name(cls) -> str:
@@ -229,35 +240,90 @@ class TokenIds(DataSource):
         return Reader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> Writer:
-        return Writer(self.options["path"], int(self.options["vocabulary"]))
+        end_id = self.options.get("end_id")
+        return Writer(self.options["path"], int(self.options["vocabulary"]), self.options.get("tokenizer"), None if end_id is None else int(end_id))
+
+
+class Encoder:
+    """The ids of texts, put together from those of their stretches, each of which is encoded once.
+
+    A tokenizer normalizes a text, cuts it into pieces and tokenizes each.  Words of Latin letters take the first two steps letter by letter, in one
+    translation, if the tokenizer treats the whole alphabet so, as one piece; any other stretch is encoded by itself.
+    """
+
+    def __init__(self, tokenizer: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(tokenizer)
+        self.starts = begins(BLANKS)
+        self.apart = marks_apart("".join([APOSTROPHE, *(t.content for t in self.model.get_added_tokens_decoder().values())]).encode())
+        parted = {c: self.parted(c) for c in ALPHABET}
+        self.table = {ord(c): own[0] for c, own in parted.items() if len(own) == 1}
+        letters = "".join(map(chr, self.table))
+        plain = bool(letters) and self.parted(letters) == [letters.translate(self.table)]
+        self.word = re.compile(f"[{BLANKS.decode()}]?([{letters}]+)" if plain else "(?!)").fullmatch
+        self.begin()
+
+    def begin(self) -> None:
+        self.memo, self.pool = Memo(KEPT, KEPT_BYTES), Pool()
+
+    def parted(self, text: str) -> list[str]:
+        """The pieces that are tokenized."""
+        text = text if self.model.normalizer is None else self.model.normalizer.normalize_str(text)
+        return [text] if self.model.pre_tokenizer is None else [piece for piece, _ in self.model.pre_tokenizer.pre_tokenize_str(text)]
+
+    def learn(self, stretches: list[bytes]) -> None:
+        """Puts the ids of further stretches into the pool."""
+        ids: list[int] = []
+        ends = []
+        known: dict[str, tuple[int, ...]] = {}
+        tokenize, table, word = self.model.model.tokenize, self.table, self.word
+        for text in map(bytes.decode, stretches):
+            if plain := word(text):
+                piece = plain[1].translate(table)
+                if (own := known.get(piece)) is None:
+                    own = known[piece] = tuple([token.id for token in tokenize(piece)])
+            else:
+                own = self.model.encode(text, add_special_tokens=False).ids
+            ids.extend(own)
+            ends.append(len(ids))
+        self.pool.add(np.array(ids, dtype=np.int64), np.diff(ends, prepend=0))
+
+    def ids(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with ``end_id`` behind it; the bounds of each text's among them)."""
+        if self.memo.full or self.memo.fresh:  # fresh ones were left by a task that broke off
+            self.begin()
+        numbers, lengths = self.memo.numbers(texts, self.starts, self.apart)
+        for k in range(0, len(self.memo.fresh), AT_ONCE):
+            self.learn(self.memo.fresh[k : k + AT_ONCE])
+        self.pool.settle()
+        self.memo.fresh = []
+        ids, sizes = self.pool.take(numbers)
+        bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(lengths))]
+        if end_id is not None:
+            ids, bounds = np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
+        return ids.astype("<u4"), bounds
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str) -> Encoder:
+    """This process's encoder: Spark gives a worker process one task after the other."""
+    return Encoder(tokenizer)
 
 
 def encode_texts(df: DataFrame, tokenizer: str, end_id: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): each text's ids, as little-endian unsigned 32-bit integers, with ``end_id`` behind them; null texts count as empty.
 
-    The tokenizer must work on each stretch of a text by itself, as those do that drop white space (``stretches``).  Rows stay in their order.
+    The tokenizer must work on each stretch of a text by itself (``stretches``), as those do that drop white space and part letters from marks, but for
+    apostrophes and the characters of added tokens.  Rows stay in their order.
     """
     kind = df.schema[key].dataType.simpleString()
-    starts = begins(BLANKS)
-    tail = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
-        from tokenizers import Tokenizer
-
-        model, memo, pool = Tokenizer.from_file(tokenizer), Memo(), Pool()
         for part in pieces(parts, 1):
-            if memo.full:
-                memo, pool = Memo(), Pool()
-            numbers, lengths = memo.numbers(part.column(1), starts)
-            fresh, memo.fresh = memo.fresh, []
-            for k in range(0, len(fresh), AT_ONCE):
-                pool.add(*flattened([e.ids for e in model.encode_batch([s.decode() for s in fresh[k : k + AT_ONCE]], add_special_tokens=False)]))
-            pool.settle()
-            ids, sizes = pool.take(numbers)
-            bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(lengths))]
-            ids = ids.astype("<u4")
-            cells = [ids[i:j].tobytes() + tail.tobytes() for i, j in zip(bounds.tolist(), bounds[1:].tolist())]
+            ids, bounds = encoder(tokenizer).ids(part.column(1), end_id)
+            cells = [ids[i:j].tobytes() for i, j in zip(bounds.tolist(), bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(cells, pa.binary())], ["key", "ids"])
 
     return df.select(key, text).mapInArrow(encoded, f"key {kind}, ids binary")
@@ -269,6 +335,13 @@ def write_ids(rows: DataFrame, path: str, vocabulary: int) -> None:
     rows.write.format("token_ids").mode("append").option("path", path).option("vocabulary", vocabulary).save()
 
 
+def write_texts(rows: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int | None = None) -> None:
+    """Writes the ids of (key, text), as ``encode_texts`` and ``write_ids`` would, by one process a task."""
+    rows.sparkSession.dataSource.register(TokenIds)
+    out = rows.write.format("token_ids").mode("append").option("path", path).option("vocabulary", vocabulary).option("tokenizer", tokenizer)
+    (out if end_id is None else out.option("end_id", end_id)).save()
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(key, start, n_tokens, ids) of what ``write_ids`` wrote."""
     spark.dataSource.register(TokenIds)
@@ -288,6 +361,6 @@ def token_report(df: DataFrame, tokenizer: str, vocabulary: int, end_id: int) ->
     """
     spark = df.sparkSession
     path = scratch(spark, "token-ids")
-    write_ids(encode_texts(in_key_order(df), tokenizer, end_id), path, vocabulary)
+    write_texts(in_key_order(df), path, tokenizer, vocabulary, end_id)
     kind = df.schema["doc_id"].dataType
     return read_ids(spark, path).select(F.col("key").cast(kind).alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
