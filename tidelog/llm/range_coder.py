@@ -36,6 +36,8 @@ FLOOR, OTHER = 0.02, 1 / 64
 # pairs of outcomes the factor in favour of order 2 where one order alone was right.
 SURER = np.array([(s >> 1) - s for s in range(16)] + [int(s < 15) for s in range(16)])
 PREFER = np.kron([[1.0, 1 / OTHER], [OTHER, 1.0]], np.ones((16, 16)))
+#: What confidences are worth is judged after each of the first steps, then after every so many.
+EARLY, SELDOM = 32, 4
 #: Counts are summed up anew when so many (as a power of 2) of their ids are new, one of 2^LATE; the reader finds ids through about 2^FINDER_BITS places.
 LATE, FINDER_BITS = 4, 16
 
@@ -56,6 +58,7 @@ class Model:
         self.held = [np.zeros(1 << bits, dtype=np.int64) for _ in range(2)]
         # for the confidences of an order, then the same with a hit: how often they were met; the first guess grows with confidence
         self.met = [np.concatenate([np.arange(19, 3, -1), np.arange(1, 17)]) for _ in range(2)]
+        self.pairs, self.step = np.zeros(1024, dtype=np.int64), 0
         self.judge()
         self.weight = np.full(lanes, 0.5)
         self.counts = np.ones(vocabulary, dtype=np.int64)
@@ -65,6 +68,11 @@ class Model:
 
     def judge(self) -> None:
         """What the confidences are worth: the shares of hits, and by which factor each pair of outcomes (of order 1, of order 2) moves the odds of order 2."""
+        for k, met in enumerate(self.met):
+            met += self.pairs.reshape(32, 32).sum(axis=k)
+            much = met.reshape(2, 16).sum(axis=0) > ENOUGH
+            met >>= np.concatenate([much, much])
+        self.pairs[:] = 0
         self.right = [np.clip(met[16:] / (met[:16] + met[16:]), LEAST, MOST) for met in self.met]
         self.parts = [right * PARTS for right in self.right]
         two, one = (np.concatenate([1.0 - right, right]) for right in self.right)
@@ -102,12 +110,10 @@ class Model:
         pair = outcome[0] + (outcome[1] << 5)
         own = self.weight * self.moves[pair]
         self.weight = FLOOR + (1.0 - FLOOR - FLOOR) * (own / (own + (1.0 - self.weight)))
-        met = np.bincount(pair, minlength=1024).reshape(32, 32)
-        for k in (0, 1):
-            self.met[k] += met.sum(axis=k)
-            much = self.met[k].reshape(2, 16).sum(axis=0) > ENOUGH
-            self.met[k] >>= np.concatenate([much, much])
-        self.judge()
+        self.pairs += np.bincount(pair, minlength=1024)
+        self.step += 1
+        if self.step < EARLY or self.step % SELDOM == 0:
+            self.judge()
         self.waiting.append(others)
         self.new += len(others)
         if self.new > self.seen >> LATE:

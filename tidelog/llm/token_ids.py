@@ -30,14 +30,14 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from tidelog.llm import range_coder
 from tidelog.llm.common import pieces, scratch
-from tidelog.llm.stretches import BLANKS, Memo, Pool, begins, marks_apart
+from tidelog.llm.stretches import BLANKS, Memo, begins, marks_apart
 
 MAGIC, LISTED = b"TOKENID2", "_files.json"
 HEAD, BLOCK_HEAD, TAIL = "<8sII", "<III", "<QI8s"
 #: So many stretches are encoded at once.
-AT_ONCE = 1 << 15
+AT_ONCE = 4096
 #: A worker process keeps what it learnt for its next tasks, up to so many stretches, or bytes of them.
-KEPT, KEPT_BYTES = 3 << 18, 48 << 20
+KEPT, KEPT_BYTES = 5 << 18, 80 << 20
 APOSTROPHE = "'"
 #: Letters of Latin scripts, each one character.
 ALPHABET = "".join(c for c in map(chr, [*range(0x41, 0x7B), *range(0xC0, 0x250)]) if c.isalpha())
@@ -244,6 +244,22 @@ class TokenIds(DataSource):
         return Writer(self.options["path"], int(self.options["vocabulary"]), self.options.get("tokenizer"), None if end_id is None else int(end_id))
 
 
+class Growing:
+    """An array that further values are put behind, in time that grows with them alone."""
+
+    def __init__(self, dtype: str):
+        self.held, self.size = np.empty(1 << 16, dtype=dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.held):
+            held = np.empty(size + size // 2, dtype=self.held.dtype)
+            held[: self.size] = self.held[: self.size]
+            self.held = held
+        self.held[self.size : size] = values
+        self.size = size
+
+
 class Encoder:
     """The ids of texts, put together from those of their stretches, each of which is encoded once.
 
@@ -266,7 +282,9 @@ class Encoder:
         self.begin()
 
     def begin(self) -> None:
-        self.memo, self.pool = Memo(KEPT, KEPT_BYTES), Pool()
+        self.memo = Memo(KEPT, KEPT_BYTES)
+        # ids one behind the other; where each stretch's begin, and how many it has
+        self.pool, self.begins, self.sizes = Growing("<u4"), Growing("i8"), Growing("i8")
 
     def parted(self, text: str) -> list[str]:
         """The pieces that are tokenized."""
@@ -277,18 +295,17 @@ class Encoder:
         """Puts the ids of further stretches into the pool."""
         ids: list[int] = []
         ends = []
-        known: dict[str, tuple[int, ...]] = {}
         tokenize, table, word = self.model.model.tokenize, self.table, self.word
         for text in map(bytes.decode, stretches):
             if plain := word(text):
-                piece = plain[1].translate(table)
-                if (own := known.get(piece)) is None:
-                    own = known[piece] = tuple([token.id for token in tokenize(piece)])
+                ids += [token.id for token in tokenize(plain[1].translate(table))]
             else:
-                own = self.model.encode(text, add_special_tokens=False).ids
-            ids.extend(own)
+                ids += self.model.encode(text, add_special_tokens=False).ids
             ends.append(len(ids))
-        self.pool.add(np.array(ids, dtype=np.int64), np.diff(ends, prepend=0))
+        sizes = np.diff(ends, prepend=0)
+        self.begins.add(self.pool.size + np.array(ends, dtype=np.int64) - sizes)
+        self.sizes.add(sizes)
+        self.pool.add(np.array(ids, dtype="<u4"))
 
     def ids(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with ``end_id`` behind it; the bounds of each text's among them)."""
@@ -297,13 +314,14 @@ class Encoder:
         numbers, lengths = self.memo.numbers(texts, self.starts, self.apart)
         for k in range(0, len(self.memo.fresh), AT_ONCE):
             self.learn(self.memo.fresh[k : k + AT_ONCE])
-        self.pool.settle()
         self.memo.fresh = []
-        ids, sizes = self.pool.take(numbers)
-        bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(lengths))]
+        sizes = self.sizes.held[numbers]
+        ends = np.cumsum(sizes)
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(lengths))]
+        ids = self.pool.held[np.repeat(self.begins.held[numbers] - (ends - sizes), sizes) + np.arange(bounds[-1])]
         if end_id is not None:
             ids, bounds = np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
-        return ids.astype("<u4"), bounds
+        return ids, bounds
 
 
 @lru_cache(maxsize=1)
